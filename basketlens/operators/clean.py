@@ -81,9 +81,11 @@ def drop_incomplete(orders: DataFrame) -> DataFrame:
     return orders.dropna(subset=REQUIRED)
 
 
-def fill_medians(orders: DataFrame, columns: list[str] = MEDIAN_FILLED) -> DataFrame:
-    """Fill nulls with the exact median of the rows given, as one-row scalar subqueries."""
-    table = exact_quantiles(orders, columns, [0.5])
+def fill_medians(
+    orders: DataFrame, columns: list[str] = MEDIAN_FILLED, source: DataFrame | None = None
+) -> DataFrame:
+    """Fill nulls with the exact median over ``source`` (by default ``orders``), read as a scalar subquery."""
+    table = exact_quantiles(orders if source is None else source, columns, [0.5])
     medians = table.agg(
         F.struct(*[F.max(F.when(F.col("variable") == c, F.col("q0"))).alias(c) for c in columns])
     ).scalar()
