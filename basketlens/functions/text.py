@@ -1,10 +1,7 @@
-"""Expressions that turn raw text into typed values; bad text becomes null."""
+"""SQL expressions that turn raw text into typed values; bad text becomes null."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Text read as missing (the defaults of a common CSV reader).
 NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -15,31 +12,30 @@ NA_TOKENS = [
 DATE_FORMATS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d"]
 
 
-def missing_to_null(text: Column, tokens: list[str]) -> Column:
-    return F.when(~F.trim(text).isin(tokens), text)
+def missing_to_null(text: str, tokens: list[str]) -> str:
+    quoted = ", ".join(f"'{t}'" for t in tokens)
+    return f"if(trim({text}) in ({quoted}), null, {text})"
 
 
-def money(text: Column) -> Column:
+def money(text: str) -> str:
     """``"$1,333.80 "`` to 1333.8."""
-    return F.regexp_replace(text, r"[$,\s]", "").try_cast("double")
+    return rf"try_cast(regexp_replace({text}, '[$,\\s]', '') as double)"
 
 
-def number(text: Column, type_name: str = "double") -> Column:
-    return F.trim(text).try_cast(type_name)
+def number(text: str, type_name: str = "double") -> str:
+    return f"try_cast(trim({text}) as {type_name})"
 
 
-def whole_number(text: Column) -> Column:
+def whole_number(text: str) -> str:
     """Integer text, also when written with a decimal point."""
-    return F.trim(text).try_cast("double").try_cast("int")
+    return f"try_cast(try_cast(trim({text}) as double) as int)"
 
 
-def flag(text: Column) -> Column:
-    word = F.upper(F.trim(text))
-    return F.when(word == "TRUE", 1).when(word == "FALSE", 0)
+def flag(text: str) -> str:
+    return f"case upper(trim({text})) when 'TRUE' then 1 when 'FALSE' then 0 end"
 
 
-def timestamp(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    clean = F.trim(text)
-    attempts = [clean.try_cast("timestamp_ntz")]
-    attempts += [F.try_to_timestamp(clean, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*attempts)
+def timestamp(text: str, formats: list[str] = DATE_FORMATS) -> str:
+    attempts = [f"try_cast(trim({text}) as timestamp_ntz)"]
+    attempts += [f"cast(try_to_timestamp(trim({text}), '{f}') as timestamp_ntz)" for f in formats]
+    return f"coalesce({', '.join(attempts)})"

@@ -60,7 +60,7 @@ def parse(raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS) -> DataFrame:
     """One projection from text columns to typed columns."""
     typed = []
     for name in raw.columns:
-        column = text.missing_to_null(F.col(f"`{name}`"), na_tokens)
+        column = text.missing_to_null(f"`{name}`", na_tokens)
         if name == "Purchase_Amount":
             column = text.money(column)
         elif name == "Time_of_Purchase":
@@ -72,9 +72,9 @@ def parse(raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS) -> DataFrame:
         elif name in REAL:
             column = text.number(column)
         else:
-            column = F.trim(column)
-        typed.append(column.alias(name))
-    return raw.select(*typed)
+            column = f"trim({column})"
+        typed.append(f"{column} as `{name}`")
+    return raw.selectExpr(*typed)
 
 
 def drop_incomplete(orders: DataFrame) -> DataFrame:
@@ -84,12 +84,12 @@ def drop_incomplete(orders: DataFrame) -> DataFrame:
 def fill_medians(
     orders: DataFrame, columns: list[str] = MEDIAN_FILLED, source: DataFrame | None = None
 ) -> DataFrame:
-    """Fill nulls with the exact median over ``source`` (by default ``orders``), read as a scalar subquery."""
-    table = exact_quantiles(orders if source is None else source, columns, [0.5])
-    medians = table.agg(
-        F.struct(*[F.max(F.when(F.col("variable") == c, F.col("q0"))).alias(c) for c in columns])
-    ).scalar()
-    return orders.withColumns({c: F.coalesce(F.col(c).cast("double"), medians.getField(c)) for c in columns})
+    """Fill nulls with the exact median over ``source`` (by default ``orders``)."""
+    found = exact_quantiles(orders if source is None else source, columns, [0.5])
+    medians = {q.variable: F.lit(q.values[0]) for q in found}
+    return orders.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), medians.get(c, F.lit(None))) for c in columns}
+    )
 
 
 def fill_text(orders: DataFrame, value: str = FILL_TEXT) -> DataFrame:

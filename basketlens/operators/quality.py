@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.operators.quantiles import exact_quantiles
+from basketlens.operators.quantiles import exact_quantiles, quantile_table
 
 
 def missing_cells(df: DataFrame) -> Column:
@@ -46,7 +46,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of every numeric column."""
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = quantile_table(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
     # One wide global aggregate: partial sums in each task, a single row shuffled.
     stats = df.agg(
         *[
@@ -61,23 +61,15 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             for c in columns
         ]
     ).select(F.inline(F.array(*columns)))
-    quartiles = quartiles.select(
-        F.col("variable").alias("column_name"),
-        F.col("q0").alias("q25"),
-        F.col("q1").alias("q50"),
-        F.col("q2").alias("q75"),
-    )
+    quartiles = quartiles.withColumnRenamed("variable", "column_name").drop("by", "n")
     return stats.join(quartiles, "column_name", "left").orderBy("column_name")
 
 
 def outliers(df: DataFrame, column: str = "Purchase_Amount", low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Bounds at two quantiles and the number of rows outside; the rows stay."""
-    bounds = exact_quantiles(df, [column], [low, high]).select(F.struct("q0", "q1")).scalar()
+    found = exact_quantiles(df, [column], [low, high])
+    below, above = (F.lit(v) for v in (found[0].values if found else (None, None)))
     value = F.col(column)
-    marked = df.select(value, bounds.alias("bounds"))
-    return marked.agg(
-        F.max("bounds.q0").alias("low_bound"),
-        F.max("bounds.q1").alias("high_bound"),
-        F.count_if((value < F.col("bounds.q0")) | (value > F.col("bounds.q1"))).alias("outlier_rows"),
-        F.count("*").alias("rows"),
-    )
+    return df.agg(
+        F.count_if((value < below) | (value > above)).alias("outlier_rows"), F.count("*").alias("rows")
+    ).select(below.cast("double").alias("low_bound"), above.cast("double").alias("high_bound"), "outlier_rows", "rows")

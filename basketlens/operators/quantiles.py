@@ -8,17 +8,27 @@ ranked.  The result equals linear interpolation between order statistics.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 SMALL = 200_000
 
 
+class Quantiles(NamedTuple):
+    variable: str
+    by: str | None
+    n: int
+    values: list[float]
+
+
 def _long(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
     """(variable, by, value) without null values; the input is read once."""
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])
-    group = F.lit("all") if by is None else F.col(by).cast("string")
+    group = F.lit("") if by is None else F.col(by).cast("string")
     return (
         df.select(group.alias("by"), F.explode(pairs).alias("p"))
         .select("p.variable", "by", "p.value")
@@ -33,104 +43,108 @@ def exact_quantiles(
     by: str | None = None,
     accuracy: int = ACCURACY,
     small: int = SMALL,
-) -> DataFrame:
-    """Rows (variable, by, n, q0, q1, ...), one per column and group.
-
-    ``by`` must be a label from a short list (a band, a segment): the brackets,
-    one row per column and group, are broadcast.  A group of at most ``small``
-    rows is ranked whole.  For a larger one a rank lies, by the sketch's error
-    bound of n/accuracy, well inside its bracket of 12 n/accuracy rows; should
-    it ever not, the query fails instead of returning a wrong value.
+) -> list[Quantiles]:
+    """Quantiles of each column, one entry per column and group of ``by``.
+
+    Like ``approxQuantile`` it runs at once and returns plain numbers: the
+    result and the brackets have one row per column and group, so ``by`` must
+    be a label from a short list (a band, a segment).  The projected values are
+    persisted for the two passes and released after.
+
+    A group of at most ``small`` rows is ranked whole.  For a larger one a rank
+    lies, by the sketch's error bound of n/accuracy, well inside its bracket of
+    12 n/accuracy rows; should it ever not, the call fails instead of returning
+    a wrong value.
     """
     margin = 6.0 / accuracy
     low = [max(0.0, p - margin) for p in probabilities]
     high = [min(1.0, p + margin) for p in probabilities]
-    count = len(probabilities)
-    long = _long(df, columns, by)
-
-    sketch = long.groupBy("variable", "by").agg(
-        F.count("*").alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.percentile_approx("value", low, accuracy).alias("low"),
-        F.percentile_approx("value", high, accuracy).alias("high"),
-    )
-    whole = F.col("n") <= small
-    brackets = sketch.select(
-        "variable",
-        "by",
-        *[
-            F.when(whole | F.lit(low[i] == 0.0), F.col("least")).otherwise(F.col("low")[i]).alias(f"low{i}")
-            for i in range(count)
-        ],
-        *[
-            F.when(whole | F.lit(high[i] == 1.0), F.col("most")).otherwise(F.col("high")[i]).alias(f"high{i}")
-            for i in range(count)
-        ],
+    long = _long(df, columns, by).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sketch = (
+            long.groupBy("variable", "by")
+            .agg(
+                F.count("*").alias("n"),
+                F.min("value").alias("least"),
+                F.max("value").alias("most"),
+                F.percentile_approx("value", low, accuracy).alias("low"),
+                F.percentile_approx("value", high, accuracy).alias("high"),
+            )
+            .collect()
+        )
+        brackets = []
+        for row in sketch:
+            whole = row["n"] <= small
+            starts = [row["least"] if whole or p == 0.0 else v for p, v in zip(low, row["low"])]
+            ends = [row["most"] if whole or p == 1.0 else v for p, v in zip(high, row["high"])]
+            brackets.append((row["variable"], row["by"], row["n"], starts, ends))
+        if not brackets:
+            return []
+        rows = _rank_inside(long, brackets, probabilities).collect()
+    finally:
+        long.unpersist()
+    return sorted(
+        Quantiles(r["variable"], None if by is None else r["by"], r["n"], [r[f"q{i}"] for i in range(len(probabilities))])
+        for r in rows
     )
 
-    def tally(tests: list[Column]) -> Column:
-        total = F.lit(0)
-        for test in tests:
-            total = total + test.cast("int")
-        return total
+
+def _rank_inside(long: DataFrame, brackets: list, probabilities: list[float]) -> DataFrame:
+    spark = long.sparkSession
+    count = len(probabilities)
+    bracket_table = spark.createDataFrame(
+        [(v, g, *starts, *ends) for v, g, _, starts, ends in brackets],
+        "variable string, by string, "
+        + ", ".join([f"low{i} double" for i in range(count)] + [f"high{i} double" for i in range(count)]),
+    )
 
     # The zone grows with the value: how many brackets have begun plus how many have ended.
-    begun = tally([F.col("value") >= F.col(f"low{i}") for i in range(count)])
-    ended = tally([F.col("value") > F.col(f"high{i}") for i in range(count)])
+    begun = " + ".join(f"int(value >= low{i})" for i in range(count))
+    ended = " + ".join(f"int(value > high{i})" for i in range(count))
     cells = (
-        long.join(F.broadcast(brackets), ["variable", "by"])
-        .select(
-            "variable", "by", (begun + ended).alias("zone"), F.when(begun > ended, F.col("value")).alias("value")
-        )
+        long.join(F.broadcast(bracket_table), ["variable", "by"])
+        .selectExpr("variable", "by", "value", f"{begun} as begun", f"{ended} as ended")
+        .selectExpr("variable", "by", "begun + ended as zone", "if(begun > ended, value, null) as value")
         .groupBy("variable", "by", "zone", "value")
         .agg(F.count("*").alias("rows"))
     )
-
     # At most 2 * count + 1 zones per group.
-    group = Window.partitionBy("variable", "by")
     zones = (
         cells.groupBy("variable", "by", "zone")
         .agg(F.sum("rows").alias("zone_rows"))
-        .select(
+        .selectExpr(
             "variable",
             "by",
             "zone",
-            F.sum("zone_rows").over(group).alias("n"),
-            (
-                F.sum("zone_rows").over(group.orderBy("zone").rowsBetween(Window.unboundedPreceding, 0))
-                - F.col("zone_rows")
-            ).alias("before_zone"),
+            "sum(zone_rows) over (partition by variable, by) as n",
+            "sum(zone_rows) over (partition by variable, by order by zone"
+            " rows between unbounded preceding and current row) - zone_rows as before_zone",
         )
     )
-    inside = Window.partitionBy("variable", "by", "zone").orderBy("value")
     ranked = (
         cells.where("value is not null")
         .join(F.broadcast(zones), ["variable", "by", "zone"])
-        .withColumn(
-            "end", F.col("before_zone") + F.sum("rows").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        .selectExpr(
+            "*",
+            "before_zone + sum(rows) over (partition by variable, by, zone order by value"
+            " rows between unbounded preceding and current row) as end",
         )
-        .withColumn("start", F.col("end") - F.col("rows"))
     )
-
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
-
-    picked = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        picked += [
-            at_rank(F.floor(position)).alias(f"floor{i}"),
-            at_rank(F.ceil(position)).alias(f"ceil{i}"),
-        ]
-    result = ranked.groupBy("variable", "by", "n").agg(*picked)
-    values = []
+    picked, values = [], []
     for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        part = position - F.floor(position)
-        value = F.col(f"floor{i}") + (F.col(f"ceil{i}") - F.col(f"floor{i}")) * part
-        missed = F.col(f"floor{i}").isNull() | F.col(f"ceil{i}").isNull()
-        failure = F.raise_error(F.lit("a rank fell outside its bracket: raise the accuracy")).cast("double")
-        values.append(F.when(missed, failure).otherwise(value).alias(f"q{i}"))
-    return result.select("variable", "by", "n", *values)
+        position = f"({float(p)!r}D * (n - 1))"
+        for name, rank in ((f"floor{i}", f"floor({position})"), (f"ceil{i}", f"ceil({position})")):
+            picked.append(F.expr(f"max(if(end - rows <= {rank} and {rank} < end, value, null)) as {name}"))
+        values.append(
+            f"if(floor{i} is null or ceil{i} is null,"
+            " cast(raise_error('a rank fell outside its bracket: raise the accuracy') as double),"
+            f" floor{i} + (ceil{i} - floor{i}) * ({position} - floor({position}))) as q{i}"
+        )
+    return ranked.groupBy("variable", "by", "n").agg(*picked).selectExpr("variable", "by", "n", *values)
+
 
+def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], names: list[str], **options):
+    """The quantiles as a small DataFrame (variable, by, n, <names>)."""
+    rows = [(q.variable, q.by, q.n, *q.values) for q in exact_quantiles(df, columns, probabilities, **options)]
+    schema = "variable string, by string, n bigint, " + ", ".join(f"{n} double" for n in names)
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -21,21 +21,21 @@ def salted_left_join(
     counts: DataFrame,
     key: str,
     count_column: str,
+    total: int,
     spread_by: Column,
     shares: int = SHARES,
 ) -> DataFrame:
     """``rows`` left join ``dim`` (one row per ``key``).
 
-    ``counts`` has the number of rows of every key.  A key is split once it
+    ``counts`` has the number of rows of every key, ``total`` their sum.  A key is split once it
     holds more than 1/``shares`` of all rows, so fewer than ``shares`` keys are
     hot, however large the input: the broadcast list of hot keys is bounded.
     ``spread_by`` must be deterministic (a row id), so that retried tasks agree.
     """
-    total = counts.agg(F.sum(count_column)).scalar()
-    parts = counts.select(
-        F.col(key), (F.floor(F.col(count_column) * F.lit(shares) / total) + 1).cast("int").alias("_parts")
+    share = max(1.0, total / shares)
+    hot = counts.where(F.col(count_column) > share).select(
+        F.col(key), F.ceil(F.col(count_column) / share).cast("int").alias("_parts")
     )
-    hot = parts.where("_parts > 1")
     salted = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
     ).drop("_parts")

@@ -37,7 +37,7 @@ def load_orders(spark: SparkSession, raw: DataFrame, table_path: str) -> LoadMet
     """Clean ``raw`` into the table, counting rows and nulls on the way.
 
     The counts ride on the write job.  Its plan from file scan to sink is one
-    stage (the medians are scalar subqueries), so a retried task is counted once.
+    stage (the medians are found before), so a retried task is counted once.
     """
     before, after = Observation("before"), Observation("after")
     parsed = clean.add_calendar(clean.parse(clean.normalise_names(raw)))

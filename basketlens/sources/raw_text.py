@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketlens.sources.retail import COLUMNS, retail_orders
 
@@ -15,19 +14,19 @@ RAW_NAMES = [HEADERS.get(name, name) for name in COLUMNS]
 def raw_orders(spark: SparkSession, path: str) -> DataFrame:
     """Every order as 28 text columns, spoiled by rules on the order key."""
     typed = retail_orders(spark, path, list(COLUMNS))
-    key = F.col("Customer_ID").cast("bigint")
+    key = "cast(Customer_ID as bigint)"
     spoiled = []
     for name, data_type in typed.dtypes:
-        value = F.col(name).cast("string")
+        text = f"cast({name} as string)"
         if name == "Purchase_Amount":
-            value = F.when(key % 17 == 0, F.lit("")).otherwise(F.concat(F.lit("$"), value, F.lit(" ")))
+            text = f"if({key} % 17 = 0, '', concat('$', {text}, ' '))"
         elif name in ("Discount_Used", "Customer_Loyalty_Program_Member"):
-            value = F.when(F.col(name) == 1, F.lit("TRUE")).otherwise(F.lit("false"))
+            text = f"if({name} = 1, 'TRUE', 'false')"
         elif name == "Age":
-            value = F.when(key % 11 == 0, F.lit("")).otherwise(value)
+            text = f"if({key} % 11 = 0, '', {text})"
         elif name == "Time_of_Purchase":
-            value = F.when(key % 13 == 0, F.lit("not a date")).otherwise(F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+            text = f"if({key} % 13 = 0, 'not a date', date_format({name}, 'yyyy-MM-dd HH:mm:ss'))"
         elif data_type == "string":
-            value = F.when(key % 7 == 0, F.concat(F.lit("  "), value, F.lit("  "))).otherwise(value)
-        spoiled.append(value.alias(HEADERS.get(name, name)))
-    return typed.select(*spoiled)
+            text = f"if({key} % 7 = 0, concat('  ', {name}, '  '), {name})"
+        spoiled.append(f"{text} as `{HEADERS.get(name, name)}`")
+    return typed.selectExpr(*spoiled)

@@ -7,101 +7,78 @@ join is a left join on a unique key: leaving one out never changes the rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.operators.clean import add_calendar, add_flags
 from basketlens.operators.skew import salted_left_join
 
 
-def _pick(index: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), index.cast("int") + 1)
+def _pick(index: str, *names: str) -> str:
+    quoted = ", ".join('"' + name + '"' for name in names)
+    return f"element_at(array({quoted}), cast({index} as int) + 1)"
 
 
-def _influence(index: Column) -> Column:
-    return _pick(index, ["None", "Low", "Medium", "High"])
-
-
-def _o() -> Column:
-    return F.col("o_orderkey")
-
-
-def _c() -> Column:
-    return F.col("o_custkey")
-
-
-def _n() -> Column:
-    return F.col("c_nationkey")
-
-
-# name -> (inputs beside the order file, expression)
-COLUMNS: dict[str, tuple[set[str], Callable[[], Column]]] = {
-    "Customer_ID": (set(), lambda: _o().cast("string")),
-    "Age": (set(), lambda: (18 + _c() % 53).cast("int")),
-    "Gender": (set(), lambda: _pick(_c() % 2, ["Female", "Male"])),
+# name -> (inputs beside the order file, SQL expression)
+COLUMNS: dict[str, tuple[set[str], str]] = {
+    "Customer_ID": (set(), "cast(o_orderkey as string)"),
+    "Age": (set(), "cast(18 + o_custkey % 53 as int)"),
+    "Gender": (set(), _pick("o_custkey % 2", "Female", "Male")),
     "Income_Level": (
         {"customer"},
-        lambda: F.when(F.col("c_acctbal") < 2500, "Low").when(F.col("c_acctbal") < 6500, "Middle").otherwise("High"),
+        "case when c_acctbal < 2500 then 'Low' when c_acctbal < 6500 then 'Middle' else 'High' end",
     ),
     "Marital_Status": (
         {"customer"},
-        lambda: _pick((_c() * 3 + _n()) % 4, ["Single", "Married", "Divorced", "Widowed"]),
+        _pick("(o_custkey * 3 + c_nationkey) % 4", "Single", "Married", "Divorced", "Widowed"),
     ),
     "Education_Level": (
         {"customer"},
-        lambda: _pick((_c() + _n()) % 5, ["High School", "Bachelor's", "Master's", "PhD", "Other"]),
+        _pick("(o_custkey + c_nationkey) % 5", "High School", "Bachelor's", "Master's", "PhD", "Other"),
     ),
-    "Occupation": ({"customer"}, lambda: F.col("c_mktsegment")),
-    "Location": ({"customer", "nation"}, lambda: F.col("n_name")),
-    "Purchase_Category": ({"lines", "part"}, lambda: F.col("ptype")),
-    "Purchase_Amount": (set(), lambda: F.col("o_totalprice")),
-    "Frequency_of_Purchase": ({"frequency"}, lambda: F.col("freq").cast("int")),
+    "Occupation": ({"customer"}, "c_mktsegment"),
+    "Location": ({"customer", "nation"}, "n_name"),
+    "Purchase_Category": ({"lines", "part"}, "ptype"),
+    "Purchase_Amount": (set(), "o_totalprice"),
+    "Frequency_of_Purchase": ({"frequency"}, "cast(freq as int)"),
     "Purchase_Channel": (
         set(),
-        lambda: F.when(F.col("o_orderstatus") == "F", "Online")
-        .when(F.col("o_orderstatus") == "O", "In-Store")
-        .when(F.col("o_orderstatus") == "P", "Mixed"),
+        "case o_orderstatus when 'F' then 'Online' when 'O' then 'In-Store' when 'P' then 'Mixed' end",
     ),
-    "Brand_Loyalty": ({"lines"}, lambda: F.when(F.col("n_lines") > 5, 5).otherwise(F.col("n_lines")).cast("int")),
-    "Product_Rating": (set(), lambda: (1 + (_o() * 3) % 5).cast("int")),
-    "Research_Hours": ({"lines"}, lambda: F.col("qty").cast("double") / (F.col("n_lines") * 10)),
-    "Social_Media_Influence": (set(), lambda: _influence((_o() + _c()) % 4)),
+    "Brand_Loyalty": ({"lines"}, "cast(case when n_lines > 5 then 5 else n_lines end as int)"),
+    "Product_Rating": (set(), "cast(1 + (o_orderkey * 3) % 5 as int)"),
+    "Research_Hours": ({"lines"}, "cast(qty as double) / (n_lines * 10)"),
+    "Social_Media_Influence": (set(), _pick("(o_orderkey + o_custkey) % 4", "None", "Low", "Medium", "High")),
     "Discount_Sensitivity": (
         {"lines"},
-        lambda: F.when(F.col("disc_pct") < F.col("n_lines") * 4, "Not Sensitive")
-        .when(F.col("disc_pct") < F.col("n_lines") * 6, "Somewhat Sensitive")
-        .when(F.col("n_lines").isNotNull(), "Very Sensitive"),
+        "case when disc_pct < n_lines * 4 then 'Not Sensitive' when disc_pct < n_lines * 6 then 'Somewhat Sensitive' "
+        "when n_lines is not null then 'Very Sensitive' end",
     ),
-    "Return_Rate": ({"lines"}, lambda: F.coalesce(F.col("n_ret"), F.lit(0)).cast("int")),
-    "Customer_Satisfaction": (set(), lambda: (1 + (_o() * 7 + _c()) % 10).cast("int")),
+    "Return_Rate": ({"lines"}, "cast(coalesce(n_ret, 0) as int)"),
+    "Customer_Satisfaction": (set(), "cast(1 + (o_orderkey * 7 + o_custkey) % 10 as int)"),
     "Engagement_with_Ads": (
         set(),
-        lambda: F.when(F.col("o_orderpriority").substr(1, 1).isin("1", "2"), "High")
-        .when(F.col("o_orderpriority").substr(1, 1) == "3", "Medium")
-        .when(F.col("o_orderpriority").substr(1, 1) == "5", "Low")
-        .otherwise("None"),
+        "case substr(o_orderpriority, 1, 1) when '1' then 'High' when '2' then 'High' when '3' then 'Medium' "
+        "when '5' then 'Low' else 'None' end",
     ),
-    "Device_Used_for_Shopping": (set(), lambda: _pick(_c() % 3, ["Smartphone", "Tablet", "Desktop"])),
+    "Device_Used_for_Shopping": (set(), _pick("o_custkey % 3", "Smartphone", "Tablet", "Desktop")),
     "Payment_Method": (
         {"customer"},
-        lambda: _pick((_o() + _n()) % 5, ["Credit Card", "Debit Card", "PayPal", "Cash", "Other"]),
-    ),
-    "Time_of_Purchase": (set(), lambda: F.col("o_orderdate")),
-    "Discount_Used": (
-        {"lines"},
-        lambda: F.when(F.col("max_disc") >= 0.08, 1).otherwise(0),
+        _pick("(o_orderkey + c_nationkey) % 5", "Credit Card", "Debit Card", "PayPal", "Cash", "Other"),
     ),
-    "Customer_Loyalty_Program_Member": ({"customer"}, lambda: F.when(F.col("c_acctbal") > 5000, 1).otherwise(0)),
+    "Time_of_Purchase": (set(), "o_orderdate"),
+    "Discount_Used": ({"lines"}, "case when max_disc >= 0.08 then 1 else 0 end"),
+    "Customer_Loyalty_Program_Member": ({"customer"}, "case when c_acctbal > 5000 then 1 else 0 end"),
     "Purchase_Intent": (
         set(),
-        lambda: _pick((_o() + 2 * _c()) % 4, ["Planned", "Impulsive", "Need-based", "Wants-based"]),
+        _pick("(o_orderkey + 2 * o_custkey) % 4", "Planned", "Impulsive", "Need-based", "Wants-based"),
     ),
-    "Shipping_Preference": (set(), lambda: _pick(_o() % 3, ["Standard", "Express", "No Preference"])),
+    "Shipping_Preference": (set(), _pick("o_orderkey % 3", "Standard", "Express", "No Preference")),
     "Time_to_Decision": (
         {"lines"},
-        lambda: F.when(F.col("n_lines").isNotNull(), 1 + (_o() * 11 + _c()) % 20).cast("int"),
+        "case when n_lines is not null then cast(1 + (o_orderkey * 11 + o_custkey) % 20 as int) end",
     ),
 }
 
@@ -132,7 +109,7 @@ def _with_customer(spark: SparkSession, path: str, orders: DataFrame, needs: set
         return orders.join(customer, "o_custkey", "left")
     counts = orders.groupBy("o_custkey").agg(F.count("*").alias("freq"))
     dim = counts if customer is None else counts.join(customer, "o_custkey", "left")
-    return salted_left_join(orders, dim, counts, "o_custkey", "freq", spread_by=F.col("o_orderkey"))
+    return salted_left_join(orders, dim, counts, "o_custkey", "freq", orders.count(), F.col("o_orderkey"))
 
 
 def _order_lines(spark: SparkSession, path: str, with_part: bool) -> DataFrame:
@@ -161,7 +138,7 @@ def retail_orders(spark: SparkSession, path: str, columns: Iterable[str] | None
         orders = _with_customer(spark, path, orders, needs)
     if needs & {"lines", "part"}:
         orders = orders.join(_order_lines(spark, path, "part" in needs), "o_orderkey", "left")
-    typed = orders.select(*[build().alias(name) for name, (_, build) in COLUMNS.items() if name in sources])
+    typed = orders.selectExpr(*[f"{sql} as {name}" for name, (_, sql) in COLUMNS.items() if name in sources])
     if "Time_of_Purchase" in sources:
         typed = add_calendar(typed)
     return add_flags(typed).select(*wanted)
