@@ -42,9 +42,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def truncate_lineage(df):
-    """Checkpoint ``df`` reliably in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+def materialise(df, purpose: str):
+    """Write ``df`` once to the shared folder and read it back.
+
+    Used for small intermediate tables that several later steps read: they are
+    computed once, survive the loss of an executor, and have known sizes.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
