@@ -24,10 +24,11 @@ def attributions(
     Each row draws ``orders`` random feature orders and their reverses from
     hashes of its key.  The model scores every prefix of an order; a prefix
     counts for the feature that joined last and against the one joining next.
-    All prefixes of a row are made where the row is, so the sums are nearly
-    complete before the shuffle.  The work is linear in the rows.
+    The rows are spread by key first: scoring is the heavy part, and the sums
+    per row then need no second shuffle.  The work is linear in the rows.
     """
     width = len(features)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = "array(" + ", ".join(f"cast({c} as double)" for c in features) + ")"
     means = "array(" + ", ".join(f"{v!r}D" for v in base) + ")"
     # ranks[j]: position (1..width) at which feature j joins.
@@ -36,36 +37,37 @@ def attributions(
         f" j -> struct(xxhash64({key}, draw, j, {seed}L) as h, j as j))), s -> s.j)"
     )
     drawn = (
-        rows.selectExpr(key, f"{x} as x", f"explode(sequence(1, {orders})) as draw")
+        rows.select(key, *features)
+        .repartition(tasks, key)
+        .selectExpr(key, f"{x} as x", f"explode(sequence(1, {orders})) as draw")
         .selectExpr(key, "x", f"{shuffled} as forward")
         .selectExpr(key, "x", "explode(array(forward, reverse(forward))) as joined")
     )
-    prefixes = drawn.selectExpr(
-        key,
-        "joined",
-        f"transform(sequence(0, {width - 1}), j -> int(array_position(joined, j))) as ranks",
-        "x",
-        f"explode(sequence(0, {width})) as taken",
-    ).selectExpr(
+    # The ranks are columns below the explode, so that they are computed once per order.
+    ranked = drawn.selectExpr(
+        key, "joined", "x", f"transform(sequence(0, {width - 1}), j -> int(array_position(joined, j))) as ranks"
+    )
+    prefixes = ranked.selectExpr("*", f"explode(sequence(0, {width})) as taken").selectExpr(
         key,
         "joined",
         "taken",
         f"transform(sequence(0, {width - 1}), j -> if(ranks[j] <= taken, x[j], {means}[j])) as point",
     )
     scored = model.transform(prefixes.withColumn("features", array_to_vector("point")).drop("point"))
-    shares = scored.select(key, "joined", "taken", vector_to_array("probability")[1].alias("p")).selectExpr(
+    shares = scored.select(
         key,
-        f"""inline(array(
-            struct(if(taken >= 1, joined[greatest(taken - 1, 0)], -1) as j, p as part),
-            struct(if(taken < {width}, joined[least(taken, {width - 1})], -1) as j, -p as part)))""",
+        F.expr("if(taken >= 1, joined[greatest(taken - 1, 0)], -1)").alias("last"),
+        F.expr(f"if(taken < {width}, joined[least(taken, {width - 1})], -1)").alias("next"),
+        vector_to_array("probability")[1].alias("p"),
     )
-    names = "array(" + ", ".join(f"'{c}'" for c in features) + ")"
-    return (
-        shares.where("j >= 0")
-        .groupBy(key, "j")
-        .agg((F.sum("part") / (2 * orders)).alias("phi"))
-        .selectExpr(key, f"{names}[j] as feature", "phi")
+    sums = shares.groupBy(key).agg(
+        *[
+            F.expr(f"sum(case {j} when last then p when next then -p else 0 end) / {2 * orders} as phi{j}")
+            for j in range(width)
+        ]
     )
+    entries = ", ".join(f"struct('{c}' as feature, phi{j} as phi)" for j, c in enumerate(features))
+    return sums.selectExpr(key, f"inline(array({entries}))")
 
 
 def global_importance(attributed: DataFrame, size: int | None = 5) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.operators.explore import histogram
-from basketlens.operators.ranges import split_points, with_bucket
+from basketlens.operators.ranges import with_bucket
 from basketlens.operators.skew import salted_left_join
 from basketlens.operators.stats import t_test
 from basketlens.session import materialise
@@ -70,7 +70,7 @@ def nearest_controls(
         F.min(F.expr(f"if({treatment} = 0, struct({key} as id, {outcome} as outcome), null)")).alias("control"),
     )
     distinct = materialise(distinct.where("score is not null"), "scores")
-    placed = with_bucket(distinct, "score", split_points(distinct, "score", buckets)).selectExpr(
+    placed = with_bucket(distinct, "score", buckets).selectExpr(
         "*", "if(control is not null, struct(score, control), null) as side"
     )
     # One row per bucket.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.hashing import key_hash, key_uniform
 from basketlens.operators.quantiles import exact_quantiles
-from basketlens.operators.ranges import split_points, with_bucket
+from basketlens.operators.ranges import split_points, with_buckets
 
 NEIGHBOURS = 5
 PROJECTIONS = 8
@@ -40,12 +40,19 @@ def near_neighbours(rows: DataFrame, key: str, features: list[str], k: int = NEI
     proven nearest, which interpolation does not need.
     """
     x = "array(" + ", ".join(f"cast({c} as double)" for c in features) + ")"
-    placed = None
-    for number, direction in enumerate(_directions(len(features), seed)):
-        dot = " + ".join(f"{w!r}D * {c}" for w, c in zip(direction, features))
-        one = rows.selectExpr(key, f"{x} as x", f"{number} as direction", f"{dot} as place")
-        one = with_bucket(one, "place", split_points(one, "place"))
-        placed = one if placed is None else placed.unionByName(one)
+    numbers = range(PROJECTIONS)
+    places, buckets = [f"_place{n}" for n in numbers], [f"_bucket{n}" for n in numbers]
+    dots = [
+        " + ".join(f"{w!r}D * {c}" for w, c in zip(direction, features)) + f" as {place}"
+        for direction, place in zip(_directions(len(features), seed), places)
+    ]
+    projected = rows.selectExpr(key, f"{x} as x", *dots)
+    projected = with_buckets(projected, places, split_points(projected, places), buckets)
+    entries = ", ".join(
+        f"struct({n} as direction, {place} as place, {bucket} as _bucket)"
+        for n, place, bucket in zip(numbers, places, buckets)
+    )
+    placed = projected.selectExpr(key, "x", f"inline(array({entries}))")
     # A bucket grows beyond its share only by equal places; it is split by key.
     sizes = placed.groupBy("direction", "_bucket").agg(F.ceil(F.count("*") / ROWS_PER_TASK).alias("_parts"))
     spread = placed.join(F.broadcast(sizes), ["direction", "_bucket"]).withColumn(

@@ -20,18 +20,23 @@ def bucket_count(df: DataFrame) -> int:
     return max(8, min(MOST_BUCKETS, 2 * partitions))
 
 
-def split_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
-    """Increasing split values; at most ``buckets`` - 1 numbers reach the driver."""
+def split_points(df: DataFrame, columns: list[str], buckets: int | None = None) -> list[list[float]]:
+    """Increasing split values per column, all in one job; fewer than ``buckets`` numbers each reach the driver."""
     buckets = buckets or bucket_count(df)
     ranks = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(F.col(column).cast("double"), ranks, 10_000)).first()[0]
-    return sorted(set(found or []))
+    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), ranks, 10_000) for c in columns]).first()
+    return [sorted(set(values or [])) for values in found]
 
 
-def with_bucket(df: DataFrame, column: str, splits: list[float]) -> DataFrame:
-    """Add ``_bucket``, increasing with the value; equal values share a bucket."""
-    edges = [-float("inf"), *(splits or [0.0]), float("inf")]
-    return Bucketizer(splits=edges, inputCol=column, outputCol="_bucket").transform(df)
+def with_buckets(df: DataFrame, columns: list[str], splits: list[list[float]], outputs: list[str]) -> DataFrame:
+    """Add bucket numbers that grow with the value; equal values share a bucket."""
+    edges = [[-float("inf"), *(s or [0.0]), float("inf")] for s in splits]
+    return Bucketizer(splitsArray=edges, inputCols=columns, outputCols=outputs).transform(df)
+
+
+def with_bucket(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bucket`` for one column."""
+    return with_buckets(df, [column], split_points(df, [column], buckets), ["_bucket"])
 
 
 def running_totals(
@@ -41,7 +46,7 @@ def running_totals(
 
     ``df`` has one row per value of ``order``.
     """
-    placed = with_bucket(df, order, split_points(df, order, buckets))
+    placed = with_bucket(df, order, buckets)
     direction = "desc" if descending else "asc"
     sums = placed.groupBy("_bucket").agg(*[F.sum(c).alias(f"{c}_all") for c in columns])
     # One row per bucket.
