@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.hashing import key_hash
 from basketlens.functions.measures import money_total
-from basketlens.operators.quantiles import quantile_table
+from basketlens.operators.quantiles import exact_quantiles, quantile_table
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
@@ -26,9 +26,13 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
         .selectExpr(group, "if(lo = hi, lo - 0.5, lo) as lo", "if(lo = hi, hi + 0.5, hi) as hi")
         .selectExpr(group, "lo", f"(hi - lo) / {bins} as width")
     )
+    if by:
+        placed = values.join(F.broadcast(edges), group)
+    else:
+        edge = edges.select(F.struct("lo", "width")).scalar()
+        placed = values.withColumn("edge", edge).selectExpr(group, "x", "edge.lo as lo", "edge.width as width")
     counts = (
-        values.join(F.broadcast(edges), group)
-        .selectExpr(group, f"cast(least(floor((x - lo) / width), {bins - 1}) as int) as bin")
+        placed.selectExpr(group, f"cast(least(floor((x - lo) / width), {bins - 1}) as int) as bin")
         .groupBy(group, "bin")
         .agg(F.count("*").alias("count"))
     )
@@ -48,13 +52,18 @@ def box_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Quartiles, whiskers at the last data points within 1.5 IQR, and outliers, per group."""
     group = by or "all_rows"
     values = df.select((F.col(by) if by else F.lit("all")).alias(group), F.col(column).cast("double").alias("x"))
-    quartiles = quantile_table(values, ["x"], [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=group)
-    fences = quartiles.selectExpr(
-        f"by as {group}", "q1", "median", "q3", "q1 - 1.5 * (q3 - q1) as low", "q3 + 1.5 * (q3 - q1) as high"
-    )
+    values = values.where("x is not null")
+    if by:
+        quartiles = quantile_table(values, ["x"], [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=group)
+        fenced = values.join(F.broadcast(quartiles.selectExpr(f"by as {group}", "q1", "median", "q3")), group)
+    else:
+        found = exact_quantiles(values, ["x"], [0.25, 0.5, 0.75])
+        numbers = found[0].values if found else [None] * 3
+        fenced = values.withColumns(
+            {n: F.lit(v).cast("double") for n, v in zip(("q1", "median", "q3"), numbers)}
+        )
     result = (
-        values.where("x is not null")
-        .join(F.broadcast(fences), group)
+        fenced.selectExpr("*", "q1 - 1.5D * (q3 - q1) as low", "q3 + 1.5D * (q3 - q1) as high")
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.count("*").alias("n"),
