@@ -17,7 +17,7 @@ from basketlens.functions.hashing import key_hash
 from basketlens.operators.oversample import oversample
 from basketlens.operators.quantiles import exact_quantiles
 from basketlens.operators.ranges import running_totals
-from basketlens.session import materialise
+from basketlens.session import materialise, scratch_path
 
 KEY, TARGET = "Customer_ID", "High_Satisfaction"
 FEATURES = [
@@ -100,6 +100,14 @@ def assemble(rows: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(rows)
 
 
+def reloaded(model, spark):
+    """The model saved and read back: kept for later use, and without the training summary,
+    which holds the session and so cannot always be shipped to executors."""
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    return type(model).load(path)
+
+
 @dataclass
 class Fitted:
     """One trained model and its hold-out quality."""
@@ -130,7 +138,8 @@ class Training:
     def fit(self, name: str) -> Fitted:
         """Train the named model once."""
         if name not in self.fitted:
-            self.fitted[name] = evaluate(name, self.estimators[name].fit(self.train), self.test)
+            model = reloaded(self.estimators[name].fit(self.train), self.train.sparkSession)
+            self.fitted[name] = evaluate(name, model, self.test)
         return self.fitted[name]
 
     def compare(self) -> list[Fitted]:

@@ -81,11 +81,9 @@ def drop_incomplete(orders: DataFrame) -> DataFrame:
     return orders.dropna(subset=REQUIRED)
 
 
-def fill_medians(
-    orders: DataFrame, columns: list[str] = MEDIAN_FILLED, source: DataFrame | None = None
-) -> DataFrame:
-    """Fill nulls with the exact median over ``source`` (by default ``orders``)."""
-    found = exact_quantiles(orders if source is None else source, columns, [0.5])
+def fill_medians(orders: DataFrame, columns: list[str] = MEDIAN_FILLED) -> DataFrame:
+    """Fill nulls with the exact median."""
+    found = exact_quantiles(orders, columns, [0.5])
     medians = {q.variable: F.lit(q.values[0]) for q in found}
     return orders.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), medians.get(c, F.lit(None))) for c in columns}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,15 +93,45 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair over the rows where both are present, in one aggregate."""
-    def pair(a: str, b: str, r: str) -> str:
-        return f"struct('{a}' as column_a, '{b}' as column_b, {r} as r)"
-
-    cells = [pair(c, c, f"if(count({c}) > 0, 1.0D, null)") for c in columns]
-    for a, b in combinations(columns, 2):
-        r = f"corr(cast({a} as double), cast({b} as double))"
-        cells += [pair(a, b, r), pair(b, a, r)]
-    return df.agg(F.expr(f"array({', '.join(cells)})").alias("cells")).selectExpr("inline(cells)")
+    """Pearson correlation of every pair over the rows where both are present.
+
+    One pass: each task reduces its Arrow batches to the pairwise sums, a few
+    rows per task are shuffled.  (A ``corr`` per pair is too wide for generated
+    code.)  Values are centred at the overall means first, for accuracy.
+    """
+    numbers = df.select(*[F.col(c).cast("double") for c in columns])
+    means = numbers.agg(*[F.avg(c) for c in columns]).first()
+    centre = np.array([m or 0.0 for m in means])
+
+    def pair_sums(batches):
+        total = np.zeros((5, len(columns), len(columns)))
+        for batch in batches:
+            raw = batch.to_numpy(dtype="float64", na_value=np.nan)
+            present = (~np.isnan(raw)).astype("float64")
+            x = np.where(present > 0, raw - centre, 0.0)
+            total += [present.T @ present, x.T @ present, present.T @ x, (x * x).T @ present, x.T @ x]
+        # sum of b squared over pairs is the transpose of sum of a squared.
+        n, sum_a, sum_b, sum_aa, sum_ab = total
+        a, b = (g.ravel() for g in np.meshgrid(range(len(columns)), range(len(columns)), indexing="ij"))
+        yield pd.DataFrame({
+            "a": a, "b": b, "n": n.ravel(), "sa": sum_a.ravel(), "sb": sum_b.ravel(), "saa": sum_aa.ravel(),
+            "sbb": sum_aa.T.ravel(), "sab": sum_ab.ravel(),
+        })
+
+    sums = numbers.mapInPandas(
+        pair_sums, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
+    )
+    names = "array(" + ", ".join(f"'{c}'" for c in columns) + ")"
+    return (
+        sums.groupBy("a", "b")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+        .selectExpr(
+            f"{names}[a] as column_a",
+            f"{names}[b] as column_b",
+            "if(a = b, if(n > 0, 1.0D, null),"
+            " try_divide(n * sab - sa * sb, sqrt((n * saa - sa * sa) * (n * sbb - sb * sb)))) as r",
+        )
+    )
 
 
 def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,26 +30,22 @@ def propensity_scores(
     Text confounders are coded in alphabetical order.
     """
     texts = [f.name for f in rows.schema if f.name in confounders and isinstance(f.dataType, T.StringType)]
-    coded = [f"_code_{c}" if c in texts else c for c in confounders]
-    stages = []
+    terms = list(confounders)
     if texts:
-        stages.append(
-            StringIndexer(
-                inputCols=texts, outputCols=[f"_code_{c}" for c in texts], stringOrderType="alphabetAsc"
-            )
-        )
-    stages += [
-        VectorAssembler(inputCols=coded, outputCol="_confounders"),
-        LogisticRegression(
-            featuresCol="_confounders", labelCol=treatment, probabilityCol="_probability",
-            rawPredictionCol="_margin", predictionCol="_label", regParam=1.0 / max(1, rows.count()),
-            elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10,
-        ),
-    ]
-    scored = Pipeline(stages=stages).fit(rows).transform(rows)
-    return scored.withColumn("Propensity_Score", vector_to_array("_probability")[1]).select(
-        *rows.columns, "Propensity_Score"
-    )
+        indexer = StringIndexer(
+            inputCols=texts, outputCols=[f"_code_{c}" for c in texts], stringOrderType="alphabetAsc"
+        ).fit(rows)
+        for name, labels in zip(texts, indexer.labelsArray):
+            codes = ", ".join('"' + label.replace('"', '\\"') + '"' for label in labels)
+            terms[terms.index(name)] = f"array_position(array({codes}), {name}) - 1"
+    coded = rows.selectExpr(f"int({treatment}) as label", *[f"double({t}) as x{i}" for i, t in enumerate(terms)])
+    assembler = VectorAssembler(inputCols=[f"x{i}" for i in range(len(terms))], outputCol="features")
+    model = LogisticRegression(
+        regParam=1.0 / max(1, rows.count()), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10
+    ).fit(assembler.transform(coded).select("label", "features"))
+    # The fitted line as an expression: scoring stays in generated code.
+    line = " + ".join(f"{float(w)!r}D * ({t})" for w, t in zip(model.coefficients, terms))
+    return rows.withColumn("Propensity_Score", F.expr(f"1 / (1 + exp(-({float(model.intercept)!r}D + {line})))"))
 
 
 def nearest_controls(

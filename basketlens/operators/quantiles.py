@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-SMALL = 200_000
+SMALL = 20_000
 
 
 class Quantiles(NamedTuple):
