@@ -90,9 +90,7 @@ def classifiers(train_rows: int) -> dict:
         "Random Forest": RandomForestClassifier(
             **columns, numTrees=300, maxDepth=10, seed=42, maxMemoryInMB=1024, cacheNodeIds=True
         ),
-        "Gradient Boosting": GBTClassifier(
-            **columns, maxIter=300, maxDepth=6, stepSize=0.05, seed=42, cacheNodeIds=True
-        ),
+        "Gradient Boosting": GBTClassifier(**columns, maxIter=300, maxDepth=6, stepSize=0.05, seed=42),
     }
 
 
