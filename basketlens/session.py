@@ -32,22 +32,43 @@ def build_session(app: str = "basketlens", master: str | None = None, **conf: st
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only in local mode with the setting unset.
+    Where that is unset, a single-machine session (tests, trials) gets one folder of its own; any other raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
         root = tempfile.mkdtemp(prefix="basketlens-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def materialise(df, purpose: str):
     """Write ``df`` once to the shared folder and read it back.
 
-    Used for small intermediate tables that several later steps read: they are
+    Used for intermediate tables that several later steps read: they are
     computed once, survive the loss of an executor, and have known sizes.
     """
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one operation, deleted as soon as they are read for the last time."""
+
+    def __init__(self, spark: SparkSession, purpose: str) -> None:
+        self.spark, self.root = spark, scratch_path(spark, purpose)
+
+    def write(self, df, name: str):
+        """``df`` written below this scratch folder and read back; ``name`` is used once."""
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete the named tables, or everything when none is named."""
+        for name in names or [""]:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

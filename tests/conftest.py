@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,9 +14,11 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="basketlens-tests-")
     session = build_session(
         "tests", "local[*]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+        spark__checkpoint__dir=shared,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
