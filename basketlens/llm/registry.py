@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from basketlens.llm import licenses, lines, mixing
+from basketlens.llm import licenses, lines, mixing, quality, simhash, toxicity
 
 
 def queries() -> dict:
     return {
         "op2_line_dedup": lines.op2_line_dedup,
+        "op3_quality": quality.op3_quality,
+        "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
         "op6_license_scan": licenses.op6_license_scan,
         "op8_source_mix": mixing.op8_source_mix,
+        "op9_toxicity": toxicity.op9_toxicity,
     }
 
 
