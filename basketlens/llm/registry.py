@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketlens.llm import licenses, lines, mixing, quality, simhash, toxicity
+from basketlens.llm import decontaminate, licenses, lines, mixing, quality, simhash, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_line_dedup": lines.op2_line_dedup,
         "op3_quality": quality.op3_quality,
         "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+        "op5_decontamination": decontaminate.op5_decontamination,
         "op6_license_scan": licenses.op6_license_scan,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_toxicity": toxicity.op9_toxicity,
