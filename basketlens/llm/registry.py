@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketlens.llm import decontaminate, licenses, lines, mixing, quality, simhash, toxicity
+from basketlens.llm import decontaminate, licenses, lines, mixing, quality, simhash, toxicity, vectors
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
         "op5_decontamination": decontaminate.op5_decontamination,
         "op6_license_scan": licenses.op6_license_scan,
+        "op7_embedding_near_dedup": vectors.op7_embedding_near_dedup,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_toxicity": toxicity.op9_toxicity,
     }
