@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from basketlens.llm import decontaminate, licenses, lines, mixing, quality, simhash, toxicity, vectors
+from basketlens.llm import decontaminate, licenses, lines, mixing, quality, recompression, simhash, toxicity, vectors
 
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": recompression.op1_substring_dedup,
         "op2_line_dedup": lines.op2_line_dedup,
         "op3_quality": quality.op3_quality,
         "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
@@ -19,4 +20,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op8_source_mix": mixing.OP8_SQL}
+    return {
+        "op1_substring_dedup": recompression.OP1_SQL, "op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op8_source_mix": mixing.OP8_SQL,
+    }
