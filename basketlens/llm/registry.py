@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketlens.llm import decontaminate, licenses, lines, mixing, quality, recompression, simhash, toxicity, vectors
+from basketlens.llm import decontaminate, licenses, lines, mixing, quality, recompression, simhash, suffixes, toxicity, vectors
 
 
 def queries() -> dict:
@@ -16,10 +16,12 @@ def queries() -> dict:
         "op7_embedding_near_dedup": vectors.op7_embedding_near_dedup,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_toxicity": toxicity.op9_toxicity,
+        "op10_suffix_dedup": suffixes.op10_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": recompression.OP1_SQL, "op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op8_source_mix": mixing.OP8_SQL,
+        "op10_suffix_dedup": suffixes.OP10_SQL,
     }
