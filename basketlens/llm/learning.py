@@ -16,6 +16,7 @@ from basketlens.session import Scratch
 
 by_value(__name__)
 
+SLICES = 16  # of a model, averaged separately
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,25 +67,33 @@ def train_rounds(
 ) -> dict[str, np.ndarray]:
     """Iterative parameter mixing: in each round every shard learns from the mean of the last round, in a task of its own.
 
-    A model has a fixed size, so ``shards`` of them are what the driver averages.  Rows are taken in the order of a
-    hash of their number and the round: retried tasks and reruns agree.
+    The mean is taken slice by slice in Spark, so the driver gets one model of fixed size, whatever ``shards`` is.  Rows
+    are taken in the order of a hash of their number and the round: retried tasks and reruns agree.
     """
-    names, model = list(start), start
+    names = list(start)
+    sizes = [start[k].size for k in names]
+    model = start
     for at in range(rounds):
-        sent = rows.sparkSession.sparkContext.broadcast(model)
+        sent = rows.sparkSession.sparkContext.broadcast({k: v.astype(np.float32) for k, v in model.items()})
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             order = sorted(range(len(pdf)), key=lambda k: (zlib.crc32(f"{pdf.doc_id.iloc[k]}:{at}".encode()), pdf.doc_id.iloc[k]))
             examples = [(pdf.idx.iloc[k], pdf.val.iloc[k].astype(np.float64), int(pdf.label.iloc[k])) for k in order]
-            out = learn({k: v.copy() for k, v in sent.value.items()}, examples, at)
-            return pd.DataFrame({"shard": [int(pdf.shard.iloc[0])], **{k: [np.asarray(out[k], dtype=np.float32).tobytes()] for k in names}})
+            out = learn({k: v.astype(np.float64) for k, v in sent.value.items()}, examples, at)
+            flat = np.concatenate([out[k].ravel() for k in names]).astype(np.float32)
+            return pd.DataFrame([(k, int(pdf.shard.iloc[0]), part.tobytes()) for k, part in enumerate(np.array_split(flat, SLICES))], columns=["slice", "shard", "part"])
 
-        schema = "shard int, " + ", ".join(f"{k} binary" for k in names)
-        got = sorted(rows.groupBy("shard").applyInPandas(run, schema).collect(), key=lambda r: r.shard)
+        def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+            parts = [np.frombuffer(p, dtype=np.float32).astype(np.float64) for p in pdf.sort_values("shard").part]
+            return pd.DataFrame({"slice": [int(pdf.slice.iloc[0])], "part": [np.mean(parts, axis=0).astype(np.float32).tobytes()]})
+
+        learned = rows.groupBy("shard").applyInPandas(run, "slice int, shard int, part binary")
+        got = sorted(learned.groupBy("slice").applyInPandas(mean, "slice int, part binary").collect(), key=lambda r: r.slice)
         sent.destroy()
         if not got:
             break
-        model = {k: np.mean([np.frombuffer(r[k], dtype=np.float32).astype(np.float64) for r in got], axis=0).reshape(start[k].shape) for k in names}
+        flat = np.concatenate([np.frombuffer(r.part, dtype=np.float32) for r in got])
+        model = {k: v.reshape(start[k].shape).astype(np.float64) for k, v in zip(names, np.split(flat, np.cumsum(sizes)[:-1]))}
     return model
 
 
