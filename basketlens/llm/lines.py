@@ -54,27 +54,30 @@ def shared_line_positions(docs: DataFrame, scratch: Scratch, min_chars: int = 40
     )
 
 
-def drop_shared_lines(docs: DataFrame, scratch: Scratch, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+def drop_shared_lines(
+    docs: DataFrame, scratch: Scratch, min_chars: int = 40, min_docs: int = 5, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``doc_id``, ``text`` (what stays, joined by line feeds), ``n_lines`` (before), ``n_dropped``; one row per input row.
 
-    ``docs`` needs ``doc_id`` and ``text``; other columns are not read, so their names cannot clash.  Null and empty
+    Columns named in ``carry`` follow unchanged; no other column is read.  They travel in one struct, so their names cannot clash.  Null and empty
     texts: one empty line, kept.  Rows without ``doc_id`` hold no line and lose none.  Rows that repeat a ``doc_id``
     count as one document, and each loses the lines that document loses.  An empty table gives an empty table.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     gone = shared_line_positions(docs, scratch, min_chars, min_docs)
     lines = text_lines(F.col("text"))
     # array_except is hashed: linear in the lines however many are dropped.
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     return (
         docs.withColumn("row", F.xxhash64("text")).join(gone, ["doc_id", "row"], "left")
-        .select("doc_id", "gone", lines.alias("lines"))
-        .select("doc_id", "lines", stay.alias("stay"))
+        .select("doc_id", "carried", "gone", lines.alias("lines"))
+        .select("doc_id", "carried", "lines", stay.alias("stay"))
         .select(
             "doc_id",
             F.array_join(F.transform("stay", lambda at: F.get("lines", at)), "\n").alias("text"),
             F.size("lines").cast("long").alias("n_lines"),
             (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
+            *[F.col("carried")[name].alias(name) for name in carry],
         )
     )
 

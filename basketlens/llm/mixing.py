@@ -44,7 +44,7 @@ def source_targets(sizes: DataFrame, cycle: int = 3, most: int = 3) -> DataFrame
     )
 
 
-def mix(docs: DataFrame, scratch: Scratch, seed: str = "mix", cycle: int = 3, most: int = 3) -> DataFrame:
+def mix(docs: DataFrame, scratch: Scratch, seed: str = "mix", cycle: int = 3, most: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``copies``.
 
     Every document of a source is wanted ``target / source_size`` times: the whole part is certain, the rest is its
@@ -52,7 +52,7 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = "mix", cycle: int = 3, mo
     first in the rank get one more copy until the words taken are as near to the target as they come.
 
     Null texts have size 0; null is a source of its own.  Rows that repeat a ``doc_id`` share its random number and are ranked
-    by size, so equal rows are interchangeable.  No other column is read.  An empty table gives an empty table.
+    by size, so equal rows are interchangeable.  ``source`` follows if named in ``carry``; no other column is read.  An empty table gives an empty table.
     """
     sizes = scratch.write(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), random_bits(F.col("doc_id"), seed).alias("bits")), "sizes"
@@ -87,7 +87,7 @@ def mix(docs: DataFrame, scratch: Scratch, seed: str = "mix", cycle: int = 3, mo
         "doc_id", "size", "source_size", "target",
         "size * (whole + case when before + size / 2.0D <= rest and rest > 0 then 1 else 0 end) as taken",
         "whole + case when before + size / 2.0D <= rest and rest > 0 then 1 else 0 end as copies",
-        f"case when chance > 0 then ({odds}) * ((1 - chance) / chance) end as rank_value",
+        f"case when chance > 0 then ({odds}) * ((1 - chance) / chance) end as rank_value", *carry,
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from basketlens.llm import decontaminate, licenses, lines, mixing, quality, recompression, simhash, suffixes, toxicity, vectors
 
 
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op8_source_mix": mixing.op8_source_mix,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 

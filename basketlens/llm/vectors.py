@@ -24,6 +24,7 @@ by_value(__name__)
 COSINE = 0.95
 CODES = 4  # independent codes: a vector that lies between the directions of one does not in all
 MISS = 1e-4  # chance to miss a pair at the threshold that the number of caps is chosen for
+NARROW = 16  # coordinates that the plan's normal scores need, at least
 CROWD = 64  # distinct vectors for each filter
 BLOCK = 1024  # vectors of one cap that are compared at once
 
@@ -73,9 +74,9 @@ def rotation(width: int, code: int, seed: int = 12) -> np.ndarray:
 
 def caps(unit: np.ndarray, words: int, z: float) -> list[np.ndarray]:
     """Filters whose caps hold each (unit) row: list decoding, from the best codewords on, until no row reaches the threshold."""
+    if unit.shape[1] < NARROW:  # zeros leave all angles as they are
+        unit = np.pad(unit, ((0, 0), (0, NARROW - unit.shape[1])))
     width = unit.shape[1]
-    if width < 2:
-        return [np.zeros(1, dtype=np.int64) for _ in unit]
     left, right = codebooks(width, words)
     least = z / math.sqrt(width)
     rows, codes = [], []
