@@ -140,7 +140,7 @@ ORACLE = {
         WHERE Purchase_Category IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"""),
     "a04_age_frequency": over_orders(f"""SELECT Age_Group, {_avg(FREQ)} AS avg_freq
         FROM (SELECT *, {_AGE} AS Age_Group FROM o) WHERE Age_Group IS NOT NULL GROUP BY 1"""),
-    "a05_income_gender": _pivot_sql("Income_Level", "Gender", charts.GENDERS, _money_cell()),
+    "a05_income_gender": _pivot_sql("Income_Level", "Gender", ["Female", "Male"], _money_cell()),
     "a06_sensitivity_box": over_orders(
         f"SELECT l.Discount_Sensitivity, b.* EXCLUDE (Discount_Sensitivity) FROM (VALUES {_levels(bands.SENSITIVITY)}) "
         f"AS l(Discount_Sensitivity) LEFT JOIN ({box_sql(SAT, 'o', 'Discount_Sensitivity')}) b USING (Discount_Sensitivity)"),
@@ -170,13 +170,13 @@ ORACLE = {
     "a16c_decision_by_channel": _by("Purchase_Channel", f"{_avg('Time_to_Decision')} AS avg_dec"),
     "a17_weekday": _by("Purchase_DayOfWeek", f"{_DAY}, {REV} AS revenue, count(*) AS orders, {AOV} AS avg_amount"),
     "a17_quarter": _by("Purchase_Quarter", f"'Q' || Purchase_Quarter AS label, {REV} AS revenue, count(*) AS orders"),
-    "a18_device_channel": _pivot_sql("Device_Used_for_Shopping", "Purchase_Channel", charts.CHANNELS, _money_cell()),
+    "a18_device_channel": _pivot_sql("Device_Used_for_Shopping", "Purchase_Channel", ["In-Store", "Mixed", "Online"], _money_cell()),
     "a19_engagement": _ordered("Engagement_with_Ads", bands.ENGAGEMENT,
         f"{AOV} AS aov, {_avg(FREQ)} AS avg_freq, round(100.0 * count(*) FILTER (WHERE Purchase_Intent = 'Impulsive') "
         f"/ count(*), 6)::DOUBLE AS avg_intent_imp, {_avg(SAT)} AS avg_sat"),
     "a20_shipping": _by("Shipping_Preference", f"{_avg(SAT)} AS avg_sat, {_avg('Return_Rate')} AS avg_ret, "
         f"{_avg('Time_to_Decision')} AS avg_dec, count(*) AS count"),
-    "a21_education_channel": _pivot_sql("Education_Level", "Purchase_Channel", charts.CHANNELS, f"avg(@ {SAT} END)"),
+    "a21_education_channel": _pivot_sql("Education_Level", "Purchase_Channel", ["In-Store", "Mixed", "Online"], f"avg(@ {SAT} END)"),
     "a22_loyalty_bands": over_orders(f"""SELECT Loyalty_Group, {AOV} AS aov, {_avg(FREQ)} AS avg_freq, {_avg(SAT)} AS avg_sat,
         {_avg('Return_Rate')} AS avg_ret, {_avg('Discount_Used')} AS discount_rate,
         {_avg('Customer_Loyalty_Program_Member')} AS loyalty_mem_rate FROM (SELECT *, {_LOYAL} AS Loyalty_Group FROM o)

@@ -44,12 +44,11 @@ QUERIES = {
         lambda o: d.kpi_row(d.select_rows(o, Gender=["Male"], Income_Level=["Low", "High"], Education_Level=["PhD"])),
         GEN, INC, "Education_Level", AMT, SAT),
     "p_location_count": _all(lambda o: d.count_by(o, "Location"), "Location", ID),
-    "p_age_amount_sample": _all(
-        lambda o: d.scatter_sample(o, [ID, "Age", AMT, INC], 1000), ID, "Age", AMT, INC),
+    "p_age_amount": _all(lambda o: o.select(ID, "Age", AMT, INC), ID, "Age", AMT, INC),
     "p_agegroup_gender_freq": _all(d.age_gender_frequency, "Age", GEN, "Frequency_of_Purchase"),
     "p_payment_count": _all(lambda o: d.count_by(o, "Payment_Method"), "Payment_Method", ID),
     "p_sensitivity_intent_matrix": _all(
-        lambda o: d.sensitivity_intent_matrix(o, INTENTS), "Discount_Sensitivity", "Purchase_Intent", SAT),
+        d.sensitivity_intent_matrix, "Discount_Sensitivity", "Purchase_Intent", SAT),
     "p_month_revenue": _all(lambda o: d.revenue_by(o, "Purchase_Month"), "Purchase_Month", AMT),
     "p_social_loyalty": _all(
         lambda o: d.mean_by(o, "Social_Media_Influence", "Brand_Loyalty", "avg_loyalty"),
@@ -112,8 +111,7 @@ ORACLE = {
     "p_slicers": over_orders(
         _KPI + " o WHERE Gender = 'Male' AND Income_Level IN ('Low', 'High') AND Education_Level = 'PhD'"),
     "p_location_count": _count("Location"),
-    "p_age_amount_sample": over_orders(
-        f"SELECT Customer_ID, Age, Purchase_Amount, Income_Level FROM o ORDER BY {HASH}, Customer_ID LIMIT 1000"),
+    "p_age_amount": over_orders("SELECT Customer_ID, Age, Purchase_Amount, Income_Level FROM o"),
     "p_agegroup_gender_freq": over_orders("""SELECT CASE WHEN Age <= 25 THEN '18-25' WHEN Age <= 35 THEN '26-35'
         WHEN Age <= 45 THEN '36-45' WHEN Age <= 55 THEN '46-55' ELSE '55+' END AS Age_Group, Gender,
         round(avg(Frequency_of_Purchase), 6) AS avg_frequency FROM o WHERE Age > 18 AND Age <= 70 GROUP BY 1, 2"""),

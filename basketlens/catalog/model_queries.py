@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketlens.catalog.oracle_base import over_orders
 from basketlens.catalog.rounding import rounded
 from basketlens.operators import attribution, classify, segment
+from basketlens.operators.oversample import between_neighbours
 from basketlens.plans.dashboard import select_rows
 from basketlens.session import materialise, scratch_path
 from basketlens.sources.retail import retail_orders
@@ -74,6 +75,22 @@ def m8_radar(spark, path):
     return rounded(segment.radar(segment.profile(_by_quarter(spark, path))))
 
 
+def _clustered(spark, path):
+    return _segments(spark, path).transform(_rfm(spark, path, ID))
+
+
+def m6_fitted_profile(spark, path):
+    return segment.profile(_clustered(spark, path))
+
+
+def m7_fitted_names(spark, path):
+    return segment.named(_clustered(spark, path)).groupBy("Cluster", "Segment_Name").agg(F.count("*").alias("rows"))
+
+
+def m8_fitted_radar(spark, path):
+    return rounded(segment.radar(segment.profile(_clustered(spark, path))))
+
+
 def m9_pca(spark, path):
     clustered = _segments(spark, path).transform(_rfm(spark, path, ID))
     return rounded(segment.projection(clustered).select(ID, "Cluster", "PC1", "PC2"))
@@ -121,8 +138,8 @@ def f05_class_counts(spark, path):
 
 
 def f06_oversampled(spark, path):
-    """Class sizes of the train part after oversampling."""
-    return classify.class_counts(_training(spark, path).train)
+    """Class sizes of the rows to fit on after oversampling; synthetic rows that lie towards one of the five nearest."""
+    return between_neighbours(_training(spark, path).resampled, FEATURES, TARGET, KEY)
 
 
 def _quality(name):
@@ -165,6 +182,19 @@ def f11_model_report(spark, path):
     return rounded(classify.classification_report(classify.score_column(best.model.transform(training.test))))
 
 
+def _best_scored(spark, path):
+    training = _training(spark, path)
+    return classify.score_column(training.best().model.transform(training.test))
+
+
+def f12_model_confusion(spark, path):
+    return classify.confusion(_best_scored(spark, path))
+
+
+def f13_model_roc(spark, path):
+    return rounded(classify.roc_points(_best_scored(spark, path)), 12)
+
+
 def f14_importance(spark, path):
     return rounded(classify.importances(_training(spark, path).best().model, FEATURES, spark))
 
@@ -211,7 +241,7 @@ def x3_breakdown(spark, path):
 QUERIES = {
     f.__name__: f
     for f in [
-        m1_recency, m2_rfm, m3_scaled, m4_k_sweep, m5_clusters, m6_profile, m7_names, m8_radar, m9_pca, m10_score,
+        m1_recency, m2_rfm, m3_scaled, m4_k_sweep, m5_clusters, m6_profile, m7_names, m8_radar, m6_fitted_profile, m7_fitted_names, m8_fitted_radar, m9_pca, m10_score,
         f01_features, f02_model_rows, f03_encoded, f04_split, f05_class_counts, f06_oversampled,
     ]
 }
@@ -223,7 +253,7 @@ QUERIES |= {
 QUERIES |= {
     f.__name__: f
     for f in [
-        f10_compare, f11_report, f11_model_report, f12_confusion, f13_roc, f14_importance, f15_score, x1_shapley,
+        f10_compare, f11_report, f11_model_report, f12_confusion, f12_model_confusion, f13_roc, f13_model_roc, f14_importance, f15_score, x1_shapley,
         x2_importance, x3_breakdown,
     ]
 }
@@ -244,6 +274,10 @@ _PER_CLASS = """pc AS (SELECT class, CASE WHEN called = 0 THEN 0 ELSE CAST(hit A
     CAST(hit AS DOUBLE) / support AS recall, 2.0 * hit / (called + support) AS f1, support FROM c)"""
 
 
+_HASHED = """h AS (SELECT Customer_ID, High_Satisfaction,
+    CAST(CAST('0x' || substr(md5(Customer_ID || '-42'), 1, 13) AS BIGINT) AS DOUBLE) AS h FROM r)"""
+
+
 def _z(c):
     return f"round(({c} - (SELECT avg({c}) FROM rfm)) / (SELECT stddev_pop({c}) FROM rfm), 6) AS {c}_z"
 
@@ -281,13 +315,15 @@ ORACLE = {
     "f04_split": over_orders(
         """SELECT Customer_ID, High_Satisfaction, CASE WHEN h <= cut THEN 1 ELSE 0 END AS in_train
         FROM h JOIN (SELECT High_Satisfaction, quantile_cont(h, 0.8) AS cut FROM h GROUP BY 1) USING (High_Satisfaction)""",
-        _COMPLETE,
-        "h AS (SELECT Customer_ID, High_Satisfaction, CAST(CAST('0x' || substr(md5(Customer_ID || '-42'), 1, 13) AS BIGINT)"
-        " AS DOUBLE) AS h FROM r)"),
+        _COMPLETE, _HASHED),
     "f05_class_counts": over_orders("SELECT High_Satisfaction, count(*) AS count FROM r GROUP BY 1", _COMPLETE),
     "f06_oversampled": over_orders(
-        """SELECT High_Satisfaction, max(n) OVER () AS count FROM (SELECT High_Satisfaction,
-        CAST(floor(0.8 * (count(*) - 1)) + 1 AS BIGINT) AS n FROM r GROUP BY 1)""", _COMPLETE),
+        """SELECT High_Satisfaction, max(n) OVER () AS count, max(n) OVER () - n AS between
+        FROM (SELECT High_Satisfaction, count(*) AS n FROM fit GROUP BY 1)""",
+        _COMPLETE, _HASHED,
+        """fit AS (SELECT h.High_Satisfaction FROM h JOIN (SELECT High_Satisfaction, quantile_cont(h, 0.8) AS cut FROM h GROUP BY 1) c
+        ON h.High_Satisfaction = c.High_Satisfaction AND h.h <= c.cut
+        ORDER BY CAST('0x' || substr(md5(Customer_ID || '-fit'), 1, 13) AS BIGINT), Customer_ID LIMIT 50000)"""),
     "f11_report": over_orders(
         """SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pc
         UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT round(CAST(sum(hit) AS DOUBLE) / sum(support), 6) FROM c),

@@ -8,6 +8,7 @@ from basketlens.catalog.chart_queries import box_sql
 from basketlens.catalog.oracle_base import money_avg, money_sum, over_orders
 from basketlens.catalog.rounding import rounded
 from basketlens.operators import matching, stats, value
+from basketlens.session import materialise
 from basketlens.sources.retail import retail_orders
 
 ARM, OUT, ID, AMT, SAT = "Discount_Used", "Return_Rate", "Customer_ID", "Purchase_Amount", "Customer_Satisfaction"
@@ -27,11 +28,19 @@ def _scored(spark, path, score):
 
 
 def _pairs(spark, path, score=TIED_SCORE):
-    return matching.matched_pairs(_scored(spark, path, score), "score")
+    scored = materialise(_scored(spark, path, score).select(ID, ARM, OUT, "score"), "scores")
+    return matching.matched_pairs(scored, "score")
 
 
 def _propensity(spark, path):
-    return matching.propensity_scores(matching.complete_rows(_arms(spark, path, ID, *matching.CONFOUNDERS)))
+    rows = materialise(matching.complete_rows(_arms(spark, path, ID, *matching.CONFOUNDERS)), "confounders")
+    return matching.propensity_scores(rows)
+
+
+def _fitted_pairs(spark, path):
+    """Matches by the fitted score; rows and scores are written once, narrow, and read by every step."""
+    scored = materialise(_propensity(spark, path).select(ID, ARM, OUT, "Propensity_Score"), "propensity")
+    return matching.matched_pairs(scored, "Propensity_Score")
 
 
 def t1_mannwhitney(spark, path):
@@ -76,12 +85,22 @@ def j4_effect(spark, path):
 
 def j4_propensity_effect(spark, path):
     """The effect on pairs matched by the fitted score."""
-    return rounded(matching.matched_effect(matching.matched_pairs(_propensity(spark, path), "Propensity_Score")))
+    return rounded(matching.matched_effect(_fitted_pairs(spark, path)))
 
 
 def j5_score_hist(spark, path):
-    rows = _scored(spark, path, TIED_SCORE)
-    return rounded(matching.score_histograms(rows, matching.matched_pairs(rows, "score"), "score"))
+    rows = materialise(_scored(spark, path, TIED_SCORE).select(ID, ARM, OUT, "score"), "scores")
+    return rounded(matching.score_histograms(rows, materialise(matching.matched_pairs(rows, "score"), "pairs"), "score"))
+
+
+def j2_propensity_match(spark, path):
+    return rounded(_fitted_pairs(spark, path).select(ID, "score", "control_id", "match_score", "distance"), 6)
+
+
+def j5_propensity_hist(spark, path):
+    rows = materialise(_propensity(spark, path).select(ID, ARM, OUT, "Propensity_Score"), "propensity")
+    pairs = materialise(matching.matched_pairs(rows, "Propensity_Score"), "pairs")
+    return rounded(matching.score_histograms(rows, pairs, "Propensity_Score"))
 
 
 VALUE = [AMT, "Frequency_of_Purchase", SAT]
@@ -124,14 +143,24 @@ def i3_best_influence(spark, path):
     return rounded(value.best_by_amount(orders, "Social_Media_Influence"))
 
 
-def i4_insights(spark, path):
+def _insights(spark, path, pairs):
     orders = retail_orders(
         spark, path, ["Purchase_Channel", AMT, "Customer_Loyalty_Program_Member", SAT, "Social_Media_Influence"]
     )
-    effect = matching.matched_effect(_pairs(spark, path))
+    effect = matching.matched_effect(pairs)
     return value.insights(orders, effect, value.value_segments(_valued(spark, path)))
 
 
+def i4_insights(spark, path):
+    """The printed insights, with the effect on pairs matched by the fitted score."""
+    return _insights(spark, path, _fitted_pairs(spark, path))
+
+
+def i4_insights_tied(spark, path):
+    """The same with a score that both engines compute alike."""
+    return _insights(spark, path, _pairs(spark, path))
+
+
 def i5_research_corr(spark, path):
     return rounded(value.research_correlation(retail_orders(spark, path, ["Research_Hours", SAT])))
 
@@ -144,8 +173,8 @@ QUERIES = {
     f.__name__: f
     for f in [
         t1_mannwhitney, t1_mannwhitney_amount, t2_ttest, t3_cohens_d, t4_ks, j1_propensity, j2_nearest_match,
-        j2_nearest_match_dense, j3_matched_union, j4_effect, j4_propensity_effect, j5_score_hist, l1_clv, l2_mean,
-        l3_segment, l4_box, l5_high, i1_best_channel, i2_loyalty_effect, i3_best_influence, i4_insights,
+        j2_nearest_match_dense, j3_matched_union, j4_effect, j4_propensity_effect, j5_score_hist, j2_propensity_match, j5_propensity_hist, l1_clv, l2_mean,
+        l3_segment, l4_box, l5_high, i1_best_channel, i2_loyalty_effect, i3_best_influence, i4_insights, i4_insights_tied,
         i5_research_corr, i5_best_category,
     ]
 }
@@ -267,7 +296,7 @@ ORACLE = {
     "i1_best_channel": over_orders(_best("Purchase_Channel", money_avg(), "aov")),
     "i2_loyalty_effect": over_orders(f"SELECT round({_LOYALTY}, 6) AS effect FROM o"),
     "i3_best_influence": over_orders(_best("Social_Media_Influence", money_avg(), "aov")),
-    "i4_insights": over_orders(
+    "i4_insights_tied": over_orders(
         f"""SELECT 1 AS position, '1. Kênh ''' || Purchase_Channel || ''' có AOV cao nhất ($' || format('{{:.2f}}', aov)
             || '). Ưu tiên tối ưu ROI Marketing.' AS insight FROM ({_best('Purchase_Channel', money_avg(), 'aov')})
         UNION ALL SELECT 2, '2. Loyalty Program tăng Hài Lòng thêm ' || format('{{:.2f}}', {_LOYALTY})

@@ -20,6 +20,7 @@ from basketlens.operators.ranges import running_totals
 from basketlens.session import materialise, scratch_path
 
 KEY, TARGET = "Customer_ID", "High_Satisfaction"
+# Model inputs, the coded ones among them.
 FEATURES = [
     "Age", "Income_Level", "Frequency_of_Purchase", "Purchase_Channel", "Brand_Loyalty", "Product_Rating",
     "Research_Hours", "Social_Media_Influence", "Discount_Sensitivity", "Return_Rate", "Engagement_with_Ads",
@@ -32,6 +33,7 @@ CATEGORIES = [
 ]
 INPUTS = [c for c in FEATURES if c != "Engagement_Score"]
 TRAIN_SHARE = 0.8
+FIT_ROWS = 50_000  # rows that models are fitted on, at most
 
 
 def add_engagement(orders: DataFrame) -> DataFrame:
@@ -119,7 +121,7 @@ class Fitted:
 def evaluate(name: str, model, test: DataFrame) -> Fitted:
     scored = model.transform(test)
     f1 = MulticlassClassificationEvaluator(labelCol=TARGET, metricName="fMeasureByLabel", metricLabel=1.0)
-    auc = BinaryClassificationEvaluator(labelCol=TARGET, rawPredictionCol="rawPrediction")
+    auc = BinaryClassificationEvaluator(labelCol=TARGET, rawPredictionCol="rawPrediction", numBins=0)
     return Fitted(name, model, f1.evaluate(scored), auc.evaluate(scored))
 
 
@@ -129,6 +131,7 @@ class Training:
 
     encoder: PipelineModel
     train: DataFrame
+    resampled: DataFrame
     test: DataFrame
     estimators: dict
     fitted: dict
@@ -148,19 +151,27 @@ class Training:
         return max(self.compare(), key=lambda f: f.f1)
 
 
-def prepare(orders: DataFrame) -> Training:
-    """Encode, split, oversample the train part and keep both sets as written tables."""
+def prepare(orders: DataFrame, fit_rows: int = FIT_ROWS) -> Training:
+    """Encode, split, oversample the train part and keep both sets as written tables.
+
+    Models are fitted on at most ``fit_rows`` rows of the train part, those with the smallest key hashes; the hold-out
+    rows and all scoring are unbounded.
+    """
     rows = model_rows(orders)
     encoder = fit_encoder(rows)
     split = mark_split(encode(encoder, rows)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = materialise(
-            oversample(split.where("in_train"), FEATURES, TARGET, KEY).select(KEY, *FEATURES, TARGET), "train"
+            oversample(
+                materialise(split.where("in_train").orderBy(key_hash(F.col(KEY), "fit"), KEY).limit(fit_rows), "fit"),
+                FEATURES, TARGET, KEY,
+            ),
+            "train",
         )
         test = materialise(split.where("not in_train").select(KEY, *FEATURES, TARGET), "test")
     finally:
         split.unpersist()
-    return Training(encoder, assemble(train), assemble(test), classifiers(train.count()), {})
+    return Training(encoder, assemble(train), train, assemble(test), classifiers(train.count()), {})
 
 
 def score_column(scored: DataFrame) -> DataFrame:

@@ -56,15 +56,18 @@ def add_flags(orders: DataFrame) -> DataFrame:
     return orders.withColumns(flags)
 
 
-def parse(raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS) -> DataFrame:
-    """One projection from text columns to typed columns."""
+def parse(
+    raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS, date_formats: list[str] = text.DATE_FORMATS
+) -> DataFrame:
+    """Text columns to typed columns: one projection trims and takes out missing tokens, the next types."""
+    trimmed = raw.selectExpr(*[f"{text.missing_to_null(f'`{name}`', na_tokens)} as `{name}`" for name in raw.columns])
     typed = []
     for name in raw.columns:
-        column = text.missing_to_null(f"`{name}`", na_tokens)
+        column = f"`{name}`"
         if name == "Purchase_Amount":
             column = text.money(column)
         elif name == "Time_of_Purchase":
-            column = text.timestamp(column)
+            column = text.timestamp(column, date_formats)
         elif name in FLAGS:
             column = text.flag(column)
         elif name in WHOLE:
@@ -74,7 +77,7 @@ def parse(raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS) -> DataFrame:
         else:
             column = f"trim({column})"
         typed.append(f"{column} as `{name}`")
-    return raw.selectExpr(*typed)
+    return trimmed.selectExpr(*typed)
 
 
 def drop_incomplete(orders: DataFrame) -> DataFrame:

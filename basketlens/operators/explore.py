@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +73,12 @@ def box_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     return result if by else result.drop(group)
 
 
-def pivot_mean(df: DataFrame, row: str, column: str, levels: list[str], mean: Column) -> DataFrame:
+def pivot_mean(df: DataFrame, row: str, column: str, mean: Column) -> DataFrame:
     """Mean per row key and column level; rows with a null key are left out.
 
-    The levels are given, so no job is run to find them.
+    The columns are the levels in the data, whatever they are, in alphabetical order; finding them is a small job.
     """
-    return df.dropna(subset=[row, column]).groupBy(row).pivot(column, levels).agg(mean).orderBy(row)
+    return df.dropna(subset=[row, column]).groupBy(row).pivot(column).agg(mean).orderBy(row)
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
@@ -92,46 +90,30 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+PAIRS_AT_ONCE = 9
+
+
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair over the rows where both are present.
+    """Pearson correlation of every pair over the rows where both are present; 1 for a column with itself.
 
-    One pass: each task reduces its Arrow batches to the pairwise sums, a few
-    rows per task are shuffled.  (A ``corr`` per pair is too wide for generated
-    code.)  Values are centred at the overall means first, for accuracy.
+    Each pair is computed once, a few pairs to an aggregate so that the aggregates stay in generated code; all of them
+    read one prepared input.
     """
     numbers = df.select(*[F.col(c).cast("double") for c in columns])
-    means = numbers.agg(*[F.avg(c) for c in columns]).first()
-    centre = np.array([m or 0.0 for m in means])
-
-    def pair_sums(batches):
-        total = np.zeros((5, len(columns), len(columns)))
-        for batch in batches:
-            raw = batch.to_numpy(dtype="float64", na_value=np.nan)
-            present = (~np.isnan(raw)).astype("float64")
-            x = np.where(present > 0, raw - centre, 0.0)
-            total += [present.T @ present, x.T @ present, present.T @ x, (x * x).T @ present, x.T @ x]
-        # sum of b squared over pairs is the transpose of sum of a squared.
-        n, sum_a, sum_b, sum_aa, sum_ab = total
-        a, b = (g.ravel() for g in np.meshgrid(range(len(columns)), range(len(columns)), indexing="ij"))
-        yield pd.DataFrame({
-            "a": a, "b": b, "n": n.ravel(), "sa": sum_a.ravel(), "sb": sum_b.ravel(), "saa": sum_aa.ravel(),
-            "sbb": sum_aa.T.ravel(), "sab": sum_ab.ravel(),
-        })
-
-    sums = numbers.mapInPandas(
-        pair_sums, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
-    )
-    names = "array(" + ", ".join(f"'{c}'" for c in columns) + ")"
-    return (
-        sums.groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-        .selectExpr(
-            f"{names}[a] as column_a",
-            f"{names}[b] as column_b",
-            "if(a = b, if(n > 0, 1.0D, null),"
-            " try_divide(n * sab - sa * sb, sqrt((n * saa - sa * sa) * (n * sbb - sb * sb)))) as r",
-        )
-    )
+    pairs = [(a, b) for at, a in enumerate(columns) for b in columns[at:]]
+    found = None
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        cells = [
+            F.struct(
+                F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                (F.when(F.count(a) > 0, F.lit(1.0)) if a == b else F.corr(a, b)).alias("r"),
+            )
+            for a, b in pairs[at : at + PAIRS_AT_ONCE]
+        ]
+        part = numbers.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+        found = part if found is None else found.unionByName(part)
+    mirrored = F.array(F.struct("column_a", "column_b", "r"), F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r"))
+    return found.select(F.explode(F.when(F.col("column_a") == F.col("column_b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)).alias("x")).select("x.*")
 
 
 def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:

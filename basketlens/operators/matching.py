@@ -111,13 +111,12 @@ def matched_pairs(
 ) -> DataFrame:
     """One row per treated row with its matched control."""
     matches = materialise(nearest_controls(rows, score, treatment, outcome, key, buckets), "matches")
-    total = matches.agg(F.sum("treated_rows")).first()[0] or 0
     treated = rows.where((F.col(treatment) == 1) & F.col(score).isNotNull()).select(
         key, F.col(score).cast("double").alias("score"), F.col(outcome).alias("outcome")
     )
     counts = matches.select("score", "treated_rows")
     return salted_left_join(
-        treated, matches.drop("treated_rows"), counts, "score", "treated_rows", total, F.col(key)
+        treated, matches.drop("treated_rows"), counts, "score", "treated_rows", F.col(key)
     ).select(
         key, "score", "outcome", "control_id", "match_score", "control_outcome",
         F.abs(F.col("score") - F.col("match_score")).alias("distance"),

@@ -2,84 +2,75 @@
 
 from __future__ import annotations
 
-import math
-import random
-
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.hashing import key_hash, key_uniform
+from basketlens.functions.shipping import by_value
 from basketlens.operators.quantiles import exact_quantiles
-from basketlens.operators.ranges import split_points, with_buckets
+
+by_value(__name__)
 
 NEIGHBOURS = 5
-PROJECTIONS = 8
-REACH = 10
-ROWS_PER_TASK = 250_000
-
-
-def _directions(width: int, seed: int) -> list[list[float]]:
-    """Random unit vectors."""
-    source = random.Random(seed)
-    found = []
-    for _ in range(PROJECTIONS):
-        raw = [source.gauss(0.0, 1.0) for _ in range(width)]
-        length = math.sqrt(sum(v * v for v in raw))
-        found.append([v / length for v in raw])
-    return found
-
-
-def near_neighbours(rows: DataFrame, key: str, features: list[str], k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
-    """(key, x, neighbours): up to ``k`` near rows each, nearest first, found along sorted projections.
-
-    All-pairs distances would be quadratic.  Rows are sorted along a few random
-    directions; the rows within a fixed reach in each order are compared by
-    true distance and the nearest kept.  Every row does the same bounded work,
-    also inside a large group of copies.  The neighbours are near rather than
-    proven nearest, which interpolation does not need.
+MOST_ROWS = 100_000
+BLOCK = 512
+
+
+def nearest(points: np.ndarray, all_points: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and squared distances of the ``k`` rows of ``all_points`` nearest to each point, itself left out.
+
+    Products find a few more than ``k`` candidates; their distances are then taken exactly, equal ones in row order.
+    """
+    norms = (all_points * all_points).sum(axis=1)
+    rough = norms - 2.0 * points @ all_points.T
+    rough[np.arange(len(points)), own] = np.inf
+    wide = min(len(all_points) - 1, 2 * k + 16)
+    if wide < 1:
+        return np.zeros((len(points), 0), dtype=np.int64), np.zeros((len(points), 0))
+    some = np.sort(np.argpartition(rough, wide - 1, axis=1)[:, :wide], axis=1)
+    exact = ((points[:, None, :] - all_points[some]) ** 2).sum(axis=2)
+    order = np.argsort(exact, axis=1, kind="stable")[:, :k]
+    return np.take_along_axis(some, order, 1), np.take_along_axis(exact, order, 1)
+
+
+def near_neighbours(rows: DataFrame, key: str, features: list[str], k: int = NEIGHBOURS) -> DataFrame:
+    """(key, x, neighbours): the ``k`` nearest other rows of each row, nearest first, exact.
+
+    ``rows`` is a bounded set, the smaller class of what models are fitted on; more than ``MOST_ROWS`` rows are refused.
+    It is sent to every task, and each task compares its rows with all of it in blocks.
     """
     x = "array(" + ", ".join(f"cast({c} as double)" for c in features) + ")"
-    numbers = range(PROJECTIONS)
-    places, buckets = [f"_place{n}" for n in numbers], [f"_bucket{n}" for n in numbers]
-    dots = [
-        " + ".join(f"{w!r}D * {c}" for w, c in zip(direction, features)) + f" as {place}"
-        for direction, place in zip(_directions(len(features), seed), places)
-    ]
-    projected = rows.selectExpr(key, f"{x} as x", *dots)
-    projected = with_buckets(projected, places, split_points(projected, places), buckets)
-    entries = ", ".join(
-        f"struct({n} as direction, {place} as place, {bucket} as _bucket)"
-        for n, place, bucket in zip(numbers, places, buckets)
-    )
-    placed = projected.selectExpr(key, "x", f"inline(array({entries}))")
-    # A bucket grows beyond its share only by equal places; it is split by key.
-    sizes = placed.groupBy("direction", "_bucket").agg(F.ceil(F.count("*") / ROWS_PER_TASK).alias("_parts"))
-    spread = placed.join(F.broadcast(sizes), ["direction", "_bucket"]).withColumn(
-        "_part", F.pmod(F.xxhash64(key), F.col("_parts"))
-    )
-    window = f"partition by direction, _bucket, _part order by place, {key} rows between {REACH} preceding and {REACH} following"
-    seen = spread.selectExpr(
-        key, "x", f"collect_list(struct({key} as id, x)) over ({window}) as around"
-    ).selectExpr(
-        key,
-        "x",
-        f"""slice(array_sort(transform(filter(around, c -> c.id != {key}), c -> struct(
-            aggregate(zip_with(c.x, x, (a, b) -> (a - b) * (a - b)), 0.0D, (s, d) -> s + d) as distance,
-            c.id as id, c.x as x))), 1, {k}) as near""",
-    )
-    # One row per direction and key: at most PROJECTIONS short arrays each.
-    return (
-        seen.groupBy(key)
-        .agg(F.first("x").alias("x"), F.flatten(F.collect_list("near")).alias("near"))
-        .selectExpr(key, "x", f"slice(array_sort(array_distinct(near)), 1, {k}) as neighbours")
-    )
+    table = rows.selectExpr(f"cast({key} as string) as id", f"{x} as x").limit(MOST_ROWS + 1).toPandas().sort_values("id")
+    if len(table) > MOST_ROWS:
+        raise ValueError(f"neighbours are searched among {MOST_ROWS} rows at most; bound the rows to fit on")
+    ids = table["id"].to_numpy()
+    points = np.array(table["x"].tolist(), dtype=np.float64).reshape(len(ids), len(features))
+    sent = rows.sparkSession.sparkContext.broadcast((ids, points))
+
+    def run(batches):
+        ids, points = sent.value
+        for batch in batches:
+            for at in range(0, len(batch), BLOCK):
+                part = batch.iloc[at : at + BLOCK]
+                own = np.searchsorted(ids, part["id"].to_numpy())
+                which, distance = nearest(points[own], points, own, k)
+                near = [
+                    [{"distance": float(d), "id": ids[j], "x": points[j].tolist()} for j, d in zip(js, ds)]
+                    for js, ds in zip(which, distance)
+                ]
+                yield pd.DataFrame({"id": part["id"], "x": points[own].tolist(), "neighbours": near})
+
+    schema = "id string, x array<double>, neighbours array<struct<distance: double, id: string, x: array<double>>>"
+    return rows.selectExpr(f"cast({key} as string) as id").mapInPandas(run, schema).withColumnRenamed("id", key)
 
 
 def oversample(
     train: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS, seed: int = 42
 ) -> DataFrame:
-    """``train`` plus synthetic rows of the smaller class until both classes are equal.
+    """``train`` plus synthetic rows of the smaller class until both classes are equal; ``train`` is the bounded set to fit on.
 
     A synthetic row lies between a row of the class and one of its neighbours.
     Every row gets the same number of synthetic rows, and the remainder goes to
@@ -98,7 +89,7 @@ def oversample(
     if rest:
         rank = 0.0 if n == 1 else (rest - 0.5) / (n - 1)
         limit = exact_quantiles(hashed, ["h"], [min(1.0, max(0.0, rank))])[0].values[0]
-    copies = near_neighbours(minority, key, features, k, seed).withColumn(
+    copies = near_neighbours(minority, key, features, k).withColumn(
         "copies", F.lit(each) + (key_hash(F.col(key), f"extra-{seed}") <= F.lit(limit)).cast("int")
     )
     pick = F.concat_ws("/", F.col(key), F.col("copy"))
@@ -122,3 +113,20 @@ def oversample(
     )
     doubles = kept.selectExpr(key, *[f"cast({c} as double) as {c}" for c in features], label, "synthetic")
     return doubles.unionByName(synthetic)
+
+
+def between_neighbours(full: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS) -> DataFrame:
+    """Rows per class, and how many of them are synthetic and lie between their parent and one of its ``k`` nearest rows."""
+    classes = full.where("synthetic").select(label).distinct()
+    pool = full.where("not synthetic").join(F.broadcast(classes), label, "left_semi")
+    near = near_neighbours(pool, key, features, k).selectExpr(f"{key} as parent", "x", "neighbours")
+    point = "array(" + ", ".join(features) + ")"
+    square = lambda a, b: f"aggregate(zip_with({a}, {b}, (p, q) -> (p - q) * (p - q)), 0.0D, (s, d) -> s + d)"
+    hit = (
+        f"exists(neighbours, n -> abs(sqrt({square('x', 'n.x')}) - sqrt({square('x', 'made')})"
+        f" - sqrt({square('n.x', 'made')})) < 1e-6)"
+    )
+    made = full.where("synthetic").selectExpr(label, f"regexp_extract({key}, '^(.*)/', 1) as parent", f"{point} as made")
+    held = made.join(near, "parent").groupBy(label).agg(F.expr(f"count_if({hit})").alias("between"))
+    sizes = full.groupBy(label).agg(F.count("*").alias("count"))
+    return sizes.join(held, label, "left").select(label, "count", F.coalesce("between", F.lit(0).cast("bigint")).alias("between"))

@@ -1,13 +1,14 @@
 """Exact interpolated quantiles without gathering a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here a
-bounded sketch brackets each wanted rank, the rows outside the brackets are
-only counted (they collapse before the shuffle), and the few rows inside are
-ranked.  The result equals linear interpolation between order statistics.
+``percentile`` keeps every distinct value of a group in one buffer.  Here one bounded sketch per column brackets the
+wanted ranks, rows below a bracket are counted, and the few rows inside are counted in 4096 steps of their value; only
+the steps that hold a wanted rank are ordered.  The result equals linear interpolation between order statistics.  The
+same passes run on inputs of any size.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-SMALL = 20_000
+STEPS = 4096
+MOST_GROUPS = 1_000
 
 
 class Quantiles(NamedTuple):
@@ -25,122 +27,121 @@ class Quantiles(NamedTuple):
     values: list[float]
 
 
-def _long(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
-    """(variable, by, value) without null values; the input is read once."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])
-    group = F.lit("") if by is None else F.col(by).cast("string")
-    return (
-        df.select(group.alias("by"), F.explode(pairs).alias("p"))
-        .select("p.variable", "by", "p.value")
-        .where("value is not null and by is not null")
-    )
-
-
 def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    by: str | None = None,
-    accuracy: int = ACCURACY,
-    small: int = SMALL,
+    df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None, accuracy: int = ACCURACY
 ) -> list[Quantiles]:
     """Quantiles of each column, one entry per column and group of ``by``.
 
-    Like ``approxQuantile`` it runs at once and returns plain numbers: the
-    result and the brackets have one row per column and group, so ``by`` must
-    be a label from a short list (a band, a segment).  The projected values are
-    persisted for the two passes and released after.
+    Like ``approxQuantile`` it runs at once and returns plain numbers: one row per group reaches the driver, so ``by``
+    must be a label from a short list (a band, a segment); more than ``MOST_GROUPS`` groups are refused.  The projected
+    values are persisted for the passes and released after.
 
-    A group of at most ``small`` rows is ranked whole.  For a larger one a rank
-    lies, by the sketch's error bound of n/accuracy, well inside its bracket of
-    12 n/accuracy rows; should it ever not, the call fails instead of returning
-    a wrong value.
+    The sketch returns each rank within n/accuracy rows.  Brackets reach 6/accuracy of the rows, or two rows of a
+    small group, beyond the wanted rank; should a rank ever lie outside, the call fails instead of returning a wrong value.
     """
-    margin = 6.0 / accuracy
-    low = [max(0.0, p - margin) for p in probabilities]
-    high = [min(1.0, p + margin) for p in probabilities]
-    long = _long(df, columns, by).persist(StorageLevel.MEMORY_AND_DISK)
+    group = F.lit("") if by is None else F.col(by).cast("string")
+    numbers = range(len(columns))
+    narrow = df.select(group.alias("by"), *[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    narrow = narrow.where("by is not null").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sketch = (
-            long.groupBy("variable", "by")
-            .agg(
-                F.count("*").alias("n"),
-                F.min("value").alias("least"),
-                F.max("value").alias("most"),
-                F.percentile_approx("value", low, accuracy).alias("low"),
-                F.percentile_approx("value", high, accuracy).alias("high"),
-            )
-            .collect()
+        brackets = _brackets(narrow, len(columns), probabilities, accuracy)
+        return sorted(
+            Quantiles(columns[k], None if by is None else label, n, values)
+            for (label, k), (n, values) in _ranked(narrow, numbers, probabilities, brackets).items()
         )
-        brackets = []
-        for row in sketch:
-            whole = row["n"] <= small
-            starts = [row["least"] if whole or p == 0.0 else v for p, v in zip(low, row["low"])]
-            ends = [row["most"] if whole or p == 1.0 else v for p, v in zip(high, row["high"])]
-            brackets.append((row["variable"], row["by"], row["n"], starts, ends))
-        if not brackets:
-            return []
-        rows = _rank_inside(long, brackets, probabilities).collect()
     finally:
-        long.unpersist()
-    return sorted(
-        Quantiles(r["variable"], None if by is None else r["by"], r["n"], [r[f"q{i}"] for i in range(len(probabilities))])
-        for r in rows
-    )
+        narrow.unpersist()
 
 
-def _rank_inside(long: DataFrame, brackets: list, probabilities: list[float]) -> DataFrame:
-    spark = long.sparkSession
-    count = len(probabilities)
-    bracket_table = spark.createDataFrame(
-        [(v, g, *starts, *ends) for v, g, _, starts, ends in brackets],
-        "variable string, by string, "
-        + ", ".join([f"low{i} double" for i in range(count)] + [f"high{i} double" for i in range(count)]),
-    )
+def _brackets(narrow: DataFrame, width: int, probabilities: list[float], accuracy: int) -> dict:
+    """(group, column) to (rows, low and high value per probability).
 
-    # The zone grows with the value: how many brackets have begun plus how many have ended.
-    begun = " + ".join(f"int(value >= low{i})" for i in range(count))
-    ended = " + ".join(f"int(value > high{i})" for i in range(count))
+    The sketch is asked for a ladder of margins, each twice the last; a group takes the first that is wide enough for it.
+    """
+    ladder = [6.0 / accuracy * 2**k for k in range(2 + max(0, math.ceil(math.log2(accuracy / 6.0))))]
+    asked = sorted({min(1.0, max(0.0, p + s * m)) for p in probabilities for m in ladder for s in (-1, 1)})
+    place = {p: at for at, p in enumerate(asked)}
+    cells = []
+    for k in range(width):
+        cells += [F.count(f"c{k}").alias(f"n{k}"), F.min(f"c{k}").alias(f"least{k}"), F.max(f"c{k}").alias(f"most{k}")]
+        cells.append(F.percentile_approx(f"c{k}", asked, accuracy).alias(f"s{k}"))
+    rows = narrow.groupBy("by").agg(*cells).limit(MOST_GROUPS + 1).collect()
+    if len(rows) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups: quantiles are for a short list of labels")
+    found = {}
+    for row in rows:
+        for k in range(width):
+            n = row[f"n{k}"]
+            if not n:
+                continue
+            margin = next((m for m in ladder if m >= 6.0 / accuracy + 2.0 / n), 1.0)
+            low, high = [], []
+            for p in probabilities:
+                low.append(row[f"least{k}"] if p - margin <= 0 else row[f"s{k}"][place[p - margin]])
+                high.append(row[f"most{k}"] if p + margin >= 1 else row[f"s{k}"][place[p + margin]])
+            found[row["by"], k] = (n, low, high)
+    return found
+
+
+def _ranked(narrow: DataFrame, numbers: range, probabilities: list[float], brackets: dict) -> dict:
+    if not brackets:
+        return {}
+    spark = narrow.sparkSession
+    parts = [(k, i) for k in numbers for i in range(len(probabilities))]
+    names = ", ".join(f"low{k}_{i} double, high{k}_{i} double" for k, i in parts)
+    table = []
+    for label in sorted({label for label, _ in brackets}):
+        row = [label]
+        for k, i in parts:
+            n, low, high = brackets.get((label, k), (0, None, None))
+            row += [low[i] if n else None, high[i] if n else None]
+        table.append(tuple(row))
+    # One row per group.
+    placed = narrow.join(F.broadcast(spark.createDataFrame(table, f"by string, {names}")), "by")
+    below = {
+        r["by"]: r
+        for r in placed.groupBy("by").agg(*[F.expr(f"count_if(c{k} < low{k}_{i})").alias(f"b{k}_{i}") for k, i in parts]).collect()
+    }
+    wanted = []
+    for (label, k), (n, _, _) in brackets.items():
+        for i, p in enumerate(probabilities):
+            position, before = p * (n - 1), below[label][f"b{k}_{i}"]
+            wanted.append((label, k, i, math.floor(position) - before, math.ceil(position) - before))
+    inside = ", ".join(
+        f"if(c{k} between low{k}_{i} and high{k}_{i}, struct({k} as k, {i} as i, c{k} as value,"
+        f" coalesce(int(least({STEPS - 1}, floor(try_divide(c{k} - low{k}_{i}, high{k}_{i} - low{k}_{i}) * {STEPS}))), 0) as step), null)"
+        for k, i in parts
+    )
     cells = (
-        long.join(F.broadcast(bracket_table), ["variable", "by"])
-        .selectExpr("variable", "by", "value", f"{begun} as begun", f"{ended} as ended")
-        .selectExpr("variable", "by", "begun + ended as zone", "if(begun > ended, value, null) as value")
-        .groupBy("variable", "by", "zone", "value")
-        .agg(F.count("*").alias("rows"))
+        placed.selectExpr("by", f"explode(filter(array({inside}), x -> x is not null)) as x")
+        .groupBy("by", "x.k", "x.i", "x.step", "x.value").agg(F.count("*").alias("rows"))
     )
-    # At most 2 * count + 1 zones per group.
-    zones = (
-        cells.groupBy("variable", "by", "zone")
-        .agg(F.sum("rows").alias("zone_rows"))
-        .selectExpr(
-            "variable",
-            "by",
-            "zone",
-            "sum(zone_rows) over (partition by variable, by) as n",
-            "sum(zone_rows) over (partition by variable, by order by zone"
-            " rows between unbounded preceding and current row) - zone_rows as before_zone",
-        )
+    # At most STEPS rows per bracket; those that hold a wanted rank are at most two.
+    steps = (
+        cells.groupBy("by", "k", "i", "step").agg(F.sum("rows").alias("step_rows"))
+        .selectExpr("*", "sum(step_rows) over (partition by by, k, i order by step) - step_rows as before_step")
+        .join(F.broadcast(spark.createDataFrame(wanted, "by string, k int, i int, low_rank bigint, high_rank bigint")), ["by", "k", "i"])
+        .where("low_rank >= before_step and low_rank < before_step + step_rows or high_rank >= before_step and high_rank < before_step + step_rows")
     )
-    ranked = (
-        cells.where("value is not null")
-        .join(F.broadcast(zones), ["variable", "by", "zone"])
-        .selectExpr(
-            "*",
-            "before_zone + sum(rows) over (partition by variable, by, zone order by value"
-            " rows between unbounded preceding and current row) as end",
-        )
+    rows = (
+        cells.join(F.broadcast(steps), ["by", "k", "i", "step"])
+        .selectExpr("*", "before_step + sum(rows) over (partition by by, k, i, step order by value) as end")
+        .groupBy("by", "k", "i")
+        .agg(*[F.expr(f"max(if(end - rows <= {r} and {r} < end, value, null))").alias(r) for r in ("low_rank", "high_rank")])
+        .collect()
     )
-    picked, values = [], []
-    for i, p in enumerate(probabilities):
-        position = f"({float(p)!r}D * (n - 1))"
-        for name, rank in ((f"floor{i}", f"floor({position})"), (f"ceil{i}", f"ceil({position})")):
-            picked.append(F.expr(f"max(if(end - rows <= {rank} and {rank} < end, value, null)) as {name}"))
-        values.append(
-            f"if(floor{i} is null or ceil{i} is null,"
-            " cast(raise_error('a rank fell outside its bracket: raise the accuracy') as double),"
-            f" floor{i} + (ceil{i} - floor{i}) * ({position} - floor({position}))) as q{i}"
-        )
-    return ranked.groupBy("variable", "by", "n").agg(*picked).selectExpr("variable", "by", "n", *values)
+    picked = {(r["by"], r["k"], r["i"]): (r["low_rank"], r["high_rank"]) for r in rows}
+    result = {}
+    for (label, k), (n, _, _) in brackets.items():
+        values = []
+        for i, p in enumerate(probabilities):
+            low, high = picked.get((label, k, i), (None, None))
+            if low is None or high is None:
+                raise ValueError("a rank fell outside its bracket: raise the accuracy")
+            position = p * (n - 1)
+            values.append(low + (high - low) * (position - math.floor(position)))
+        result[label, k] = (n, values)
+    return result
 
 
 def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], names: list[str], **options):

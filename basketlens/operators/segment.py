@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 RFM = ["Recency", "Frequency_of_Purchase", "Purchase_Amount"]
 
 # Parallel seeding (k-means||) starts closer to the optimum than single random draws.
-STARTS = 4
+STARTS = 10
 
 # Segment names by profile, and the list used when scoring.
 CHAMPIONS, HIBERNATING, LOYAL = "Champions (VIP)", "Hibernating (At Risk)", "Loyal Customers"

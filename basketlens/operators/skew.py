@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARES = 256
+ROWS_PER_TASK = 500_000
+LONE_PARTS = 4096
 
 
 def salted_left_join(
@@ -21,26 +22,25 @@ def salted_left_join(
     counts: DataFrame,
     key: str,
     count_column: str,
-    total: int,
     spread_by: Column,
-    shares: int = SHARES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``rows`` left join ``dim`` (one row per ``key``).
 
-    ``counts`` has the number of rows of every key, ``total`` their sum.  A key is split once it
-    holds more than 1/``shares`` of all rows, so fewer than ``shares`` keys are
-    hot, however large the input: the broadcast list of hot keys is bounded.
+    ``counts`` has the number of rows of every key.  A key with more than ``rows_per_task`` rows is split into pieces of
+    about that size, so the broadcast list has fewer entries than the rows over ``rows_per_task``: at a hundred billion
+    rows, two megabytes.  Null keys match nothing and are spread over ``LONE_PARTS`` pieces.
     ``spread_by`` must be deterministic (a row id), so that retried tasks agree.
     """
-    share = max(1.0, total / shares)
-    hot = counts.where(F.col(count_column) > share).select(
-        F.col(key), F.ceil(F.col(count_column) / share).cast("int").alias("_parts")
+    hot = counts.where((F.col(count_column) > rows_per_task) & F.col(key).isNotNull()).select(
+        F.col(key), F.ceil(F.col(count_column) / rows_per_task).cast("int").alias("_parts")
     )
+    parts = F.when(F.col(key).isNull(), LONE_PARTS).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
     salted = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
+        "_salt", F.pmod(F.xxhash64(spread_by), parts).cast("int")
     ).drop("_parts")
     copies = (
-        dim.join(F.broadcast(hot), key, "left")
+        dim.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
         .drop("_parts")
     )

@@ -142,10 +142,8 @@ def age_gender_frequency(orders: DataFrame) -> DataFrame:
     )
 
 
-def sensitivity_intent_matrix(orders: DataFrame, intents: list[str]) -> DataFrame:
-    return explore.pivot_mean(
-        orders, "Discount_Sensitivity", "Purchase_Intent", intents, F.avg("Customer_Satisfaction")
-    )
+def sensitivity_intent_matrix(orders: DataFrame) -> DataFrame:
+    return explore.pivot_mean(orders, "Discount_Sensitivity", "Purchase_Intent", F.avg("Customer_Satisfaction"))
 
 
 def member_split(orders: DataFrame) -> DataFrame:

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.functions import text
 from basketlens.operators import clean, quality
 from basketlens.plans.kpi import publish_views
+from basketlens.session import Scratch
 from basketlens.sources import files
 
 
@@ -25,6 +27,7 @@ class LoadMetrics:
     missing_before: int
     missing_after: int
     outlier_rows: int
+    unparsed_times: int
 
 
 def require_rows(rows: int) -> int:
@@ -33,20 +36,36 @@ def require_rows(rows: int) -> int:
     return rows
 
 
-def load_orders(spark: SparkSession, raw: DataFrame, table_path: str) -> LoadMetrics:
-    """Clean ``raw`` into the table and count rows and nulls before and after.
+def load_orders(
+    spark: SparkSession, raw: DataFrame, table_path: str, na_tokens: list[str] = text.NA_TOKENS,
+    date_formats: list[str] = text.DATE_FORMATS,
+) -> LoadMetrics:
+    """Clean ``raw`` into the table and count rows, nulls and unreadable times.
 
-    The counts are plain aggregates, one over the parsed text and one over the
-    written columns: metrics observed on the write would count retried work twice
-    and leave the session unable to ship some fitted models.
+    The text is parsed once, into a written table that the counts, the medians and the result read.  The result is
+    written beside the old table and checked before it takes its place: an empty load leaves the old table as it was.
+    The counts are plain aggregates over written tables: metrics observed on a write would count retried work twice.
     """
-    parsed = clean.add_calendar(clean.parse(clean.normalise_names(raw)))
-    before = parsed.agg(F.count("*").alias("rows"), quality.missing_cells(parsed).alias("missing")).first()
-    filled = clean.fill_text(clean.fill_medians(clean.drop_incomplete(parsed)))
-    files.write_table(clean.add_flags(filled), table_path)
-    loaded = files.read_table(spark, table_path)
+    scratch = Scratch(spark, "load")
+    named = clean.normalise_names(raw)
+    time = "Time_of_Purchase"
+    given = F.lit(False)
+    if time in named.columns:
+        given = F.expr(text.missing_to_null(time, na_tokens)).isNotNull()
+    marked = named.withColumn("_time_given", given.cast("string"))
+    parsed = scratch.write(clean.add_calendar(clean.parse(marked, na_tokens, date_formats)), "parsed")
+    orders = parsed.drop("_time_given")
+    before = parsed.agg(
+        F.count("*").alias("rows"), quality.missing_cells(orders).alias("missing"),
+        F.count_if((F.col("_time_given") == "true") & F.col(time).isNull()).alias("unparsed"),
+    ).first()
+    filled = clean.fill_text(clean.fill_medians(clean.drop_incomplete(orders)))
+    loaded = scratch.write(clean.add_flags(filled), "result")
     after = loaded.agg(F.count("*").alias("rows"), quality.missing_cells(loaded).alias("missing")).first()
     require_rows(after["rows"])
+    outlier_rows = quality.outliers(loaded).first()["outlier_rows"]
+    files.write_table(loaded, table_path)
+    scratch.drop()
     return LoadMetrics(
         rows_in=before["rows"],
         columns_in=len(raw.columns),
@@ -54,14 +73,20 @@ def load_orders(spark: SparkSession, raw: DataFrame, table_path: str) -> LoadMet
         columns_out=len(loaded.columns),
         missing_before=before["missing"],
         missing_after=after["missing"],
-        outlier_rows=quality.outliers(loaded).first()["outlier_rows"],
+        outlier_rows=outlier_rows,
+        unparsed_times=before["unparsed"],
     )
 
 
-def run_etl(spark: SparkSession, raw_path: str, table_path: str, csv_path: str) -> tuple[DataFrame, LoadMetrics]:
-    """Extract, clean, load the table, export the CSV from it, publish the views."""
-    metrics = load_orders(spark, files.read_raw_csv(spark, raw_path), table_path)
+def run_etl(
+    spark: SparkSession, raw_path: str, table_path: str, csv_path: str, na_tokens: list[str] = text.NA_TOKENS,
+    date_formats: list[str] = text.DATE_FORMATS, multi_line: bool = False,
+) -> tuple[DataFrame, LoadMetrics]:
+    """Extract, clean, load the table, export the CSV from it, publish the views and, beside the table, their rows."""
+    raw = files.read_raw_csv(spark, raw_path, multi_line=multi_line)
+    metrics = load_orders(spark, raw, table_path, na_tokens, date_formats)
     table = files.read_table(spark, table_path)
     files.write_csv(table, csv_path)
-    publish_views(table)
+    for name in publish_views(table):
+        files.write_table(spark.table(name), f"{table_path.rstrip('/')}-{name}")
     return table, metrics

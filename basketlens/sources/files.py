@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Quotes are doubled inside quoted fields, as other CSV programs write and read them.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_raw_csv(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
     """Scan a CSV with header; every column is text, typed later by expressions.
 
-    With ``names`` the header is not sampled; without, it is read and nothing is inferred.
+    With ``names`` the header is not sampled; without, it is read and nothing is inferred.  ``multi_line`` reads
+    quoted line breaks as text; a file is then one task, so leave it off where no field has any.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False).option("inferSchema", False)
+    reader = reader.option("multiLine", multi_line).options(**QUOTING)
     if names is not None:
         reader = reader.schema(text_schema(names))
     return reader.csv(path)
@@ -24,19 +32,16 @@ def read_raw_csv(spark: SparkSession, path: str, names: list[str] | None = None)
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    ).options(**QUOTING).csv(path)
 
 
-def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_clean_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    return spark.read.option("header", True).option("multiLine", multi_line).options(**QUOTING).schema(schema).csv(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str) -> None:
     """Replace the table at ``path`` (Parquet)."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -109,7 +109,7 @@ def _with_customer(spark: SparkSession, path: str, orders: DataFrame, needs: set
         return orders.join(customer, "o_custkey", "left")
     counts = orders.groupBy("o_custkey").agg(F.count("*").alias("freq"))
     dim = counts if customer is None else counts.join(customer, "o_custkey", "left")
-    return salted_left_join(orders, dim, counts, "o_custkey", "freq", orders.count(), F.col("o_orderkey"))
+    return salted_left_join(orders, dim, counts, "o_custkey", "freq", F.col("o_orderkey"))
 
 
 def _order_lines(spark: SparkSession, path: str, with_part: bool) -> DataFrame:

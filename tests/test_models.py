@@ -91,18 +91,17 @@ def on_segment(a, b, p):
     return abs(length - via) < 1e-9
 
 
-def test_near_neighbours_are_mostly_nearest(spark):
-    rows = imbalanced(spark, n=1500, share=0.5)
-    features = ["a", "b", "c"]
+@pytest.mark.parametrize("width, partitions", [(3, 4), (19, 4), (19, 64)])
+def test_near_neighbours_are_the_nearest(spark, width, partitions):
+    source, features = random.Random(6), [f"x{i}" for i in range(width)]
+    rows = spark.createDataFrame(
+        [(str(i), *(source.gauss(0, 1) for _ in features)) for i in range(700)],
+        "Customer_ID string, " + ", ".join(f"{f} double" for f in features)).repartition(partitions)
     points = {r.Customer_ID: tuple(r[f] for f in features) for r in rows.collect()}
-    hit = total = 0
     for r in near_neighbours(rows, "Customer_ID", features).collect():
         assert len(r.neighbours) == 5 and r.Customer_ID not in {n.id for n in r.neighbours}
-        nearest = sorted((sum((x - y) ** 2 for x, y in zip(points[r.Customer_ID], p)), i) for i, p in points.items())
-        truth = {i for _, i in nearest[1:6]}
-        hit += len(truth & {n.id for n in r.neighbours})
-        total += 5
-    assert hit / total > 0.5
+        truth = sorted((sum((x - y) ** 2 for x, y in zip(points[r.Customer_ID], p)), i) for i, p in points.items())
+        assert [n.id for n in r.neighbours] == [i for _, i in truth[1:6]]
 
 
 def test_split_is_disjoint_complete_and_stratified(spark):

@@ -23,12 +23,12 @@ def values(kind, n=20_000):
 
 
 @pytest.mark.parametrize("kind", ["spread", "hot", "few"])
-@pytest.mark.parametrize("small", [10, 10**6])
-def test_quantiles_equal_numpy(spark, kind, small):
-    data = values(kind)
+@pytest.mark.parametrize("n, accuracy", [(20_000, 500), (20_000, 10_000), (37, 500), (2, 500)])
+def test_quantiles_equal_numpy(spark, kind, n, accuracy):
+    data = values(kind, n)
     df = spark.createDataFrame([(v, "ab"[i % 2]) for i, v in enumerate(data)], "v double, g string").repartition(7)
     wanted = [0.0, 0.01, 0.25, 0.5, 1 / 3, 0.99, 1.0]
-    got = exact_quantiles(df, ["v"], wanted, by="g", accuracy=500, small=small)
+    got = exact_quantiles(df, ["v"], wanted, by="g", accuracy=accuracy)
     for q in got:
         part = [v for i, v in enumerate(data) if "ab"[i % 2] == q.by]
         assert q.n == len(part)
@@ -72,6 +72,31 @@ def test_tail_probabilities():
     for t, df, p in [(12.706204736, 1, 0.05), (2.228138852, 10, 0.05), (2.660283, 60, 0.01), (1.959966, 10**7, 0.05)]:
         assert probability.student_two_sided(t, df) == pytest.approx(p, rel=1e-5)
     assert probability.student_two_sided(0.0, 5) == pytest.approx(1.0)
+    for power in range(4, 14):
+        assert probability.student_two_sided(1.959963984540054, 10.0**power) == pytest.approx(
+            0.05 + 0.27733 / 10.0**power, abs=1e-9 if power > 4 else 1e-7)
+
+
+def test_group_tests_with_an_empty_arm(spark):
+    df = spark.createDataFrame([(1, 3.0), (1, 4.0)], "g int, v double")
+    rank, mean = stats.mann_whitney(df, "g", "v").first(), stats.t_test(df, "g", "v").first()
+    assert (rank.n_yes, rank.n_no, rank.mean_no, rank.p_value) == (2, 0, None, None)
+    assert (mean.n_yes, mean.n_no, mean.p_value) == (2, 0, None)
+
+
+def test_null_keys_do_not_meet_in_one_task(spark):
+    df = spark.range(80_000).selectExpr("id", "if(id % 4 = 0, id, null) as k").repartition(8)
+    counts = df.groupBy("k").agg(F.count("*").alias("n"))
+    dim = counts.where("k is not null").selectExpr("k", "n")
+    joined = salted_left_join(df, dim, counts.withColumnRenamed("n", "m"), "k", "m", F.col("id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 80_000 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
 def test_t_test_and_effect_size(spark):
@@ -145,7 +170,7 @@ def test_hot_key_is_spread_and_nothing_lost(spark):
     df = spark.createDataFrame(rows, "id long, k long")
     counts = df.groupBy("k").agg(F.count("*").alias("n"))
     dim = counts.where("k is not null and k % 2 = 1").selectExpr("k", "n", "k * 10 as payload")
-    joined = salted_left_join(df, dim, counts, "k", "n", len(rows), F.col("id"))
+    joined = salted_left_join(df, dim, counts, "k", "n", F.col("id"), rows_per_task=100)
     assert joined.count() == len(rows)
     for r in joined.collect():
         assert r.payload == (r.k * 10 if r.k is not None and r.k % 2 == 1 else None)

@@ -134,3 +134,44 @@ def test_csv_keeps_text(spark):
     df = spark.createDataFrame([("  a ", 'say "x", y', "NA")], "p string, q string, r string")
     files.write_csv(df, path)
     assert tuple(files.read_raw_csv(spark, path).first()) == ("  a ", 'say "x", y', "NA")
+
+
+def test_csv_quoting(spark, tmp_path):
+    """Text written by another CSV program, and read by it."""
+    import csv
+
+    rows = [['say "x", y', "2"], ["two\nlines", "3"], ['"', ",,"], ["plain", "back\\slash"]]
+    target = tmp_path / "in.csv"
+    with target.open("w", newline="") as f:
+        csv.writer(f).writerows([["a", "b"], *rows])
+    read = files.read_raw_csv(spark, str(target), multi_line=True)
+    assert [list(r) for r in read.collect()] == rows
+    files.write_csv(read.coalesce(1), str(tmp_path / "out"))
+    with next((tmp_path / "out").glob("part-*.csv")).open(newline="") as f:
+        assert list(csv.reader(f)) == [["a", "b"], *rows]
+
+
+def test_pivot_shows_every_level(spark):
+    df = spark.createDataFrame([("L", "Unknown", 1.0), ("L", "Agender", 3.0), (None, "x", 1.0)], "r string, c string, v double")
+    got = explore.pivot_mean(df, "r", "c", F.avg("v"))
+    assert got.columns == ["r", "Agender", "Unknown"] and got.collect() == [("L", 3.0, 1.0)]
+
+
+def test_empty_load_keeps_the_old_table(spark, tmp_path):
+    target = str(tmp_path / "orders")
+    spark.range(3).write.parquet(target)
+    names = ["Customer_ID", "Age", "Purchase_Amount", "Time_of_Purchase", "Customer_Satisfaction", "Research_Hours", "Time_to_Decision"]
+    empty = spark.createDataFrame([], ", ".join(f"{n} string" for n in names))
+    with pytest.raises(etl.EmptyLoad):
+        etl.load_orders(spark, empty, target)
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_load_takes_formats_and_tokens(spark, tmp_path):
+    rows = [("1", "20", "$5", "03.04.2024", "7", "1", "-"), ("2", "30", "$6", "soon", "8", "2", "3"), ("3", "40", "$7", None, "8", "2", "5")]
+    names = ["Customer_ID", "Age", "Purchase_Amount", "Time_of_Purchase", "Customer_Satisfaction", "Research_Hours", "Time_to_Decision"]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    metrics = etl.load_orders(spark, raw, str(tmp_path / "orders"), ["-"], ["dd.MM.yyyy"])
+    got = {r.Customer_ID: r for r in spark.read.parquet(str(tmp_path / "orders")).collect()}
+    assert metrics.unparsed_times == 1 and metrics.rows_out == 3
+    assert got["1"].Time_of_Purchase == dt.datetime(2024, 4, 3) and got["1"].Time_to_Decision == 4.0
