@@ -30,6 +30,7 @@ by_value(__name__)
 
 LENGTH = 100
 SEED = 24  # bytes of a minimizer
+BLOCK_BYTES = 2 << 20  # text in a block: a task needs some hundred bytes for each
 CROWD = 512  # different pieces, summed over the blocks, beyond which a minimizer's windows are named
 NOBODY = -(1 << 63)  # stands for a null id: before all others
 LONE, SHARED, CROWDED = 0, 1, 2
@@ -43,6 +44,34 @@ def _unzip(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompressobj().decompress(data)
 
 
+def _eights(text: bytes) -> np.ndarray:
+    """The eight bytes from every position on as a number; zeros beyond the end."""
+    n, padded = len(text), text + bytes(16)
+    out = np.empty(n, dtype=np.uint64)
+    for k in range(8):
+        some = np.frombuffer(padded, dtype="<u8", offset=k, count=(n - k + 7) // 8)
+        out[k::8] = some[: len(out[k::8])]
+    return out
+
+
+def _minimizers(eights: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all seeds, and the place of each window's minimizer: the least hash, the leftmost of equal ones.
+
+    Both depend on the window's content alone.
+    """
+    n = len(eights)
+    seeds = mixed(mixed(eights[: n - seed + 1], eights[8 : n - seed + 9]), eights[16 : n - seed + 17])
+    wide, count = length - seed + 1, n - length + 1
+    rows = -(-len(seeds) // wide) + 1
+    table = np.full(rows * wide, ~np.uint64(0))
+    table[: len(seeds)] = (mixed(seeds, np.uint64(9)) & ~np.uint64(0xFFFFFFFF)) | np.arange(len(seeds), dtype=np.uint64)
+    # Least values to the end of a row of ``wide`` seeds, and from its beginning: together those of any ``wide`` neighbours.
+    back = np.minimum.accumulate(table.reshape(rows, wide)[:, ::-1], axis=1)[:, ::-1].ravel()[:count]
+    ahead = np.minimum.accumulate(table.reshape(rows, wide), axis=1).ravel()
+    del table
+    return seeds, (np.minimum(back, ahead[wide - 1 : wide - 1 + count]) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
 class Pieces:
     """The pieces of a block: first and last window start, name of the minimizer, document."""
 
@@ -55,23 +84,9 @@ class Pieces:
         self.doc = np.zeros(0, dtype=np.int64)
         if n < length:
             return
-        padded = self.text + bytes(16)
-        eights = np.empty(n, dtype=np.uint64)
-        for k in range(8):
-            some = np.frombuffer(padded, dtype="<u8", offset=k, count=(n - k + 7) // 8)
-            eights[k::8] = some[: len(eights[k::8])]
-        self.eights = eights
-        seeds = mixed(mixed(eights[: n - seed + 1], eights[8 : n - seed + 9]), eights[16 : n - seed + 17])
-        # Order by hash; between equal ones the leftmost: both depend on the window's content alone.
-        ranked = (mixed(seeds, np.uint64(9)) & ~np.uint64(0xFFFFFFFF)) | np.arange(len(seeds), dtype=np.uint64)
-        wide = length - seed + 1
+        self.eights = _eights(self.text)
+        seeds, at = _minimizers(self.eights, length, seed)
         count = n - length + 1
-        rows = -(-len(ranked) // wide) + 1
-        table = np.full(rows * wide, ~np.uint64(0))
-        table[: len(ranked)] = ranked
-        ahead = np.minimum.accumulate(table.reshape(rows, wide), axis=1).ravel()
-        back = np.minimum.accumulate(table.reshape(rows, wide)[:, ::-1], axis=1)[:, ::-1].ravel()
-        at = (np.minimum(back[:count], ahead[wide - 1 : wide - 1 + count]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         inside = np.zeros(count + 1, dtype=np.int8)
         long = np.flatnonzero(self.sizes >= length)
         inside[self.begin[long]] = 1
@@ -298,7 +313,7 @@ def drop_earlier_strings(docs: DataFrame, scratch: Scratch, length: int = LENGTH
     """
     if length < SEED + 8:
         raise ValueError(f"length must be {SEED + 8} or more")
-    blocks = pack(docs, scratch)
+    blocks = pack(docs, scratch, BLOCK_BYTES)
     buckets = bucket_count(blocks)
     asked = each_block(blocks, lambda row: _asked(row, buckets, length), "bucket int, block long, names binary")
     states = asked.groupBy("bucket").applyInArrow(lambda t: _state(t, crowd), "bucket int, block long, states binary")
