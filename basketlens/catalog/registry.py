@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.catalog import chart_queries, clean_queries, dashboard_queries, kpi_queries, model_queries, study_queries
+from basketlens.catalog import chart_queries, clean_queries, dashboard_queries, kpi_queries, model_queries, residual_queries, study_queries
 
-SECTIONS = [kpi_queries, clean_queries, chart_queries, dashboard_queries, study_queries, model_queries]
+SECTIONS = [kpi_queries, clean_queries, chart_queries, dashboard_queries, study_queries, model_queries, residual_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
