@@ -24,6 +24,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_substring_dedup": recompression.OP1_SQL, "op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op8_source_mix": mixing.OP8_SQL,
+        "op1_substring_dedup": recompression.OP1_SQL, "op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op7_embedding_near_dedup": vectors.OP7_SQL,
+        "op8_source_mix": mixing.OP8_SQL,
         "op10_suffix_dedup": suffixes.OP10_SQL,
     }

@@ -357,21 +357,21 @@ def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = r"""
-WITH d AS (
-  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
-), s AS (
-  SELECT r, pos, md5(substr(h, 2 * pos + 1, 200)) AS k FROM (SELECT r, h, unnest(range(0, n - 99)) AS pos FROM d)
-), hit AS (
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, encode(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), s AS MATERIALIZED (
+  SELECT r, pos, md5(array_slice(h, pos + 1, pos + 100)) AS k FROM (SELECT r, h, unnest(range(0, n - 99)) AS pos FROM d)
+), hit AS MATERIALIZED (
   SELECT r, pos FROM (SELECT r, pos, row_number() OVER (PARTITION BY k ORDER BY r, pos) AS place FROM s) WHERE place > 1
-), b AS (
-  SELECT r, h, unnest(range(0, n)) AS pos FROM d
-), g AS (
-  SELECT b.r, b.pos, substr(b.h, 2 * b.pos + 1, 2) AS byte,
+), b AS MATERIALIZED (
+  SELECT r, pos, hex(array_slice(h, pos + 1, pos + 1)) AS byte FROM (SELECT r, h, unnest(range(0, n)) AS pos FROM d)
+), g AS MATERIALIZED (
+  SELECT b.r, b.pos, b.byte,
          max(hit.pos) OVER (PARTITION BY b.r ORDER BY b.pos ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
   FROM b LEFT JOIN hit ON hit.r = b.r AND hit.pos = b.pos
-), e AS (
+), e AS MATERIALIZED (
   SELECT *, coalesce(lag(gone) OVER (PARTITION BY r ORDER BY pos), false) AS before FROM g
-), k AS (
+), k AS MATERIALIZED (
   SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans,
          string_agg(byte, '' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
   FROM e GROUP BY r

@@ -232,3 +232,21 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, m
 
 def op7_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "vectors"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (
+  SELECT a AS n, a AS m FROM l UNION SELECT r.n, l.b FROM r JOIN l ON l.a = r.m
+), c AS (
+  SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, coalesce((SELECT min(m) FROM r WHERE r.n = e.vec_id), e.vec_id) AS component_id
+  FROM embeddings e
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c
+"""
