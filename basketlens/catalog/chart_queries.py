@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketlens.catalog.oracle_base import money_avg, money_sum, over_orders
+from basketlens.catalog.oracle_base import banded, listed, money_avg, money_sum, over_orders
 from basketlens.catalog.rounding import rounded
 from basketlens.functions import bands
 from basketlens.plans import charts
@@ -117,13 +117,9 @@ def _ordered(key, names, body):
         f"LEFT JOIN (SELECT {key}, {body} FROM o GROUP BY {key}) g USING ({key})")
 
 
-_AGE = ("CASE WHEN Age > 18 AND Age <= 25 THEN '18-25' WHEN Age > 25 AND Age <= 35 THEN '26-35' "
-        "WHEN Age > 35 AND Age <= 45 THEN '36-45' WHEN Age > 45 AND Age <= 55 THEN '46-55' "
-        "WHEN Age > 55 AND Age <= 70 THEN '55+' END")
-_LOYAL = ("CASE WHEN Brand_Loyalty IN (1, 2) THEN 'Low (1-2)' WHEN Brand_Loyalty = 3 THEN 'Medium (3)' "
-          "WHEN Brand_Loyalty IN (4, 5) THEN 'High (4-5)' END")
-_DAY = ("CASE Purchase_DayOfWeek WHEN 0 THEN 'Mon' WHEN 1 THEN 'Tue' WHEN 2 THEN 'Wed' WHEN 3 THEN 'Thu' "
-        "WHEN 4 THEN 'Fri' WHEN 5 THEN 'Sat' ELSE 'Sun' END AS label")
+_AGE = banded("Age", bands.AGE_BANDS)
+_LOYAL = banded("Brand_Loyalty", bands.LOYALTY_BANDS)
+_DAY = listed("Purchase_DayOfWeek", bands.WEEKDAYS_SHORT) + " AS label"
 _MISSING = ["Purchase_Category", "Brand_Loyalty", "Research_Hours", "Discount_Sensitivity", "Time_to_Decision"]
 
 ORACLE = {

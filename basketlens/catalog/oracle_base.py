@@ -122,3 +122,20 @@ def grouped(keys: str, measures: str, tail: str = "", where: str = "") -> str:
     group = f" GROUP BY {', '.join(str(i + 1) for i in range(len(key_sql)))}" if key_sql else ""
     where_sql = f" WHERE {where}" if where else ""
     return over_orders(f"SELECT {', '.join(key_sql + measure_sql)} FROM o{where_sql}{group} {tail}")
+
+
+def listed(column: str, names: list[str]) -> str:
+    """Name at the column's position, counted from 0."""
+    return f"list_extract({names!r}, CAST({column} AS INTEGER) + 1)"
+
+
+def stepped(column: str, steps: list[tuple[float, str]], rest: str) -> str:
+    """Label of the first limit that the column does not exceed, else ``rest``."""
+    arms = " ".join(f"WHEN {column} <= {limit} THEN '{name}'" for limit, name in steps)
+    return f"CASE {arms} ELSE '{rest}' END"
+
+
+def banded(column: str, edges: list[tuple[float, float, str]]) -> str:
+    """Label of the band, open below and closed above; null outside."""
+    arms = " ".join(f"WHEN {column} > {low} AND {column} <= {high} THEN '{name}'" for low, high, name in edges)
+    return f"CASE {arms} END"

@@ -197,7 +197,7 @@ def _rank_sql(column):
     return over_orders(
         f"""SELECT n_yes, n_no, round(mean_yes, 6) AS mean_yes, round(mean_no, 6) AS mean_no, u AS u_statistic,
         round(z, 6) AS z, round({_normal_tail('z')}, 6) AS p_value,
-        CASE WHEN {_normal_tail('z')} < 0.05 THEN 'Significant diff (p<0.05)' ELSE 'No significant diff' END AS verdict
+        CASE WHEN {_normal_tail('z')} < 0.05 THEN '{stats.RANK_VERDICT[0]}' ELSE '{stats.RANK_VERDICT[1]}' END AS verdict
         FROM (SELECT *, (greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5)
                  / sqrt(n1 * n0 / 12 * (n1 + n0 + 1 - ties / ((n1 + n0) * (n1 + n0 - 1)))) AS z FROM tests)""",
         f"x AS (SELECT Discount_Used AS g, CAST({column} AS DOUBLE) AS v FROM o WHERE {column} IS NOT NULL)",
@@ -218,8 +218,8 @@ _MOMENTS = """m AS (SELECT count(*) FILTER (WHERE g = 1) AS n_yes, count(*) FILT
 _TEST = "tt AS (SELECT *, n_yes + n_no - 2 AS degrees, (mean_yes - mean_no) / (sd * sqrt(1.0 / n_yes + 1.0 / n_no)) AS t FROM m)"
 _T_SELECT = f"""n_yes, n_no, round(mean_yes, 6) AS mean_yes, round(mean_no, 6) AS mean_no, degrees,
     round(t, 6) AS t_statistic, round({_student_tail('t', 'degrees')}, 6) AS p_value,
-    CASE WHEN {_student_tail('t', 'degrees')} < 0.05 THEN 'Discount THỰC SỰ ảnh hưởng tới Return Rate'
-    ELSE 'Discount KHÔNG gây ảnh hưởng thực sự tới Return Rate' END AS verdict"""
+    CASE WHEN {_student_tail('t', 'degrees')} < 0.05 THEN '{stats.MEAN_VERDICT[0]}'
+    ELSE '{stats.MEAN_VERDICT[1]}' END AS verdict"""
 _ARMS = "x AS (SELECT Discount_Used AS g, Return_Rate AS v FROM o)"
 
 
@@ -262,6 +262,11 @@ def _best(key, measure, name):
     return f"SELECT {key}, round({measure}, 6) AS {name} FROM o WHERE {key} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"
 
 
+def _text(sentence: str) -> str:
+    """A SQL literal."""
+    return "'" + sentence.replace("'", "''") + "'"
+
+
 _LOYALTY = f"""avg({SAT}) FILTER (WHERE Customer_Loyalty_Program_Member = 1)
     - avg({SAT}) FILTER (WHERE Customer_Loyalty_Program_Member = 0)"""
 
@@ -297,18 +302,14 @@ ORACLE = {
     "i2_loyalty_effect": over_orders(f"SELECT round({_LOYALTY}, 6) AS effect FROM o"),
     "i3_best_influence": over_orders(_best("Social_Media_Influence", money_avg(), "aov")),
     "i4_insights_tied": over_orders(
-        f"""SELECT 1 AS position, '1. Kênh ''' || Purchase_Channel || ''' có AOV cao nhất ($' || format('{{:.2f}}', aov)
-            || '). Ưu tiên tối ưu ROI Marketing.' AS insight FROM ({_best('Purchase_Channel', money_avg(), 'aov')})
-        UNION ALL SELECT 2, '2. Loyalty Program tăng Hài Lòng thêm ' || format('{{:.2f}}', {_LOYALTY})
-            || ' điểm. Cần mở rộng quy mô thẻ thành viên.' FROM o
-        UNION ALL SELECT 3, '3. Social Media ảnh hưởng trực tiếp đến AOV ($' || format('{{:.2f}}', aov)
-            || '). Đẩy mạnh Influencer Campaigns.' FROM ({_best('Social_Media_Influence', money_avg(), 'aov')})
-        UNION ALL SELECT 4, '4. Theo Causal Inference (PSM), ATE của Discount lên Return Rate là ' || format('{{:.4f}}', e)
-            || '. ' || CASE WHEN e > 0 THEN 'Cần xem lại chính sách giảm giá.' ELSE 'Khuyến mãi đang phát huy tốt.' END
+        f"""SELECT 1 AS position, printf({_text(value.CHANNEL_TEXT)}, Purchase_Channel, aov) AS insight
+            FROM ({_best('Purchase_Channel', money_avg(), 'aov')})
+        UNION ALL SELECT 2, printf({_text(value.LOYALTY_TEXT)}, {_LOYALTY}) FROM o
+        UNION ALL SELECT 3, printf({_text(value.SOCIAL_TEXT)}, aov) FROM ({_best('Social_Media_Influence', money_avg(), 'aov')})
+        UNION ALL SELECT 4, printf({_text(value.EFFECT_TEXT)}, e,
+            CASE WHEN e > 0 THEN {_text(value.EFFECT_UP)} ELSE {_text(value.EFFECT_DOWN)} END)
             FROM (SELECT avg(outcome) - avg(control_outcome) AS e FROM full_pairs)
-        UNION ALL SELECT 5, '5. Khách hàng ''High CLV'' chiếm ' || count(*)
-            || ' người với chi tiêu cao. Phát triển dịch vụ VIP Care cho nhóm này.' FROM segmented
-            WHERE CLV_Segment = 'High'""", *_match_ctes(TIED_SCORE), _VALUED, _SEGMENTED),
+        UNION ALL SELECT 5, printf({_text(value.VALUE_TEXT)}, count(*)) FROM segmented WHERE CLV_Segment = 'High'""", *_match_ctes(TIED_SCORE), _VALUED, _SEGMENTED),
     "i5_research_corr": over_orders(f"SELECT round(corr(Research_Hours, {SAT}), 6) AS r FROM o"),
     "i5_best_category": over_orders(_best("Purchase_Category", money_sum(), "total_revenue")),
 }

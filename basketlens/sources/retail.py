@@ -21,7 +21,7 @@ def _pick(index: str, *names: str) -> str:
     return f"element_at(array({quoted}), cast({index} as int) + 1)"
 
 
-# name -> (inputs beside the order file, SQL expression)
+# name -> (inputs beside the order file, SQL expression).  Fixed values: the level names in the expressions.
 COLUMNS: dict[str, tuple[set[str], str]] = {
     "Customer_ID": (set(), "cast(o_orderkey as string)"),
     "Age": (set(), "cast(18 + o_custkey % 53 as int)"),
