@@ -127,11 +127,11 @@ def _compare(a: tuple, b: tuple, cap: int, cosine: float, same: bool) -> tuple[n
     return i[keep], j[keep]
 
 
-def _padded(lists: list[np.ndarray]) -> np.ndarray:
-    wide = max((len(x) for x in lists), default=0)
-    out = np.full((len(lists), max(wide, 1)), -1, dtype=np.int64)
-    for k, x in enumerate(lists):
-        out[k, : len(x)] = x
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Lists as rows of equal length, filled up with -1."""
+    sizes = np.asarray(lists.value_lengths())
+    out = np.full((len(sizes), max(1, int(sizes.max(initial=0)))), -1, dtype=np.int64)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = np.asarray(lists.flatten())
     return out
 
 
@@ -184,37 +184,34 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, cosine: float = COSINE, m
         .selectExpr("width", "cap", "least(part, other) as one", "greatest(part, other) as two", "part", "class", "weight", "unit", "caps")
     )
 
-    def links(pdf):
-        import pandas as pd
-
-        cap, one, two = int(pdf["cap"].iloc[0]), int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0])
-        side = []
-        for part in (one, two):
-            of = pdf[pdf["part"] == part].sort_values("class")
-            side.append((of["class"].to_numpy(), of["weight"].to_numpy(), (np.array(of["unit"].tolist()).reshape(len(of), -1), _padded(of["caps"].tolist()))))
-        (ids_a, weight_a, a), (ids_b, weight_b, b) = side
-        if not len(ids_a) or not len(ids_b):
-            return pd.DataFrame({"class": [], "n": [], "to": []}).astype("int64")
-        i, j = _compare(a, b, cap, cosine, one == two)
-        more_a = np.bincount(i, weights=weight_b[j], minlength=len(ids_a)).astype(np.int64)
-        more_b = np.bincount(j, weights=weight_a[i], minlength=len(ids_b)).astype(np.int64)
-        up = {}
-
-        def root(x):
+    def links(table: pa.Table) -> pa.Table:
+        cap, one, two = (table.column(c)[0].as_py() for c in ("cap", "one", "two"))
+        part, kinds, weights = (table.column(c).to_numpy() for c in ("part", "class", "weight"))
+        units = _matrix(table.column("unit").combine_chunks(), table.column("width")[0].as_py())
+        listed = _padded(table.column("caps").combine_chunks())
+        here, there = np.flatnonzero(part == one), np.flatnonzero(part == two)
+        i, j = _compare((units[here], listed[here]), (units[there], listed[there]), cap, cosine, one == two)
+        i, j = here[i], there[j]
+        more = np.bincount(i, weights=weights[j], minlength=len(kinds)) + np.bincount(j, weights=weights[i], minlength=len(kinds))
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
             while (y := up.get(x, x)) != x:
                 up[x] = up.get(y, y)
                 x = y
             return x
 
-        for x, y in zip(ids_a[i].tolist(), ids_b[j].tolist()):
+        for x, y in zip(kinds[i].tolist(), kinds[j].tolist()):
             x, y = root(x), root(y)
             if x != y:
                 up[max(x, y)] = min(x, y)
-        ids, more = np.concatenate([ids_a, ids_b]), np.concatenate([more_a, more_b])
-        out = pd.DataFrame({"class": ids, "n": more, "to": [root(x) for x in ids.tolist()]})
-        return out[(out["n"] > 0) | (out["to"] != out["class"])]
+        linked = np.flatnonzero(more)
+        return pa.table({
+            "class": pa.array(kinds[linked], pa.int64()), "n": pa.array(more[linked].astype(np.int64), pa.int64()),
+            "to": pa.array([root(x) for x in kinds[linked].tolist()], pa.int64()),
+        })
 
-    found = scratch.write(blocks.groupBy("width", "cap", "one", "two").applyInPandas(links, "class long, n long, to long"), "found")
+    found = scratch.write(blocks.groupBy("width", "cap", "one", "two").applyInArrow(links, "class long, n long, to long"), "found")
     # Components are named by the least id, which a class has unless all of its rows lack one.
     roots = connected_components(found.selectExpr("class as a", "to as b"), scratch)
     named = classes.select("class", "id").join(roots.withColumnRenamed("node", "class"), "class", "left").select(F.coalesce("root", "class").alias("root"), "class", "id")
