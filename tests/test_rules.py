@@ -175,3 +175,24 @@ def test_load_takes_formats_and_tokens(spark, tmp_path):
     got = {r.Customer_ID: r for r in spark.read.parquet(str(tmp_path / "orders")).collect()}
     assert metrics.unparsed_times == 1 and metrics.rows_out == 3
     assert got["1"].Time_of_Purchase == dt.datetime(2024, 4, 3) and got["1"].Time_to_Decision == 4.0
+
+
+def test_functions_travel_to_workers_without_the_package(tmp_path):
+    """A driver started elsewhere: only its own path knows the package."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from basketlens.operators import stats
+from basketlens.session import build_session
+spark = build_session("elsewhere", "local[1]", spark__ui__enabled="false", spark__sql__shuffle__partitions="1")
+df = spark.createDataFrame([(g, float(v)) for g in (0, 1) for v in range(g, 9)], "g int, v double")
+print("p", stats.t_test(df, "g", "v").first().p_value)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "p 0." in done.stdout, done.stderr[-1500:]
