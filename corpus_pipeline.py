@@ -1,4 +1,10 @@
-"""The corpus pipeline: from raw documents to a mixture, in five stages."""
+"""The corpus pipeline: from raw documents to a mixture, in five stages.
+
+Every stage reads the columns of documents alone, keeps whole texts, and gives an empty table for an empty one.  Null and
+empty texts are documents like any other.  Rows that repeat a ``doc_id`` are judged together wherever a stage tells
+documents apart by number; rows without a number cannot be told apart, so no stage drops them, and the mix treats them as
+documents of their source.
+"""
 
 from __future__ import annotations
 
@@ -49,7 +55,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage; the whole document goes, not the passage alone."""
     docs = _of_documents(docs)
     leaked = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
     return docs.join(leaked, "doc_id", "left_anti").select(*COLUMNS)
