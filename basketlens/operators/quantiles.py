@@ -100,13 +100,41 @@ def _ranked(narrow: DataFrame, numbers: range, probabilities: list[float], brack
     placed = narrow.join(F.broadcast(spark.createDataFrame(table, f"by string, {names}")), "by")
     below = {
         r["by"]: r
-        for r in placed.groupBy("by").agg(*[F.expr(f"count_if(c{k} < low{k}_{i})").alias(f"b{k}_{i}") for k, i in parts]).collect()
+        for r in placed.groupBy("by").agg(*[
+            F.expr(sql).alias(f"{name}{k}_{i}")
+            for k, i in parts
+            for name, sql in (("b", f"count_if(c{k} < low{k}_{i})"), ("e", f"count_if(c{k} = low{k}_{i})"))
+        ]).collect()
     }
-    wanted = []
+    # A rank among the rows that equal the lower end is told already: so are most ranks of columns with few values.
+    picked, wanted = {}, []
     for (label, k), (n, _, _) in brackets.items():
         for i, p in enumerate(probabilities):
             position, before = p * (n - 1), below[label][f"b{k}_{i}"]
-            wanted.append((label, k, i, math.floor(position) - before, math.ceil(position) - before))
+            first, second = math.floor(position) - before, math.ceil(position) - before
+            if 0 <= first and second < below[label][f"e{k}_{i}"]:
+                picked[label, k, i] = (brackets[label, k][1][i],) * 2
+            else:
+                wanted.append((label, k, i, first, second))
+    parts = sorted({(k, i) for _, k, i, _, _ in wanted})
+    if wanted:
+        picked |= _searched(placed, parts, wanted)
+    result = {}
+    for (label, k), (n, _, _) in brackets.items():
+        values = []
+        for i, p in enumerate(probabilities):
+            low, high = picked.get((label, k, i), (None, None))
+            if low is None or high is None:
+                raise ValueError("a rank fell outside its bracket: raise the accuracy")
+            position = p * (n - 1)
+            values.append(low + (high - low) * (position - math.floor(position)))
+        result[label, k] = (n, values)
+    return result
+
+
+def _searched(placed: DataFrame, parts: list[tuple[int, int]], wanted: list[tuple]) -> dict:
+    """Values at the wanted ranks, counted from the lower ends of their brackets."""
+    spark = placed.sparkSession
     inside = ", ".join(
         f"if(c{k} between low{k}_{i} and high{k}_{i}, struct({k} as k, {i} as i, c{k} as value,"
         f" coalesce(int(least({STEPS - 1}, floor(try_divide(c{k} - low{k}_{i}, high{k}_{i} - low{k}_{i}) * {STEPS}))), 0) as step), null)"
@@ -130,18 +158,7 @@ def _ranked(narrow: DataFrame, numbers: range, probabilities: list[float], brack
         .agg(*[F.expr(f"max(if(end - rows <= {r} and {r} < end, value, null))").alias(r) for r in ("low_rank", "high_rank")])
         .collect()
     )
-    picked = {(r["by"], r["k"], r["i"]): (r["low_rank"], r["high_rank"]) for r in rows}
-    result = {}
-    for (label, k), (n, _, _) in brackets.items():
-        values = []
-        for i, p in enumerate(probabilities):
-            low, high = picked.get((label, k, i), (None, None))
-            if low is None or high is None:
-                raise ValueError("a rank fell outside its bracket: raise the accuracy")
-            position = p * (n - 1)
-            values.append(low + (high - low) * (position - math.floor(position)))
-        result[label, k] = (n, values)
-    return result
+    return {(r["by"], r["k"], r["i"]): (r["low_rank"], r["high_rank"]) for r in rows}
 
 
 def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], names: list[str], **options):
