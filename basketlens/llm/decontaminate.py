@@ -2,7 +2,8 @@
 
 A document window is compared with a benchmark item of about its size, by edit distance in words.  The CGK random walk maps
 both to strings in which a small edit distance becomes a small Hamming distance; hash tables that each sample a few of
-those positions find the close pairs, with as many tables as the target recall needs; a banded edit distance decides.
+those positions find the close pairs; an edit distance decides.  The strings drift apart with every edit, so an item is embedded
+in parts of bounded length: one of them has at most its share of the edits, and recall does not fall with the length.
 
 A window is embedded only where runs of words allow a match: an edit breaks at most ``q`` of an item's runs of ``q``
 words, so the window must hold the rest.  That count loses nothing and leaves the walk to few windows.
@@ -26,6 +27,7 @@ by_value(__name__)
 SIMILARITY = 0.8
 RUN_WORDS = 3  # in a run that is looked up, at most
 WALKS, TABLES, SAMPLED = 6, 8, 3  # random walks, tables for each, positions that a table samples
+PART = 16  # words of an item that are embedded together, at least, if it has as many
 BLOCK_ITEMS = 20_000  # benchmark items that are sent to the executors at once, at most
 BLOCK_BYTES = 32 << 20
 PAD = np.uint64(0)
@@ -80,18 +82,40 @@ def signatures(windows: np.ndarray) -> np.ndarray:
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Distances from all of ``a`` to every prefix of ``b``; values above ``most`` are only known to be above it."""
-    above = np.arange(len(b) + 1, dtype=np.int64)
-    steps = np.arange(len(b) + 1, dtype=np.int64)
+    """Distances from all of ``a`` to every prefix of each row of ``b``; values above ``most`` are only known to be above it."""
+    steps = np.arange(b.shape[1] + 1, dtype=np.int64)
+    out = np.full((len(b), len(steps)), most + 1)
+    live, above = np.arange(len(b)), np.tile(steps, (len(b), 1))
     for i, word in enumerate(a, 1):
+        row = above + 1
+        row[:, 1:] = np.minimum(row[:, 1:], above[:, :-1] + (b[live] != word))
+        row[:, 0] = i
+        row = np.minimum.accumulate(row - steps, axis=1) + steps
+        stays = row.min(axis=1) <= most
+        live, above = live[stays], row[stays]
+        if not len(live):
+            return out
+    out[live] = above
+    return out
+
+
+def least_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each start in ``b`` the distance from ``a`` to the nearest stretch of words that begins there."""
+    b = b[::-1]
+    steps = np.arange(len(b) + 1, dtype=np.int64)
+    above = np.zeros(len(b) + 1, dtype=np.int64)
+    for i, word in enumerate(a[::-1], 1):
         row = above + 1
         row[1:] = np.minimum(row[1:], above[:-1] + (b != word))
         row[0] = i
-        row = np.minimum.accumulate(row - steps) + steps
-        if row.min() > most:
-            return np.full(len(b) + 1, most + 1)
-        above = row
-    return above
+        above = np.minimum.accumulate(row - steps) + steps
+    return above[::-1]
+
+
+def parts(words: int) -> list[tuple[int, int]]:
+    """First word and length of the parts in which an item is embedded: equal ones of ``PART`` words or up to twice as many."""
+    ends = np.linspace(0, words, max(1, words // PART) + 1).astype(int).tolist()
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
 class Items:
@@ -102,13 +126,13 @@ class Items:
         self.words = {item: w for item, text in items if len(w := tokens(text))}
         self.runs: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.size: dict[int, int] = {}
-        self.signed: dict[int, np.ndarray] = {}
+        self.signed: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
         for item, w in self.words.items():
-            size = next(q for q in range(RUN_WORDS, 0, -1) if self.least(item, q) >= 1)
+            size = next(q for q in range(RUN_WORDS, 0, -1) if self.least(item, q) >= 1 and self.least_of_parts(item, q) >= 1)
             self.size[item] = size
             for at, h in enumerate(_runs(w, size).tolist()):
                 self.runs[size][h].append((item, at))
-            self.signed[item] = signatures(w[None, :])[0]
+            self.signed[item] = [(o, w[o : o + n], signatures(w[None, o : o + n])[0]) for o, n in parts(len(w))]
         self.sorted = {size: np.array(sorted(table), dtype=np.uint64) for size, table in self.runs.items()}
         self.runs = {size: dict(table) for size, table in self.runs.items()}
 
@@ -117,6 +141,70 @@ class Items:
         n = len(self.words[item])
         return n - size + 1 - allowed(n, self.similarity) * size
 
+    def least_of_parts(self, item: int, size: int) -> int:
+        """Runs of ``size`` words that the part with at most its share of the edits keeps, at least."""
+        n = len(self.words[item])
+        return min(part - size + 1 - allowed(n, self.similarity) * part // n * size for _, part in parts(n))
+
+    def starts(self, item: int, words: np.ndarray, hits: list[tuple[int, int]]) -> np.ndarray:
+        """First words of the windows to verify: those about each place where a part of the item agrees in a table.
+
+        Some part has at most its share of the item's edits, and so some of its runs unbroken.
+        """
+        n, size = len(self.words[item]), self.size[item]
+        most = allowed(n, self.similarity)
+        agreed = []
+        for offset, part, signed in self.signed[item]:
+            share = most * len(part) // n
+            # An edit before a run shifts the part's start by at most its number.
+            begins = {p - o for p, o in hits if offset <= o <= offset + len(part) - size}
+            tried = np.unique(np.array(sorted(begins), dtype=np.int64)[:, None] + np.arange(-share, share + 1)) + offset
+            tried = np.unique(np.clip(tried, 0, len(words) - 1))
+            for begin in range(0, len(tried), 4096):
+                some = tried[begin : begin + 4096]
+                alike = (signatures(_windows(words, some, len(part))) == signed).any(axis=1)
+                agreed.append(some[alike] - offset)
+        if not agreed:
+            return np.zeros(0, dtype=np.int64)
+        # Edits before the part shift the window's start against the part's.
+        starts = np.unique(np.concatenate(agreed)[:, None] + np.arange(-most, most + 1))
+        return np.unique(np.clip(starts, 0, len(words) - 1))
+
+    def verified(self, item: int, words: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The best windows among neighbouring starts, one where they overlap."""
+        w, found = self.words[item], []
+        most = allowed(len(w), self.similarity)
+        if not len(starts):
+            return found
+        least = least_distance(w, words[starts[0] : starts[-1] + len(w) + most])[: len(starts)]
+        keep = least <= most
+        starts, least = starts[keep], least[keep]
+        for place in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) > 1) + 1):
+            # In a short place all windows overlap: the best is found once no other start can be nearer.
+            short = len(place) <= 2 * most + 1
+            if short:
+                place = place[np.argsort(least[place], kind="stable")]
+            best = None
+            for begin in range(0, len(place), 16):
+                some = place[begin : begin + 16]
+                if short and best and least[some[0]] > best[3]:
+                    break
+                rows = edit_distance(w, _windows(words, starts[some], len(w) + most), most)
+                for s, row in zip(starts[some].tolist(), rows):
+                    row = row[: len(words) - s + 1]
+                    share = 1 - row / np.maximum(len(w), np.arange(len(row)))
+                    end = int(share.argmax())
+                    if row[end] > most or share[end] < self.similarity - 1e-9:
+                        continue
+                    hit = (item, s, end, int(row[end]))
+                    if best and (short or hit[1] < best[1] + best[2]):
+                        best = min(best, hit, key=lambda h: (h[3], h[1]))  # overlapping windows of one place
+                    else:
+                        found += [best] if best else []
+                        best = hit
+            found += [best] if best else []
+        return found
+
     def find(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, first word, words, distance): the best window for every place where an item is found."""
         places: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -137,31 +225,18 @@ class Items:
                 continue
             first = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] <= len(w) + most - size)
             near = {int(p) for k in first for p in at[k : k + least]}
-            # An edit before a run shifts the window's start by at most its number.
-            tried = np.unique(np.array([p - o for p, o in hits if p in near], dtype=np.int64)[:, None] + np.arange(-most, most + 1))
-            tried = np.unique(np.clip(tried, 0, len(words) - 1))
-            best = None
-            for begin in range(0, len(tried), 4096):
-                some = tried[begin : begin + 4096]
-                spread = some[:, None] + np.arange(len(w))
-                windows = np.where(spread < len(words), words[np.minimum(spread, len(words) - 1)], PAD)
-                alike = (signatures(windows) == self.signed[item]).any(axis=1)
-                for s in some[alike]:
-                    row = edit_distance(w, words[s : s + len(w) + most], most)
-                    share = 1 - row / np.maximum(len(w), np.arange(len(row)))
-                    end = int(share.argmax())
-                    if row[end] > most or share[end] < self.similarity - 1e-9:
-                        continue
-                    hit = (item, int(s), end, int(row[end]))
-                    if best and hit[1] < best[1] + best[2]:
-                        best = min(best, hit, key=lambda h: (h[3], h[1]))  # overlapping windows of one place
-                    else:
-                        found += [best] if best else []
-                        best = hit
-            found += [best] if best else []
+            starts = self.starts(item, words, [(p, o) for p, o in hits if p in near])
+            for place in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+                found += self.verified(item, words, place)
         return found
 
 
+def _windows(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """``size`` words from each start, padded with ``PAD``."""
+    spread = starts[:, None] + np.arange(size)
+    return np.where(spread < len(words), words[np.minimum(spread, len(words) - 1)], PAD)
+
+
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words."""
     h = words[: len(words) - size + 1]

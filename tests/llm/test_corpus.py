@@ -184,6 +184,25 @@ def test_leak_recall():
     assert held > 100 and found / held >= 0.97
 
 
+@pytest.mark.parametrize("length", [20, 45, 90, 150, 250, 400, 500])
+def test_leak_recall_by_length(length):
+    """A fifth of the words edited, at the border of similarity 0.8."""
+    rng, found, held = random.Random(length), 0, 0
+    names = [f"w{k}" for k in range(2000)]
+    some = lambda n: [rng.choice(names) for _ in range(n)]
+    while held < 25:
+        item = some(length)
+        words = list(item)
+        for _ in range(length // 5):
+            at, how = rng.randrange(len(words)), rng.random()
+            words[at : at + 1] = some(1) if how < 0.4 else [] if how < 0.7 else [*some(1), words[at]]
+        if brute.edit(item, words)[-1] <= 0.2 * max(length, len(words)) + 1e-9:
+            held += 1
+            text = " ".join(some(40) + words + some(40)).encode()
+            found += bool(decontaminate.Items([(0, " ".join(item).encode())]).find(decontaminate.tokens(text)))
+    assert found / held >= 0.95
+
+
 def test_benchmark_comes_in_bounded_blocks(spark, odd):
     items = spark.read.parquet(f"{odd}/benchmark.parquet")
     assert [len(b) for b in decontaminate.benchmark_blocks(items, most_items=2)] == [2, 2]
