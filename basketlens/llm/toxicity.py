@@ -1,8 +1,8 @@
 """Toxicity: a factorization machine over hashed terms.
 
 A linear model adds up terms; the pairwise part learns that two terms together (an insult and a group it is aimed at) say
-more than either alone.  The linear weights are sparse, and only terms that have one take part in pairs: a
-long text's many ordinary words add no noise.
+more than either alone.  The linear weights are sparse.  All terms that a few labelled documents hold take part in pairs, whatever
+they say alone; the pairwise part is scaled by the length, so that a long text's many ordinary words add little noise.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from basketlens.functions.shipping import by_value
 from basketlens.llm.learning import feature_rows, labelled_sample, score_documents, train_rounds
@@ -23,7 +24,9 @@ SAMPLE = 16_000  # labelled documents to learn from, at most
 SHARDS, ROUNDS = 8, 6
 THRESHOLD = 0.3
 ALPHA, L1, L2 = 0.5, 3.0, 0.1  # of the linear weights
-RATE, DECAY = 0.05, 1e-2  # of the factors
+START, RATE, DECAY = 0.1, 0.2, 1e-2  # of the factors
+PAIRED = 8  # terms of a text from which its pairs count less
+MIN_DOCS = 3  # labelled documents that hold a term with factors, at least
 HEADS = (4, 5, 6)  # bytes of a word's beginning that are terms too
 PUNCTUATION = b".,;:!?\"'()[]{}<>|*#&%$-_"
 
@@ -52,29 +55,34 @@ def pairs(v: np.ndarray) -> float:
     return 0.5 * float((sums * sums).sum() - (v * v).sum())
 
 
+def scale(terms: int) -> float:
+    """Weight of the pairwise part of a text with so many terms with factors."""
+    return PAIRED / max(PAIRED, terms)
+
+
 def margin(model: dict, idx: np.ndarray, val: np.ndarray) -> float:
-    """Constant, linear part, and pairwise part of the terms whose linear weight is not zero."""
-    w = model["w"][idx]
-    on = idx[np.flatnonzero(w)]
-    return float(model["b"][0]) + float(w.sum()) + pairs(model["v"][on].astype(np.float64))
+    """Constant, linear part, and pairwise part of the terms with factors; those of the others are zero."""
+    on = idx[model["v"][idx].any(axis=1)]
+    return float(model["b"][0]) + float(model["w"][idx].sum()) + scale(len(on)) * pairs(model["v"][on].astype(np.float64))
 
 
 def learn(model: dict, examples: list, at: int) -> dict:
-    """One pass: follow-the-regularised-leader for the linear weights, gradient steps for the factors of the terms in use."""
+    """One pass: follow-the-regularised-leader for the linear weights, gradient steps for the factors."""
     b, nb, z, n, v, nv = (model[k] for k in ("b", "nb", "z", "n", "v", "nv"))
     for idx, _, label in examples:
         w = linear(z[idx], n[idx])
-        on = idx[np.flatnonzero(w)]
+        on = idx[v[idx].any(axis=1)]
         vx = v[on]
-        p = 1.0 / (1.0 + np.exp(-np.clip(b[0] + w.sum() + pairs(vx), -35, 35)))
+        c = scale(len(on))
+        p = 1.0 / (1.0 + np.exp(-np.clip(b[0] + w.sum() + c * pairs(vx), -35, 35)))
         g = p - label
         nb += g * g
         b -= 0.3 * g / np.sqrt(1.0 + nb)
         z[idx] += g - (np.sqrt(n[idx] + g * g) - np.sqrt(n[idx])) / ALPHA * w
         n[idx] += g * g
         if len(on):
-            dv = g * (vx.sum(axis=0) - vx) + DECAY * vx
-            nv[on] += dv * dv
+            dv = c * g * (vx.sum(axis=0) - vx) + DECAY * vx
+            nv[on] += (dv * dv).mean(axis=1, keepdims=True)
             v[on] -= RATE * dv / np.sqrt(nv[on])
     return model
 
@@ -85,8 +93,13 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMP
     size = 1 << BITS
     start = {
         "b": np.zeros(1), "nb": np.zeros(1), "z": np.zeros(size), "n": np.zeros(size),
-        "v": np.random.default_rng(7).normal(0, 0.02, (size, FACTORS)), "nv": np.ones((size, FACTORS)),
+        "v": np.random.default_rng(7).normal(0, START, (size, FACTORS)), "nv": np.ones((size, 1)),
     }
+    # At most one row for each of the ``size`` numbers.
+    counts = rows.select(F.explode("idx").alias("term")).groupBy("term").count().where(F.col("count") >= MIN_DOCS)
+    seen = np.zeros(size, dtype=bool)
+    seen[[r.term for r in counts.select("term").collect()]] = True
+    start["v"][~seen] = 0.0
     model = train_rounds(rows, start, learn, ROUNDS, SHARDS)
     return {"b": model["b"], "w": linear(model["z"], model["n"]), "v": model["v"].astype(np.float32)}
 

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 import corpus_data as data  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from basketlens.llm import decontaminate, induced, licenses, lines, mixing, recompression, registry, simhash, suffixes, vectors  # noqa: E402
+from basketlens.llm import decontaminate, induced, licenses, lines, mixing, recompression, registry, simhash, suffixes, toxicity, vectors  # noqa: E402
 from basketlens.llm.components import connected_components  # noqa: E402
 from basketlens.session import Scratch  # noqa: E402
 from compare import connect, differences  # noqa: E402
@@ -245,6 +245,20 @@ def test_scores_of_odd_rows(spark, odd, name):
     assert rows(QUERIES[name](spark, odd)) == Counter(tuple(r) for r in got)
 
 
+def test_toxicity_of_pairs(spark):
+    """Every term alone is toxic in half of its documents; two of them together decide."""
+    rng, table, known = random.Random(0), [], []
+    for doc in range(8000):
+        a, b = rng.randrange(10), rng.randrange(10)
+        words = [f"o{rng.randrange(600)}" for _ in range(20)] + [f"a{a}", f"b{b}"]
+        rng.shuffle(words)
+        table.append((doc, " ".join(words)))
+        known.append((doc, (a + b) % 2))
+    docs, labels = spark.createDataFrame(table, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, toxic int")
+    scored = toxicity.score_toxicity(docs, labels, Scratch(spark, "t")).where("held_out").join(labels, "doc_id")
+    assert scored.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("double"))).first()[0] >= 0.97
+
+
 def test_mix_keeps_to_its_targets(spark, odd):
     got = mixing.mix(spark.read.parquet(f"{odd}/documents.parquet"), Scratch(spark, "t"), carry=("source",)).collect()
     for source in {r.source for r in got}:
