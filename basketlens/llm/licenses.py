@@ -54,15 +54,21 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised, non-empty sentences in order.
+def marked(text: Column) -> Column:
+    """Normalised text between two line feeds, sentence ends as ``\\x01``.
 
-    A sentence ends at ``.``, ``!``, ``?``, ``;`` or ``:`` followed by a blank, or at a line feed; of what it says only letters a-z
-    (either case) and digits count, other runs are one blank.
+    A sentence ends at ``.``, ``!``, ``?``, ``;`` or ``:`` followed by a blank; of what it says only letters a-z (either case)
+    and digits count, other runs are one blank.  Blanks and signs around a line feed are dropped.
     """
-    ended = F.regexp_replace(F.coalesce(text, F.lit("")), "([.!?;:])[ \\t\\x0B\\f\\r]+", "$1\n")
-    plain = F.regexp_replace(F.translate(ended, UPPER, LOWER), "[^a-z0-9\\n]+", " ")
-    return F.filter(F.transform(F.split(plain, "\n", -1), lambda s: F.trim(s)), lambda s: s != "")
+    ended = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER + "\x01", LOWER + "-"), "[.!?;:](?:[ \\t\\x0B\\f\\r]+|(?=\\n))", "\x01")
+    plain = F.regexp_replace(ended, "[^a-z0-9\\n\\x01]+", " ")
+    return F.regexp_replace(F.concat(F.lit("\n"), plain, F.lit("\n")), " ?([\\n\\x01]) ?", "$1")
+
+
+def known_pattern(table: dict[str, str]) -> str:
+    """Known sentences that begin and end with a line or a sentence, longest first, a single line feed for a blank."""
+    found = sorted(table, key=lambda s: (-len(s), s))
+    return "(?<=[\\n\\x01])(?:" + "|".join(s.replace(" ", "[ \\n]") for s in found) + ")(?=[\\n\\x01])"
 
 
 def _normal(sentence: str) -> list[str]:
@@ -92,6 +98,9 @@ def scan_licenses(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: lis
     """Per row: ``doc_id``, ``n_sentences``, ``sentence_ids`` (known ones in order, ``-`` for unknown ones between them
     left out), ``n_matches``, ``licenses`` (names in the order of the rules, comma-joined).
 
+    A known sentence may be wrapped over lines, with comment signs before them; a blank line or a sentence end parts it.
+    ``n_sentences`` counts the pieces between line feeds and sentence ends, as the SQL does; the SQL knows no wrapped sentences.
+
     A rule matches where its identifiers follow each other among the known sentences of the text; a rule's sentences
     are used once, by the first rule in the list that fits.  The rule and sentence tables are program text of fixed
     size.  Null and empty texts have no sentences.  Each row is judged by itself, so ties, repeated rows and empty
@@ -99,9 +108,10 @@ def scan_licenses(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: lis
     """
     table, ordered = sentence_table(known), rule_table(known, rules)
     ids = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    hits = F.transform(F.filter("found", lambda s: s.isin(list(table))), lambda s: F.element_at(ids, s))
-    out = docs.select("doc_id", sentences(F.col("text")).alias("found"))
-    out = out.select("doc_id", F.size("found").cast("long").alias("n_sentences"), hits.alias("ids"))
+    hits = F.transform(F.regexp_extract_all("marked", F.lit(known_pattern(table)), F.lit(0)), lambda s: F.element_at(ids, F.translate(s, "\n", " ")))
+    lines = F.filter(F.split(F.translate("marked", "\x01", "\n"), "\n", -1), lambda s: F.trim(s) != "")
+    out = docs.select("doc_id", marked(F.col("text")).alias("marked"))
+    out = out.select("doc_id", F.size(lines).cast("long").alias("n_sentences"), hits.alias("ids"))
     out = out.withColumn("rest", F.array_join(F.transform("ids", lambda i: F.concat(i, F.lit(" "))), ""))
     out = out.withColumn("sentence_ids", F.trim("rest"))
     for at, (_, sequence) in enumerate(ordered):

@@ -275,6 +275,19 @@ def test_license_rules(spark):
     assert got == {0: "BSD-3-Clause", 1: "BSD-2-Clause", 2: "MIT", 3: "", 4: ""}
 
 
+@pytest.mark.parametrize("sign", ["", "# ", " * ", "// "])
+def test_wrapped_licenses(spark, sign):
+    import textwrap
+
+    kinds = {"MIT": ("S09", "S10"), "BSD-3-Clause": ("S11", "S12", "S13", "S14"), "GPL-2.0-or-later": ("S18",), "ISC": ("S20",)}
+    wrap = lambda names: "\n\n".join(textwrap.fill(licenses.SENTENCES[k], 72) for k in names)
+    texts = ["\n".join(sign + line for line in ("A heading\n" + wrap(names)).split("\n")) for names in kinds.values()]
+    texts.append("Released under the\n\nMIT License.")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()}
+    assert got == {**dict(enumerate(kinds)), len(kinds): ""}
+
+
 def test_pipeline_stages(spark, odd, tmp_path):
     """Each stage on what the one before kept."""
     read = lambda df: [tuple(r) for r in df.select("doc_id", "text", "lang", "source").collect()]
