@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from basketlens.llm import decontaminate, licenses, lines, mixing, quality, recompression, simhash, suffixes, toxicity, vectors
+from basketlens.llm import (
+    conversations, decontaminate, interplay, licenses, lines, mixing, quality, recompression, simhash, sketches, suffixes, toxicity, vectors,
+)
 
 
 def queries() -> dict:
@@ -18,6 +20,9 @@ def queries() -> dict:
         "op8_source_mix": mixing.op8_source_mix,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+        "op11_filter_audit": interplay.op11_filter_audit,
+        "op12_conversation_repair": conversations.op12_conversation_repair,
+        "op13_fingerprints": sketches.op13_fingerprints,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -27,4 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": recompression.OP1_SQL, "op2_line_dedup": lines.OP2_SQL, "op6_license_scan": licenses.OP6_SQL, "op7_embedding_near_dedup": vectors.OP7_SQL,
         "op8_source_mix": mixing.OP8_SQL,
         "op10_suffix_dedup": suffixes.OP10_SQL,
+        "op11_filter_audit": interplay.OP11_SQL,
+        "op12_conversation_repair": conversations.OP12_SQL,
     }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -123,3 +125,114 @@ def links(vectors, cosine=0.95):
     for k, r in roots.items():
         least[r] += [vectors[k][0]] * (vectors[k][0] is not None)
     return [(vectors[k][0], sum(linked[k]), min(least[roots[k]], default=None)) for k in range(n)]
+
+
+def audit(rows, known):
+    """(part, order, step, ...) by applying every order to every document."""
+    seen = defaultdict(list)
+    for doc, text, *_ in rows:
+        if doc is not None:
+            seen[text or ""].append(doc)
+    good, toxic = ({d for d, *marks in known if marks[at] == 1} for at in (0, 1))
+    failing = []
+    for doc, text, lang, *_ in rows:
+        text = text or ""
+        words = WORD.findall(text)
+        fails = {
+            "A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)), "E": doc is not None and min(seen[text]) < doc,
+        }
+        failing.append((lang or "", {k for k, v in fails.items() if v}, doc is not None and doc in good, doc is not None and doc in toxic))
+    out, worth = {}, Counter()
+    for order in itertools.permutations("ABCDE"):
+        counts = defaultdict(lambda: [0] * 6)
+        for part, fails, is_good, is_toxic in failing:
+            gone = False
+            for step, letter in enumerate(order, 1):
+                c = counts[part, step]
+                here = letter in fails
+                c[0] += not gone and not here
+                c[1] += here and not gone
+                c[2] += here and gone
+                c[3] += fails == {letter}
+                c[4] += here and not gone and is_good
+                c[5] += here and not gone and is_toxic
+                gone |= here
+        for (part, step), c in counts.items():
+            out[part, "".join(order), step] = c
+            worth[part, order[step - 1]] += c[1]
+    return Counter((part, order, step, *c, worth[part, order[step - 1]]) for (part, order, step), c in out.items())
+
+
+def repairs(rows):
+    """Conversations repaired by a walk over their rows with a least (cost, audit) for each state."""
+    spaced = lambda v: " " if v is None else str(v)
+    convs = {c: [] for c, *_ in rows}
+    for conv, turn, role, text in rows:
+        role, text = spaced(role), spaced(text)
+        how = zlib.crc32(f"{spaced(conv)}:{spaced(turn)}".encode()) % 20
+        text = "" if how == 1 else re.sub("[.!?]", "", text) if how == 2 else text
+        convs[conv] += [(turn, "user" if how == 4 else role, text)] * {0: 0, 3: 2}.get(how, 1)
+    return Counter((conv, *_repaired(turns)) for conv, turns in convs.items())
+
+
+def _repaired(turns):
+    turns = sorted(turns, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2][:64], hashlib.sha256(r[2].encode()).digest()))
+    seen, faults = set(), []
+    for _, role, text in turns:
+        solid = re.sub("[ \t\n\x0b\x0c\r]", "", text)
+        faults.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+
+    def inserted(cells):
+        cells = dict(cells)
+        for _ in range(4):
+            for state, (cost, edits, lines) in list(cells.items()):
+                to, line = (3, "assistant:") if state == 2 else (2, "user:")
+                if to not in cells or (cost + 2, edits + "I") < cells[to][:2]:
+                    cells[to] = (cost + 2, edits + "I", [*lines, line])
+        return cells
+
+    cells = {0: (0, "", [])}
+    for (_, role, text), fault in zip(turns, faults):
+        after = {}
+        for state, (cost, edits, lines) in inserted(cells).items():
+            moves = [(state, 3, "D", [])]
+            if fault not in ("blank", "duplicate"):
+                more, to, full = fault == "truncated", 3 if state == 2 else 2, "assistant" if state == 2 else "user"
+                moves += [(1, more, "K", [f"{role}:{text}"])] * (state == 0 and role[:1] == "s")
+                moves += [(to, more, "K", [f"{role}:{text}"])] * (role[:1] == full[0])
+                moves.append((to, more + 2, "R", [f"{full}:{text}"]))
+            for to, more, edit_, line in moves:
+                if to not in after or (cost + more, edits + edit_) < after[to][:2]:
+                    after[to] = (cost + more, edits + edit_, lines + line)
+        cells = after
+    cost, edits, lines = min((c for s, c in inserted(cells).items() if s in (0, 3)), key=lambda c: c[:2])
+    numbers = [t for t, *_ in turns if t is not None]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, edits, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def paragraphs(text):
+    return Counter(p for p in re.split(r"(?<=\n)|(?<=[.!?] )", text) if p)
+
+
+def likeness(a, b):
+    a, b = paragraphs(a), paragraphs(b)
+    return sum((a & b).values()) / sum((a | b).values()) if a or b else 1.0
+
+
+def edits(rows):
+    """(doc, n_chars, sha256 of the edited text, likeness to it, likeness to the next document)."""
+    def mark(text):
+        h = xxhash.xxh64_intdigest(text.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+
+    order = sorted(((d, t or "") for d, t, *_ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), mark(r[1]), r[1]))
+    out = []
+    for (doc, text), (_, follow) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + follow[:half]
+        out.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), round(likeness(text, edited), 9), round(likeness(text, follow), 9)))
+    return Counter(out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from pathlib import Path
 
 import pyarrow as pa
@@ -10,7 +11,8 @@ import pyarrow.parquet as pq
 
 WORDS = [a + b + c for a in ("th", "re", "on", "st") for b in ("a", "e", "é", "ou") for c in ("nd", "r", "ing", "ß", "t")]
 INSULTS = ["idiot", "scum", "moron"]
-CLASHING = ["row", "key", "lines", "size", "block", "print", "class", "_", "gone", "copies", "bits", "count"]
+CLASHING = ["row", "key", "lines", "size", "block", "print", "class", "_", "gone", "copies", "bits", "count",
+            "part", "mask", "digest", "spread", "own", "n", "place", "guest", "mark", "first", "numbered"]
 
 
 def prose(rng: random.Random, n: int) -> str:
@@ -72,8 +74,24 @@ def embeddings(seed: int = 3) -> list[tuple]:
                    (906, [1.0, 2.0]), (907, [2.0, 4.0]), (None, vectors[1]), (0, vectors[0])]
 
 
+def conversations(seed: int = 6) -> list[tuple]:
+    """Short, long and unnumbered ones, with missing and repeated turns, odd roles and empty texts."""
+    rng, rows = random.Random(seed), []
+    for conv, length in [(k, rng.randrange(1, 9)) for k in range(120)] + [(500, 70), (501, 200), (None, 40)]:
+        for turn in range(length):
+            role = rng.choice(["user", "assistant"]) if rng.random() < 0.2 else ("user", "assistant")[turn % 2]
+            rows.append((conv, turn, "system" if turn == 0 and conv and conv % 5 == 0 else role, prose(rng, rng.randrange(1, 30)) + rng.choice([".", "!", "", "? \n"])))
+    for _ in range(250):
+        rows.append((rng.choice([600, 601, 602, None]), rng.choice([None, *range(-3, 25)]), rng.choice(["user", "assistant", "system", "tool", None, "", "User"]),
+                     rng.choice(["", None, " \t\n", "ok.", "and then", "y?", "x" * 5000, "é!"])))
+    rows += [(700, 2, "user", "the only row."), (701, None, None, None)]
+    # A conversation that is dropped whole.
+    gone = next(k for k in range(1000, 2000) if all(zlib.crc32(f"{k}:{t}".encode()) % 20 == 0 for t in (0,)))
+    return rows + [(gone, 0, "user", "dropped.")]
+
+
 def write(folder: Path, empty: bool = False) -> str:
-    """documents, labels, benchmark and embeddings as Parquet files."""
+    """documents, labels, benchmark, embeddings and conversations as Parquet files."""
     rows = [] if empty else documents()
     known = [] if empty else labels(rows)
     items = [] if empty else benchmark(rows)
@@ -87,4 +105,7 @@ def write(folder: Path, empty: bool = False) -> str:
     pq.write_table(pa.table({"item_id": col(items, 0, pa.int64()), "text": col(items, 1, pa.string()), "doc_id": pa.array([1] * len(items), pa.int64())}), folder / "benchmark.parquet")
     pq.write_table(pa.table({"vec_id": col(vectors, 0, pa.int64()), "embedding": col(vectors, 1, pa.list_(pa.float32())), "label": pa.array([1] * len(vectors), pa.int32()),
                              "class": pa.array(["c"] * len(vectors), pa.string())}), folder / "embeddings.parquet")
+    turns = [] if empty else conversations()
+    pq.write_table(pa.table({"conv_id": col(turns, 0, pa.int64()), "turn": col(turns, 1, pa.int64()), "role": col(turns, 2, pa.string()), "text": col(turns, 3, pa.string())}
+                            | {name: pa.array(["clash"] * len(turns), pa.string()) for name in ("kind", "times", "head", "digest", "how", "found", "copy")}), folder / "conversations.parquet")
     return str(folder)
