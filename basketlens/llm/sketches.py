@@ -41,12 +41,14 @@ def digests(text: str) -> np.ndarray:
     for end in (b"\n", b". ", b"! ", b"? "):
         data = data.replace(end, end + CUT)
     seen: dict[bytes, int] = {}
-    out = []
+    out, times = [], []
     for p in data.split(CUT):
         if p:
-            times = seen[p] = seen.get(p, -1) + 1
-            out.append(xxhash.xxh3_64_intdigest(p, times))
-    return np.array(out, dtype=np.uint64)
+            out.append(xxhash.xxh3_64_intdigest(p))
+            times.append(seen.get(p, 0))
+            seen[p] = times[-1] + 1
+    # A digest that came twice would cancel itself out in every table, whatever its size.
+    return np.unique(mixed(np.array(out, dtype=np.uint64), np.array(times, dtype=np.uint64)))
 
 
 class Tables:
