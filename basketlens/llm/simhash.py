@@ -142,17 +142,18 @@ def near_links(prints: DataFrame, scratch: Scratch, tree: int = TREE) -> DataFra
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per input row: ``doc_id``, ``print``, ``component_id`` (smallest ``doc_id`` reachable over links of 3 bits or fewer).
 
-    Null, empty and blank texts have fingerprint 0 and link like any other.  Rows without ``doc_id`` take part in no link of
-    their own; they get the component of their fingerprint, null if no other row has it.  Equal texts and repeated
-    rows share a fingerprint and so a component.  Only ``doc_id`` and ``text`` are read.  An empty table gives an empty table.
+    Null, empty and blank texts have fingerprint 0 and link like any other.  Rows without ``doc_id`` link too: they may join others
+    into one component and have its number, null if no row of it has one.  Equal texts and repeated rows share a
+    fingerprint and so a component.  Only ``doc_id`` and ``text`` are read.  An empty table gives an empty table.
     """
     prints = scratch.write(fingerprints(docs), "prints")
-    distinct = scratch.write(prints.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("id")), "distinct")
-    links = near_links(distinct, scratch)
-    roots = connected_components(links, scratch)
-    labels = scratch.write(
-        distinct.join(roots, F.col("id") == F.col("node"), "left").select("print", F.coalesce("root", "id").alias("component_id")), "labels"
-    )
+    distinct = scratch.write(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
+    # Classes are named by fingerprint, as not every one has a number.
+    roots = connected_components(near_links(distinct.selectExpr("print as id", "print"), scratch), scratch)
+    rooted = scratch.write(
+        distinct.join(roots, F.col("print") == F.col("node"), "left").select("print", F.coalesce("root", "print").alias("root"), "least"), "rooted")
+    first = scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "first")
+    labels = scratch.write(rooted.join(first, "root").select("print", "component_id"), "labels")
     return prints.join(labels, "print", "left").select("doc_id", "print", "component_id")
 
 
