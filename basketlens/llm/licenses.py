@@ -79,19 +79,19 @@ def _normal(sentence: str) -> list[str]:
 
 
 def sentence_table(known: dict[str, str]) -> dict[str, str]:
-    """Normalised sentence to identifier; a known text that holds several sentences gets letters: ``S18a``, ``S18b``."""
-    table = {}
+    """Normalised sentence to identifier.  A known text that holds several sentences gets letters: ``S18a``, ``S18b``; a sentence that several
+    texts hold has one identifier, of the first of them."""
+    table: dict[str, str] = {}
     for name, sentence in known.items():
-        parts = _normal(sentence)
-        for at, part in enumerate(parts):
-            table[part] = name + chr(ord("a") + at)
+        for at, part in enumerate(_normal(sentence)):
+            table.setdefault(part, name + chr(ord("a") + at))
     return table
 
 
 def rule_table(known: dict[str, str], rules: list[tuple[str, list[str]]]) -> list[tuple[str, str]]:
     """Licence and its identifier sequence, each identifier followed by a blank."""
-    parts = {name: [name + chr(ord("a") + at) for at in range(len(_normal(text)))] for name, text in known.items()}
-    return [(licence, "".join(f"{i} " for name in names for i in parts[name])) for licence, names in rules]
+    table = sentence_table(known)
+    return [(licence, "".join(f"{table[part]} " for name in names for part in _normal(known[name]))) for licence, names in rules]
 
 
 def scan_licenses(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
@@ -99,7 +99,7 @@ def scan_licenses(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: lis
     left out), ``n_matches``, ``licenses`` (names in the order of the rules, comma-joined).
 
     A known sentence may be wrapped over lines, with comment signs before them; a blank line or a sentence end parts it.
-    ``n_sentences`` counts the pieces between line feeds and sentence ends, as the SQL does; the SQL knows no wrapped sentences.
+    ``n_sentences`` counts the pieces between line feeds and sentence ends.
 
     A rule matches where its identifiers follow each other among the known sentences of the text; a rule's sentences
     are used once, by the first rule in the list that fits.  The rule and sentence tables are program text of fixed
@@ -132,7 +132,8 @@ def op6_license_scan(spark, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     table, ordered = sentence_table(SENTENCES), rule_table(SENTENCES, RULES)
-    known = ", ".join(f"'{s}'" for s in table)
+    # Every line feed and sentence end stands twice, so that a match may take one on either side and leave the next its own.
+    known = "|".join(s.replace(" ", "(?: |\\n\\n)") for s in sorted(table, key=lambda s: (-len(s), s)))
     mapped = ", ".join(f"'{s}': '{i}'" for s, i in table.items())
     steps, rest = "", "r0"
     for at, (_, sequence) in enumerate(ordered):
@@ -144,14 +145,19 @@ def _sql() -> str:
         "CASE WHEN " + " + ".join(f"n{at}" for at, (m, _) in enumerate(ordered) if m == n) + f" > 0 THEN '{n}' END" for n in names
     )
     return rf"""
-WITH found AS (
-  SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(translate(
-      regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\x0B\f\r]+', '\1' || chr(10), 'g'), '{UPPER}', '{LOWER}'),
-      '[^a-z0-9\n]+', ' ', 'g'), chr(10)), lambda s: trim(s, ' ')), lambda s: s <> '') AS f
+WITH ended AS (
+  SELECT doc_id, regexp_replace(regexp_replace(translate(coalesce(text, ''), '{UPPER}' || chr(1), '{LOWER}-'),
+      '[.!?;:](?:[ \t\x0B\f\r]+|(\n))', chr(1) || '\1', 'g'), '[^a-z0-9\n\x01]+', ' ', 'g') AS plain
   FROM documents
+), marked AS (
+  SELECT doc_id, regexp_replace(chr(10) || plain || chr(10), ' ?([\n\x01]) ?', '\1', 'g') AS marked FROM ended
+), found AS (
+  SELECT doc_id, list_filter(string_split(translate(marked, chr(1), chr(10)), chr(10)), lambda s: trim(s, ' ') <> '') AS f,
+         regexp_extract_all(regexp_replace(marked, '([\n\x01])', '\1\1', 'g'), '[\n\x01](?:{known})[\n\x01]') AS hits
+  FROM marked
 ), base AS (
   SELECT doc_id, CAST(len(f) AS BIGINT) AS n_sentences,
-         coalesce(array_to_string(list_transform(list_filter(f, lambda s: s IN ({known})), lambda s: MAP {{{mapped}}}[s] || ' '), ''), '') AS r0
+         coalesce(array_to_string(list_transform(hits, lambda s: MAP {{{mapped}}}[replace(s[2:-2], chr(10) || chr(10), ' ')] || ' '), ''), '') AS r0
   FROM found
 ){steps}
 SELECT doc_id, n_sentences, trim(r0, ' ') AS sentence_ids,
