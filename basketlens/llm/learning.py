@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,41 +60,86 @@ def feature_rows(
     sample = scratch.write(sample, "sample")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
     rows = texts.mapInArrow(run, "doc_id long, label int, idx array<int>, val array<float>")
-    return scratch.write(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")), "features")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int"))
+    return scratch.write(rows.repartition(shards, "shard"), "features")
+
+
+def packed_shards(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``shard``, ``examples``: every shard as one value, written once, so that a round is a map over a few bounded rows."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        out = io.BytesIO()
+        with pa.ipc.new_stream(out, table.schema) as sink:
+            sink.write_table(table)
+        return pa.table({"shard": table.column("shard")[:1], "examples": pa.array([zstandard.compress(out.getvalue())], pa.binary())})
+
+    packed = rows.select("shard", "doc_id", "label", "idx", "val").groupBy("shard").applyInArrow(pack, "shard int, examples binary")
+    return scratch.write(packed, "shards")
+
+
+def _unpacked(examples: bytes) -> list[tuple]:
+    table = pa.ipc.open_stream(zstandard.decompress(examples)).read_all().combine_chunks()
+    lists = []
+    for name in ("idx", "val"):
+        column = table.column(name).combine_chunks()
+        values, edges = column.flatten().to_numpy(), column.offsets.to_numpy()
+        lists.append([values[a:b] for a, b in zip(edges - edges[0], edges[1:] - edges[0])])
+    return list(zip(table.column("doc_id").to_pylist(), table.column("label").to_pylist(), *lists))
 
 
 def train_rounds(
-    rows: DataFrame, start: dict[str, np.ndarray], learn: Callable[[dict, list, int], dict], rounds: int, shards: int
+    rows: DataFrame, start: dict[str, np.ndarray], learn: Callable[[dict, list, int], dict], rounds: int, scratch: Scratch
 ) -> dict[str, np.ndarray]:
     """Iterative parameter mixing: in each round every shard learns from the mean of the last round, in a task of its own.
 
-    The mean is taken slice by slice in Spark, so the driver gets one model of fixed size, whatever ``shards`` is.  Rows
-    are taken in the order of a hash of their number and the round: retried tasks and reruns agree.
+    A shard sends back what it changed alone: the numbers of the coordinates (rows of a parameter) and their new values.  What
+    it did not change it holds as it was sent, so the mean over all shards needs no more.  The mean is taken slice by
+    slice in Spark, and the driver gets one model of fixed size, whatever the number of shards.  Rows are taken in the order of a hash of their number
+    and the round: retried tasks and reruns agree.
     """
-    names = list(start)
-    sizes = [start[k].size for k in names]
+    packed = packed_shards(rows, scratch)
+    shards = packed.count()
     model = start
-    for at in range(rounds):
+    for at in range(rounds if shards else 0):
         sent = rows.sparkSession.sparkContext.broadcast({k: v.astype(np.float32) for k, v in model.items()})
 
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            order = sorted(range(len(pdf)), key=lambda k: (zlib.crc32(f"{pdf.doc_id.iloc[k]}:{at}".encode()), pdf.doc_id.iloc[k]))
-            examples = [(pdf.idx.iloc[k], pdf.val.iloc[k].astype(np.float64), int(pdf.label.iloc[k])) for k in order]
-            out = learn({k: v.astype(np.float64) for k, v in sent.value.items()}, examples, at)
-            flat = np.concatenate([out[k].ravel() for k in names]).astype(np.float32)
-            return pd.DataFrame([(k, int(pdf.shard.iloc[0]), part.tobytes()) for k, part in enumerate(np.array_split(flat, SLICES))], columns=["slice", "shard", "part"])
-
-        def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-            parts = [np.frombuffer(p, dtype=np.float32).astype(np.float64) for p in pdf.sort_values("shard").part]
-            return pd.DataFrame({"slice": [int(pdf.slice.iloc[0])], "part": [np.mean(parts, axis=0).astype(np.float32).tobytes()]})
-
-        learned = rows.groupBy("shard").applyInPandas(run, "slice int, shard int, part binary")
-        got = sorted(learned.groupBy("slice").applyInPandas(mean, "slice int, part binary").collect(), key=lambda r: r.slice)
+        def run(batches):
+            for batch in batches:
+                for examples in batch.column(1).to_pylist():
+                    found = sorted(_unpacked(examples), key=lambda e: (zlib.crc32(f"{e[0]}:{at}".encode()), e[0]))
+                    given = {k: v.astype(np.float64) for k, v in sent.value.items()}
+                    out = learn(given, [(idx, val.astype(np.float64), int(label)) for _, label, idx, val in found], at)
+                    parts = []
+                    for name, old in sent.value.items():
+                        new = out[name].astype(np.float32)
+                        changed = np.flatnonzero((new != old).reshape(len(old), -1).any(axis=1)).astype(np.int32)
+                        edges = np.searchsorted(changed, np.linspace(0, len(old), SLICES + 1)[1:-1])
+                        parts += [(k, name, c.tobytes(), new[c].tobytes()) for k, c in enumerate(np.split(changed, edges)) if len(c)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*parts), (pa.int32(), pa.string(), pa.binary(), pa.binary()))]
+                                                     if parts else [pa.array([], k) for k in (pa.int32(), pa.string(), pa.binary(), pa.binary())], ["slice", "name", "which", "new"])
+
+        def mean(table: pa.Table) -> pa.Table:
+            name = table.column("name")[0].as_py()
+            old = sent.value[name]
+            total = np.zeros(old.shape)
+            touched = np.zeros(len(old), dtype=bool)
+            # The order of sums must not depend on the order of arrival.
+            for which, new in sorted(zip(table.column("which").to_pylist(), table.column("new").to_pylist())):
+                which = np.frombuffer(which, dtype=np.int32)
+                total[which] += np.frombuffer(new, dtype=np.float32).reshape(len(which), *old.shape[1:]).astype(np.float64) - old[which]
+                touched[which] = True
+            which = np.flatnonzero(touched).astype(np.int32)
+            new = (old[which] + total[which] / shards).astype(np.float32)
+            return pa.table({"name": [name], "which": [which.tobytes()], "new": [new.tobytes()]})
+
+        learned = packed.mapInArrow(run, "slice int, name string, which binary, new binary")
+        got = learned.groupBy("slice", "name").applyInArrow(mean, "name string, which binary, new binary").collect()
+        model = {k: v.astype(np.float32) for k, v in model.items()}
+        for r in got:
+            which = np.frombuffer(r["which"], dtype=np.int32)
+            model[r["name"]][which] = np.frombuffer(r["new"], dtype=np.float32).reshape(len(which), *start[r["name"]].shape[1:])
+        model = {k: v.astype(np.float64) for k, v in model.items()}
         sent.destroy()
-        if not got:
-            break
-        flat = np.concatenate([np.frombuffer(r.part, dtype=np.float32) for r in got])
-        model = {k: v.reshape(start[k].shape).astype(np.float64) for k, v in zip(names, np.split(flat, np.cumsum(sizes)[:-1]))}
     return model
 
 

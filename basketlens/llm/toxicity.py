@@ -100,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMP
     seen = np.zeros(size, dtype=bool)
     seen[[r.term for r in counts.select("term").collect()]] = True
     start["v"][~seen] = 0.0
-    model = train_rounds(rows, start, learn, ROUNDS, SHARDS)
+    model = train_rounds(rows, start, learn, ROUNDS, scratch)
     return {"b": model["b"], "w": linear(model["z"], model["n"]), "v": model["v"].astype(np.float32)}
 
 
