@@ -35,8 +35,7 @@ SHAPE = bytes(_SHAPE)
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and values of the text's features, over the whole text.
 
-    Words as they are (one word), and shapes of words in runs of one, two and three; a word that repeats the one
-    before it has the shape "repeated".  A value is the root of the feature's share among those of its kind, so length
+    Words, and shapes of words, in runs of one, two and three; a word that repeats the one before it has the shape "repeated".  A value is the root of the feature's share among those of its kind, so length
     cancels out.
     """
     words = text.split()
@@ -49,9 +48,12 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     shapes = np.array([seen[s] if s in seen else seen.setdefault(s, xxhash.xxh3_64_intdigest(s, 1)) for s in signs.tobytes().split(b" ") if s], dtype=np.uint64)
     shapes[1:][ids[1:] == ids[:-1]] = 7
     kinds = [mixed(ids, np.uint64(11)), mixed(shapes, np.uint64(12))]
-    for n in (1, 2):
-        if len(shapes) > n:
-            kinds.append(mixed(kinds[-1][:-1], shapes[n:] + np.uint64(20 + n)))
+    for at, signs_of in enumerate((ids, shapes)):
+        run = kinds[at]
+        for n in (1, 2):
+            if len(signs_of) > n:
+                run = mixed(run[:-1], signs_of[n:] + np.uint64(20 + n))
+                kinds.append(run)
     idx, val = [], []
     for kind in kinds:
         which, times = np.unique(kind >> np.uint64(64 - BITS), return_counts=True)
@@ -87,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SAMP
     """Weights learned from at most ``sample`` labelled documents outside the held-out quarter."""
     rows = feature_rows(docs, labelled_sample(labels, label, sample), features, scratch, SHARDS)
     empty = np.zeros((1 << BITS) + 1)
-    model = train_rounds(rows, {"z": empty, "n": empty}, learn, ROUNDS, SHARDS)
+    model = train_rounds(rows, {"z": empty, "n": empty}, learn, ROUNDS, scratch)
     return {"w": weights(model["z"], model["n"])}
 
 
