@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from basketlens.catalog.oracle_base import CALENDAR, FLAGS, FREQ, LINES, SQL, TYPED, over_orders
 from basketlens.catalog.rounding import rounded
+from basketlens.functions.shipping import by_value
 from basketlens.operators import clean, quality
 from basketlens.plans import etl, kpi
 from basketlens.session import scratch_path
 from basketlens.sources import files
 from basketlens.sources.raw_text import raw_orders
-from basketlens.sources.retail import retail_orders
+from basketlens.sources.retail import COLUMNS, DERIVED, retail_orders
+
+by_value(__name__)
 
 
 def c_clean_orders(spark, path):
@@ -33,7 +37,8 @@ def c_describe(spark, path):
 
 
 def c_shape(spark, path):
-    return quality.shape(retail_orders(spark, path))
+    """Rows from the order file alone, as no join of the view adds or drops any; columns from the view's names."""
+    return quality.shape(retail_orders(spark, path, ["Customer_ID"]), len(COLUMNS) + len(DERIVED))
 
 
 def _raw_csv(spark, path):
@@ -79,6 +84,37 @@ def io_load_metrics(spark, path):
     )
 
 
+def io_quarantine(spark, path):
+    """A raw file with short and long lines through the load: rows taken, and what the quarantine table holds."""
+    source, target = scratch_path(spark, "broken-csv"), scratch_path(spark, "orders-table")
+    columns, key = raw_orders(spark, path), "cast(Customer_ID as bigint)"
+    fields = ", ".join(f"concat('\"', replace(coalesce(`{c}`, ''), '\"', '\"\"'), '\"')" for c in columns.columns)
+    lines = columns.selectExpr(f"array({fields}) as f", f"{key} % 19 = 0 as short", f"{key} % 23 = 0 as long").selectExpr(
+        "concat_ws(',', case when long then concat(f, array('more')) when short then slice(f, 1, size(f) - 1) else f end) as value")
+    # A header in every file, as the CSV writer does it.
+    header = ",".join(columns.columns)
+    lines.repartitionByRange(4, "value").mapInArrow(_with_header(header), "value string").write.text(source)
+    metrics = etl.load_orders(spark, files.read_raw_records(spark, source), target)
+    held = files.read_table(spark, f"{target}-quarantine")
+    width = len(columns.columns)
+    sizes = held.selectExpr("size(split(record, '\",\"|\",m')) as fields")
+    return sizes.agg(
+        F.lit(metrics.rows_in).cast("bigint").alias("rows_in"), F.lit(metrics.quarantined_rows).cast("bigint").alias("quarantined_rows"),
+        F.count_if(F.col("fields") < width).alias("short_records"), F.count_if(F.col("fields") > width).alias("long_records"))
+
+
+def _with_header(header):
+    def run(batches):
+        first = True
+        for batch in batches:
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+                first = False
+            yield batch
+
+    return run
+
+
 def io_nonempty_check(spark, path):
     """Row count of the table that the load wrote; the load fails when it is 0."""
     target = scratch_path(spark, "orders-table")
@@ -90,7 +126,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         c_clean_orders, c_outliers, c_missing_by_column, c_describe, c_shape, io_raw_scan,
-        io_csv_roundtrip, io_table_roundtrip, io_load_metrics, io_nonempty_check,
+        io_csv_roundtrip, io_table_roundtrip, io_load_metrics, io_quarantine, io_nonempty_check,
     ]
 }
 
@@ -156,7 +192,13 @@ ORACLE = {
         (SELECT {_nulls(_BEFORE)} FROM dated) AS missing_before, (SELECT {_nulls(_ALL)} FROM o) AS missing_after,
         (SELECT count(*) FROM o WHERE Purchase_Amount < (SELECT quantile_cont(Purchase_Amount, 0.01) FROM o)
            OR Purchase_Amount > (SELECT quantile_cont(Purchase_Amount, 0.99) FROM o)) AS outlier_rows,
-        (SELECT count(*) FROM typed WHERE o_orderkey % 13 = 0) AS unparsed_times"""),
+        (SELECT count(*) FROM typed WHERE o_orderkey % 13 = 0) AS unparsed_times, CAST(0 AS BIGINT) AS quarantined_rows"""),
+    # Every 19th line of the raw file has lost its last field, every 23rd has one more.
+    "io_quarantine": _over_clean(
+        """SELECT count(*) FILTER (WHERE o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0) AS rows_in,
+        count(*) FILTER (WHERE o_orderkey % 19 = 0 OR o_orderkey % 23 = 0) AS quarantined_rows,
+        count(*) FILTER (WHERE o_orderkey % 19 = 0 AND o_orderkey % 23 <> 0) AS short_records,
+        count(*) FILTER (WHERE o_orderkey % 23 = 0) AS long_records FROM typed"""),
     "io_nonempty_check": _over_clean("SELECT count(*) AS rows FROM o"),
     "c_outliers": over_orders(
         """SELECT round(low, 6) AS low_bound, round(high, 6) AS high_bound,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from basketlens.catalog.oracle_base import money_avg, money_sum, over_orders
 from basketlens.catalog.rounding import rounded
 from basketlens.plans import dashboard as d
-from basketlens.sources.retail import retail_orders
+from basketlens.sources.retail import first_orders, retail_orders
 
 AMT, SAT, ID, CH, INC, GEN = (
     "Purchase_Amount", "Customer_Satisfaction", "Customer_ID", "Purchase_Channel", "Income_Level", "Gender",
@@ -34,6 +34,25 @@ def w11_shared_frame(spark, path):
     return spark.createDataFrame(rows, "dataset string, rows bigint")
 
 
+# Filter choices of the cube's query: channels, incomes, genders.
+CHOICES = [(CHOICE[CH], CHOICE[INC], CHOICE[GEN]), ([], [], []), (["Mixed"], ["Low", "High"], [])]
+
+
+def w11_dataset_values(spark, path):
+    """Every value of the eight datasets for three filter choices, from one cube; the first choice comes again at the end."""
+    cube = d.DashboardCube(retail_orders(spark, path, [
+        CH, INC, GEN, ID, "Age", AMT, SAT, "Time_of_Purchase", "Purchase_Category", "Payment_Method", "Frequency_of_Purchase"]))
+    result = None
+    for at, choice in enumerate([*CHOICES, CHOICES[0]]):
+        for name, frame in cube.datasets(*choice).items():
+            key = "''" if name == "kpi" else f"cast({frame.columns[0]} as string)"
+            measures = [c for c in frame.columns if name == "kpi" or c != frame.columns[0]]
+            cells = ", ".join(f"struct('{m}' as measure, round(cast({m} as double), 6) as value)" for m in measures)
+            part = frame.selectExpr(f"{at} as choice", f"'{name}' as dataset", f"{key} as item", f"inline(array({cells}))")
+            result = part if result is None else result.unionByName(part)
+    return result
+
+
 QUERIES = {
     "p_measures": _all(d.bi_measures, AMT, ID, "Return_Rate", "High_Satisfaction", "Discount_Used",
                        "Customer_Loyalty_Program_Member"),
@@ -69,8 +88,9 @@ QUERIES = {
         lambda o: d.revenue_by(o, "Purchase_Category", Freq="Frequency_of_Purchase"),
         "Purchase_Category", AMT, "Frequency_of_Purchase"),
     "w09_income_combo": _chosen(lambda o: d.revenue_by(o, INC, CSAT=SAT), INC, AMT, SAT),
-    "w10_preview": lambda spark, path: rounded(d.preview(retail_orders(spark, path))),
+    "w10_preview": lambda spark, path: rounded(d.preview(first_orders(spark, path, d.PREVIEW_ROWS))),
     "w11_shared_frame": w11_shared_frame,
+    "w11_dataset_values": w11_dataset_values,
 }
 
 REV = f"round({money_sum()}, 6)"
@@ -98,7 +118,32 @@ def _revenue(source, key, extra="", keep=True):
 
 _KPI = f"SELECT count(*) AS n, {REV} AS revenue, {AOV} AS aov, round(avg({SAT}), 6) AS csat FROM"
 
+def _dataset_values():
+    parts, ctes = [], []
+    for at, (channels, incomes, genders) in enumerate([*CHOICES, CHOICES[0]]):
+        where = " AND ".join(
+            ["TRUE"] + [f"{c} IN ({', '.join(repr(v) for v in values)})" for c, values in ((CH, channels), (INC, incomes), (GEN, genders)) if values])
+        f = f"f{at}"
+        ctes.append(f"{f} AS (SELECT * FROM o WHERE {where})")
+        month = "strftime(date_trunc('month', Time_of_Purchase), '%Y-%m-%d') || ' 00:00:00'"
+        sat, freq, top = f"avg({SAT})", "avg(Frequency_of_Purchase)", f"(SELECT Purchase_Category, {money_sum()} AS v FROM {f} WHERE Purchase_Category IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)"
+        sample = f"(SELECT * FROM {f} ORDER BY {HASH}, Customer_ID LIMIT 150)"
+        parts += [f"SELECT {at} AS choice, 'kpi' AS dataset, '' AS item, '{m}' AS measure, CAST({v} AS DOUBLE) AS value FROM {f}"
+                  for m, v in (("n", "count(*)"), ("revenue", money_sum()), ("aov", money_avg()), ("csat", sat))]
+        for name, key, measures in (
+            ("monthly", month, {"Purchase_Amount": money_sum(), "CSAT": sat}), ("channels", CH, {"Purchase_Amount": money_sum()}),
+            ("payments", "Payment_Method", {"Purchase_Amount": money_sum()}), ("incomes", INC, {"Purchase_Amount": money_sum(), "CSAT": sat}),
+            ("categories", "Purchase_Category", {"Purchase_Amount": money_sum(), "Freq": freq}),
+        ):
+            parts += [f"SELECT {at}, '{name}', {key}, '{m}', {v} FROM {f} WHERE {key} IS NOT NULL GROUP BY {key}" for m, v in measures.items()]
+        parts.append(f"SELECT {at}, 'top_categories', Purchase_Category, 'Purchase_Amount', v FROM {top}")
+        parts += [f"SELECT {at}, 'scatter', Customer_ID, '{m}', {m} FROM {sample}" for m in ("Age", AMT)]
+    body = " UNION ALL ".join(parts)
+    return over_orders(f"SELECT choice, dataset, item, measure, round(value, 6) AS value FROM ({body})", *ctes)
+
+
 ORACLE = {
+    "w11_dataset_values": _dataset_values(),
     "p_measures": over_orders(f"""SELECT {REV} AS total_revenue, {AOV} AS aov,
         round(CAST(sum(Return_Rate) AS DOUBLE) / count(*), 6) AS return_rate_pct,
         round(avg(High_Satisfaction), 6) AS high_satisfaction_pct, {_share('Discount_Used')} AS discount_usage_pct,

@@ -322,8 +322,7 @@ ORACLE = {
         FROM (SELECT High_Satisfaction, count(*) AS n FROM fit GROUP BY 1)""",
         _COMPLETE, _HASHED,
         """fit AS (SELECT h.High_Satisfaction FROM h JOIN (SELECT High_Satisfaction, quantile_cont(h, 0.8) AS cut FROM h GROUP BY 1) c
-        ON h.High_Satisfaction = c.High_Satisfaction AND h.h <= c.cut
-        ORDER BY CAST('0x' || substr(md5(Customer_ID || '-fit'), 1, 13) AS BIGINT), Customer_ID LIMIT 50000)"""),
+        ON h.High_Satisfaction = c.High_Satisfaction AND h.h <= c.cut)"""),
     "f11_report": over_orders(
         """SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pc
         UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT round(CAST(sum(hit) AS DOUBLE) / sum(support), 6) FROM c),

@@ -72,9 +72,9 @@ FLAGS = """CASE WHEN Customer_Satisfaction >= 7 THEN 1 ELSE 0 END AS High_Satisf
 VIEW = f"""o AS (SELECT *, {CALENDAR}, {FLAGS} FROM typed)"""
 
 
-def over_orders(body: str, *ctes: str) -> str:
-    """``body`` as a query over the order view ``o`` and further CTEs."""
-    return "WITH " + ",\n".join([LINES, FREQ, TYPED, VIEW, *ctes]) + "\n" + body
+def over_orders(body: str, *ctes: str, recursive: bool = False) -> str:
+    """``body`` as a query over the order view ``o`` and further CTEs, which may refer to themselves if ``recursive``."""
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join([LINES, FREQ, TYPED, VIEW, *ctes]) + "\n" + body
 
 
 def money_sum(column: str = "Purchase_Amount") -> str:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.operators.classify import FEATURES, KEY
+from basketlens.session import Scratch
 
 
 def baseline(rows: DataFrame, features: list[str] = FEATURES) -> list[float]:
@@ -15,40 +18,44 @@ def baseline(rows: DataFrame, features: list[str] = FEATURES) -> list[float]:
     return [float(means[c] or 0.0) for c in features]
 
 
-def attributions(
-    model, rows: DataFrame, base: list[float], features: list[str] = FEATURES, key: str = KEY, orders: int = 1,
-    seed: int = 42,
-) -> DataFrame:
-    """(key, feature, phi): mean change of the probability when the feature joins, over sampled orders.
+STANDARD_ERROR = 0.05  # of an attribution, on the probability scale, at most
+DRAWS = 2  # feature orders, each with its reverse, that a row draws in a round
+MOST_ROUNDS = 100
 
-    Each row draws ``orders`` random feature orders and their reverses from
-    hashes of its key.  The model scores every prefix of an order; a prefix
-    counts for the feature that joined last and against the one joining next.
-    The rows are spread by key first: scoring is the heavy part, and the sums
-    per row then need no second shuffle.  The work is linear in the rows.
+
+def _drawn(model, rows: DataFrame, base: list[float], features: list[str], key: str, first: int, seed: int) -> DataFrame:
+    """(key, n, s, q): over ``DRAWS`` draws from number ``first`` on, per feature the sum and the sum of squares of its change.
+
+    A row has one random order of the features; draw after draw it begins at another place of it, so that over a row's draws a feature
+    joins early and late alike.  A draw is the order and its reverse.  The model scores every prefix of an order; a prefix counts for the
+    feature that joined last and against the one joining next.
     """
     width = len(features)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = "array(" + ", ".join(f"cast({c} as double)" for c in features) + ")"
     means = "array(" + ", ".join(f"{v!r}D" for v in base) + ")"
-    # ranks[j]: position (1..width) at which feature j joins.
-    shuffled = (
+    order = (
         f"transform(array_sort(transform(sequence(0, {width - 1}),"
-        f" j -> struct(xxhash64({key}, draw, j, {seed}L) as h, j as j))), s -> s.j)"
+        f" j -> struct(xxhash64({key}, draw div {width}, j, {seed}L) as h, j as j))), s -> s.j)"
     )
+    # Steps that share no factor with the number of places visit each of them once.
+    step = next(k for k in range(max(1, round(width * 0.382)), width + 1) if math.gcd(k, width) == 1)
+    turned = f"concat(slice(whole, 1 + draw * {step} % {width}, {width}), slice(whole, 1, draw * {step} % {width}))"
     drawn = (
         rows.select(key, *features)
         .repartition(tasks, key)
-        .selectExpr(key, f"{x} as x", f"explode(sequence(1, {orders})) as draw")
-        .selectExpr(key, "x", f"{shuffled} as forward")
-        .selectExpr(key, "x", "explode(array(forward, reverse(forward))) as joined")
+        .selectExpr(key, f"{x} as x", f"explode(sequence({first}, {first + DRAWS - 1})) as draw")
+        .selectExpr(key, "x", "draw", f"{order} as whole")
+        .selectExpr(key, "x", "draw", f"{turned} as forward")
+        .selectExpr(key, "x", "draw", "explode(array(forward, reverse(forward))) as joined")
     )
     # The ranks are columns below the explode, so that they are computed once per order.
     ranked = drawn.selectExpr(
-        key, "joined", "x", f"transform(sequence(0, {width - 1}), j -> int(array_position(joined, j))) as ranks"
+        key, "draw", "joined", "x", f"transform(sequence(0, {width - 1}), j -> int(array_position(joined, j))) as ranks"
     )
     prefixes = ranked.selectExpr("*", f"explode(sequence(0, {width})) as taken").selectExpr(
         key,
+        "draw",
         "joined",
         "taken",
         f"transform(sequence(0, {width - 1}), j -> if(ranks[j] <= taken, x[j], {means}[j])) as point",
@@ -56,18 +63,48 @@ def attributions(
     scored = model.transform(prefixes.withColumn("features", array_to_vector("point")).drop("point"))
     shares = scored.select(
         key,
+        "draw",
         F.expr("if(taken >= 1, joined[greatest(taken - 1, 0)], -1)").alias("last"),
         F.expr(f"if(taken < {width}, joined[least(taken, {width - 1})], -1)").alias("next"),
         vector_to_array("probability")[1].alias("p"),
     )
-    sums = shares.groupBy(key).agg(
-        *[
-            F.expr(f"sum(case {j} when last then p when next then -p else 0 end) / {2 * orders} as phi{j}")
-            for j in range(width)
-        ]
+    draws = shares.groupBy(key, "draw").agg(
+        *[F.expr(f"sum(case {j} when last then p when next then -p else 0 end) / 2").alias(f"phi{j}") for j in range(width)]
+    )
+    return draws.groupBy(key).agg(
+        F.count("*").alias("n"), F.array(*[F.sum(f"phi{j}") for j in range(width)]).alias("s"),
+        F.array(*[F.sum(F.col(f"phi{j}") * F.col(f"phi{j}")) for j in range(width)]).alias("q"),
     )
-    entries = ", ".join(f"struct('{c}' as feature, phi{j} as phi)" for j, c in enumerate(features))
-    return sums.selectExpr(key, f"inline(array({entries}))")
+
+
+def attributions(
+    model, rows: DataFrame, base: list[float], features: list[str] = FEATURES, key: str = KEY,
+    error: float = STANDARD_ERROR, seed: int = 42,
+) -> DataFrame:
+    """(key, feature, phi, std_error): mean change of the probability when the feature joins, over sampled orders.
+
+    A row draws orders in rounds until the standard error of each of its attributions is at most ``error``; rows that are done take no part
+    in the next round.  The attributions of a draw add up to the probability less that of the base, so those of a row do.  Every round's
+    sums are written: a lost executor costs one round.  The work is linear in the rows.
+    """
+    scratch = Scratch(rows.sparkSession, "attributions")
+    spread = "greatest(0D, (q[j] - s[j] * s[j] / n) / (n - 1))"
+    errors = f"transform(sequence(0, {len(features) - 1}), j -> sqrt({spread} / n))"
+    total, left = None, rows
+    for at in range(MOST_ROUNDS):
+        new = _drawn(model, left, base, features, key, at * DRAWS, seed)
+        if total is None:
+            total = scratch.write(new, "round-0")
+        else:
+            both = total.unionByName(new)
+            sums = lambda c: F.array(*[F.sum(F.col(c)[j]) for j in range(len(features))]).alias(c)
+            total = scratch.write(both.groupBy(key).agg(F.sum("n").alias("n"), sums("s"), sums("q")), f"round-{at}")
+        open_rows = total.where(f"array_max({errors}) > {error!r}D").select(key)
+        if open_rows.isEmpty():
+            break
+        left = rows.join(open_rows, key, "left_semi")
+    entries = ", ".join(f"struct('{c}' as feature, s[{j}] / n as phi, errors[{j}] as std_error)" for j, c in enumerate(features))
+    return total.selectExpr("*", f"{errors} as errors").selectExpr(key, f"inline(array({entries}))")
 
 
 def global_importance(attributed: DataFrame, size: int | None = 5) -> DataFrame:

@@ -33,7 +33,7 @@ CATEGORIES = [
 ]
 INPUTS = [c for c in FEATURES if c != "Engagement_Score"]
 TRAIN_SHARE = 0.8
-FIT_ROWS = 50_000  # rows that models are fitted on, at most
+FIT_ROWS = 50_000  # rows that models are fitted on, at most; oversampling is not bounded
 
 
 def add_engagement(orders: DataFrame) -> DataFrame:
@@ -152,26 +152,21 @@ class Training:
 
 
 def prepare(orders: DataFrame, fit_rows: int = FIT_ROWS) -> Training:
-    """Encode, split, oversample the train part and keep both sets as written tables.
+    """Encode, split, oversample the whole train part and keep both sets as written tables.
 
-    Models are fitted on at most ``fit_rows`` rows of the train part, those with the smallest key hashes; the hold-out
+    Models are fitted on at most ``fit_rows`` rows of the oversampled train part, those with the smallest key hashes; oversampling, the hold-out
     rows and all scoring are unbounded.
     """
     rows = model_rows(orders)
     encoder = fit_encoder(rows)
     split = mark_split(encode(encoder, rows)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = materialise(
-            oversample(
-                materialise(split.where("in_train").orderBy(key_hash(F.col(KEY), "fit"), KEY).limit(fit_rows), "fit"),
-                FEATURES, TARGET, KEY,
-            ),
-            "train",
-        )
+        resampled = materialise(oversample(materialise(split.where("in_train").drop("in_train"), "in-train"), FEATURES, TARGET, KEY), "resampled")
+        train = materialise(resampled.orderBy(key_hash(F.col(KEY), "fit"), KEY).limit(fit_rows), "train")
         test = materialise(split.where("not in_train").select(KEY, *FEATURES, TARGET), "test")
     finally:
         split.unpersist()
-    return Training(encoder, assemble(train), train, assemble(test), classifiers(train.count()), {})
+    return Training(encoder, assemble(train), resampled, assemble(test), classifiers(train.count()), {})
 
 
 def score_column(scored: DataFrame) -> DataFrame:

@@ -59,12 +59,15 @@ def add_flags(orders: DataFrame) -> DataFrame:
 def parse(
     raw: DataFrame, na_tokens: list[str] = text.NA_TOKENS, date_formats: list[str] = text.DATE_FORMATS
 ) -> DataFrame:
-    """Text columns to typed columns: one projection trims and takes out missing tokens, the next types."""
-    trimmed = raw.selectExpr(*[f"{text.missing_to_null(f'`{name}`', na_tokens)} as `{name}`" for name in raw.columns])
+    """Text columns to typed columns: one projection trims and takes out missing tokens, the next types.  Other columns pass."""
+    other = {f.name for f in raw.schema if not isinstance(f.dataType, T.StringType)}
+    trimmed = raw.selectExpr(*[f"`{n}`" if n in other else f"{text.missing_to_null(f'`{n}`', na_tokens)} as `{n}`" for n in raw.columns])
     typed = []
     for name in raw.columns:
         column = f"`{name}`"
-        if name == "Purchase_Amount":
+        if name in other:
+            pass
+        elif name == "Purchase_Amount":
             column = text.money(column)
         elif name == "Time_of_Purchase":
             column = text.timestamp(column, date_formats)

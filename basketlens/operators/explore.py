@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.hashing import key_hash
 from basketlens.functions.measures import money_total
+from basketlens.functions.shipping import by_value
 from basketlens.operators.quantiles import exact_quantiles, quantile_table
+from basketlens.session import materialise
+
+by_value(__name__)
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
@@ -90,30 +96,50 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-PAIRS_AT_ONCE = 9
+def co_moments(df: DataFrame, columns: list[str]) -> tuple[np.ndarray, ...]:
+    """Over the rows where both columns of a pair are present: rows, sums and sums of squares of the first, sums of products.
+
+    Square matrices by pair, of values less their column's mean.  One pass over one written table of these columns; what a task adds up is of
+    fixed size and merges by addition.
+    """
+    narrow = materialise(df.select(*[F.col(c).cast("double") for c in columns]), "moments")
+    width = len(columns)
+    means = np.array([m or 0.0 for m in narrow.agg(*[F.avg(c) for c in columns]).first()], dtype=np.float64)
+
+    def run(batches):
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1) - means
+            here = ~np.stack([c.is_null().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            x, here = np.where(here, x, 0.0), here.astype(np.float64)
+            total += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "value"])
+
+    parts = narrow.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    total = np.zeros(4 * width * width)
+    for r in parts.collect():
+        total[r["at"]] = r["value"]
+    return tuple(total.reshape(4, width, width))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair over the rows where both are present; 1 for a column with itself.
 
-    Each pair is computed once, a few pairs to an aggregate so that the aggregates stay in generated code; all of them
-    read one prepared input.
+    Null where there is no row with both; NaN where one does not vary over them.
     """
-    numbers = df.select(*[F.col(c).cast("double") for c in columns])
-    pairs = [(a, b) for at, a in enumerate(columns) for b in columns[at:]]
-    found = None
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        cells = [
-            F.struct(
-                F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                (F.when(F.count(a) > 0, F.lit(1.0)) if a == b else F.corr(a, b)).alias("r"),
-            )
-            for a, b in pairs[at : at + PAIRS_AT_ONCE]
-        ]
-        part = numbers.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-        found = part if found is None else found.unionByName(part)
-    mirrored = F.array(F.struct("column_a", "column_b", "r"), F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r"))
-    return found.select(F.explode(F.when(F.col("column_a") == F.col("column_b"), F.slice(mirrored, 1, 1)).otherwise(mirrored)).alias("x")).select("x.*")
+    n, sums, squares, products = co_moments(df, columns)
+    rows = []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            r = None
+            if n[i, j] and i == j:
+                r = 1.0
+            elif n[i, j]:
+                both = products[i, j] - sums[i, j] * sums[j, i] / n[i, j]
+                spread = (squares[i, j] - sums[i, j] ** 2 / n[i, j]) * (squares[j, i] - sums[j, i] ** 2 / n[i, j])
+                r = float(both / np.sqrt(spread)) if spread > 0 else float("nan")
+            rows.append((a, b, r))
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
 
 
 def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:

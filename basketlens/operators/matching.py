@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+import numpy as np
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +22,47 @@ def complete_rows(orders: DataFrame, confounders: list[str] = CONFOUNDERS) -> Da
     return orders.dropna(subset=[*confounders, TREATMENT, OUTCOME])
 
 
+MOST_STEPS, LEAST_STEP = 25, 1e-12
+
+
+def newton_weights(cells: DataFrame, width: int) -> list[float]:
+    """Constant and weights of a logistic regression over ``cells`` (``x1`` to ``x<width>``, ``label``, ``n`` rows), L2 penalty of unit weight in all
+    but the constant.
+
+    Each Newton step is one aggregate over the cells: the gradient and the second derivatives, a handful of sums.  With rows of one
+    label only, the constant would have no end: it stays where the last finite step has left it.
+    """
+    x = ["1.0D", *[f"x{i}" for i in range(1, width + 1)]]
+    at = np.zeros(width + 1)
+    for _ in range(MOST_STEPS):
+        line = " + ".join(f"{float(w)!r}D * {c}" for w, c in zip(at, x))
+        found = cells.selectExpr("*", f"1 / (1 + exp(-({line}))) as p").agg(
+            *[F.expr(f"sum(n * (p - label) * {c})") for c in x],
+            *[F.expr(f"sum(n * p * (1 - p) * {c} * {d})") for k, c in enumerate(x) for d in x[k:]],
+        ).first()
+        if found[0] is None:
+            break
+        slope, curve = np.array(found[: width + 1]), np.zeros((width + 1, width + 1))
+        curve[np.triu_indices(width + 1)] = found[width + 1 :]
+        curve = curve + np.triu(curve, 1).T
+        slope[1:] += at[1:]
+        curve[1:, 1:] += np.eye(width)
+        if curve[0, 0] < 1e-9:
+            break
+        step = np.linalg.solve(curve, slope)
+        at = at - step
+        if np.abs(step).max() <= LEAST_STEP * (1 + np.abs(at).max()):
+            break
+    return at.tolist()
+
+
 def propensity_scores(
     rows: DataFrame, confounders: list[str] = CONFOUNDERS, treatment: str = TREATMENT
 ) -> DataFrame:
     """Add ``Propensity_Score``: logistic regression of the treatment, L2 penalty of unit weight in all.
 
-    Text confounders are coded in alphabetical order.
+    Text confounders are coded in alphabetical order.  Rows with the same confounders and treatment are one cell: rows are read once, and the
+    steps of the fit read the cells, which are written.
     """
     texts = [f.name for f in rows.schema if f.name in confounders and isinstance(f.dataType, T.StringType)]
     terms = list(confounders)
@@ -38,14 +73,13 @@ def propensity_scores(
         for name, labels in zip(texts, indexer.labelsArray):
             codes = ", ".join('"' + label.replace('"', '\\"') + '"' for label in labels)
             terms[terms.index(name)] = f"array_position(array({codes}), {name}) - 1"
-    coded = rows.selectExpr(f"int({treatment}) as label", *[f"double({t}) as x{i}" for i, t in enumerate(terms)])
-    assembler = VectorAssembler(inputCols=[f"x{i}" for i in range(len(terms))], outputCol="features")
-    model = LogisticRegression(
-        regParam=1.0 / max(1, rows.count()), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10
-    ).fit(assembler.transform(coded).select("label", "features"))
+    names = [f"x{i}" for i in range(1, len(terms) + 1)]
+    coded = rows.selectExpr(f"int({treatment}) as label", *[f"double({t}) as {x}" for x, t in zip(names, terms)])
+    cells = materialise(coded.groupBy("label", *names).agg(F.count("*").alias("n")), "cells")
+    constant, *weights = newton_weights(cells, len(terms))
     # The fitted line as an expression: scoring stays in generated code.
-    line = " + ".join(f"{float(w)!r}D * ({t})" for w, t in zip(model.coefficients, terms))
-    return rows.withColumn("Propensity_Score", F.expr(f"1 / (1 + exp(-({float(model.intercept)!r}D + {line})))"))
+    line = " + ".join(f"{float(w)!r}D * ({t})" for w, t in zip(weights, terms))
+    return rows.withColumn("Propensity_Score", F.expr(f"1 / (1 + exp(-({constant!r}D + {line})))"))
 
 
 def nearest_controls(

@@ -2,77 +2,23 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.hashing import key_hash, key_uniform
-from basketlens.functions.shipping import by_value
+from basketlens.operators.neighbours import near_neighbours
 from basketlens.operators.quantiles import exact_quantiles
-
-by_value(__name__)
+from basketlens.session import Scratch
 
 NEIGHBOURS = 5
-MOST_ROWS = 100_000
-BLOCK = 512
-
-
-def nearest(points: np.ndarray, all_points: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and squared distances of the ``k`` rows of ``all_points`` nearest to each point, itself left out.
-
-    Products find a few more than ``k`` candidates; their distances are then taken exactly, equal ones in row order.
-    """
-    norms = (all_points * all_points).sum(axis=1)
-    rough = norms - 2.0 * points @ all_points.T
-    rough[np.arange(len(points)), own] = np.inf
-    wide = min(len(all_points) - 1, 2 * k + 16)
-    if wide < 1:
-        return np.zeros((len(points), 0), dtype=np.int64), np.zeros((len(points), 0))
-    some = np.sort(np.argpartition(rough, wide - 1, axis=1)[:, :wide], axis=1)
-    exact = ((points[:, None, :] - all_points[some]) ** 2).sum(axis=2)
-    order = np.argsort(exact, axis=1, kind="stable")[:, :k]
-    return np.take_along_axis(some, order, 1), np.take_along_axis(exact, order, 1)
-
-
-def near_neighbours(rows: DataFrame, key: str, features: list[str], k: int = NEIGHBOURS) -> DataFrame:
-    """(key, x, neighbours): the ``k`` nearest other rows of each row, nearest first, exact.
-
-    ``rows`` is a bounded set, the smaller class of what models are fitted on; more than ``MOST_ROWS`` rows are refused.
-    It is sent to every task, and each task compares its rows with all of it in blocks.
-    """
-    x = "array(" + ", ".join(f"cast({c} as double)" for c in features) + ")"
-    table = rows.selectExpr(f"cast({key} as string) as id", f"{x} as x").limit(MOST_ROWS + 1).toPandas().sort_values("id")
-    if len(table) > MOST_ROWS:
-        raise ValueError(f"neighbours are searched among {MOST_ROWS} rows at most; bound the rows to fit on")
-    ids = table["id"].to_numpy()
-    points = np.array(table["x"].tolist(), dtype=np.float64).reshape(len(ids), len(features))
-    sent = rows.sparkSession.sparkContext.broadcast((ids, points))
-
-    def run(batches):
-        ids, points = sent.value
-        for batch in batches:
-            for at in range(0, len(batch), BLOCK):
-                part = batch.iloc[at : at + BLOCK]
-                own = np.searchsorted(ids, part["id"].to_numpy())
-                which, distance = nearest(points[own], points, own, k)
-                near = [
-                    [{"distance": float(d), "id": ids[j], "x": points[j].tolist()} for j, d in zip(js, ds)]
-                    for js, ds in zip(which, distance)
-                ]
-                yield pd.DataFrame({"id": part["id"], "x": points[own].tolist(), "neighbours": near})
-
-    schema = "id string, x array<double>, neighbours array<struct<distance: double, id: string, x: array<double>>>"
-    return rows.selectExpr(f"cast({key} as string) as id").mapInPandas(run, schema).withColumnRenamed("id", key)
 
 
 def oversample(
     train: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS, seed: int = 42
 ) -> DataFrame:
-    """``train`` plus synthetic rows of the smaller class until both classes are equal; ``train`` is the bounded set to fit on.
+    """``train`` plus synthetic rows of the smaller class until both classes are equal.
 
-    A synthetic row lies between a row of the class and one of its neighbours.
+    A synthetic row lies between a row of the class and one of its ``k`` nearest rows of the class, all of which are searched.
     Every row gets the same number of synthetic rows, and the remainder goes to
     the rows with the smallest hashes, so the classes end exactly equal.
     """
@@ -83,13 +29,14 @@ def oversample(
     small = min(counts, key=counts.get)
     n, need = counts[small], max(counts.values()) - counts[small]
     each, rest = divmod(need, n)
-    minority = train.where(F.col(label) == small).select(key, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    scratch = Scratch(train.sparkSession, "oversample")
+    minority = scratch.write(train.where(F.col(label) == small).select(key, *features), "minority")
     hashed = minority.select(key_hash(F.col(key), f"extra-{seed}").alias("h"))
     limit = -1.0
     if rest:
         rank = 0.0 if n == 1 else (rest - 0.5) / (n - 1)
         limit = exact_quantiles(hashed, ["h"], [min(1.0, max(0.0, rank))])[0].values[0]
-    copies = near_neighbours(minority, key, features, k).withColumn(
+    copies = near_neighbours(minority, key, features, k, scratch).withColumn(
         "copies", F.lit(each) + (key_hash(F.col(key), f"extra-{seed}") <= F.lit(limit)).cast("int")
     )
     pick = F.concat_ws("/", F.col(key), F.col("copy"))
@@ -119,7 +66,7 @@ def between_neighbours(full: DataFrame, features: list[str], label: str, key: st
     """Rows per class, and how many of them are synthetic and lie between their parent and one of its ``k`` nearest rows."""
     classes = full.where("synthetic").select(label).distinct()
     pool = full.where("not synthetic").join(F.broadcast(classes), label, "left_semi")
-    near = near_neighbours(pool, key, features, k).selectExpr(f"{key} as parent", "x", "neighbours")
+    near = near_neighbours(pool, key, features, k, Scratch(full.sparkSession, "between")).selectExpr(f"{key} as parent", "x", "neighbours")
     point = "array(" + ", ".join(features) + ")"
     square = lambda a, b: f"aggregate(zip_with({a}, {b}, (p, q) -> (p - q) * (p - q)), 0.0D, (s, d) -> s + d)"
     hit = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.operators.quantiles import exact_quantiles, quantile_table
+from basketlens.operators.quantiles import exact_quantiles, narrowed, ranked
 
 
 def missing_cells(df: DataFrame) -> Column:
@@ -35,8 +35,9 @@ def column_types(df: DataFrame) -> DataFrame:
     return table.groupBy("data_type").agg(F.count("*").alias("columns")).orderBy(F.desc("columns"), "data_type")
 
 
-def shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+def shape(df: DataFrame, columns: int | None = None) -> DataFrame:
+    """Rows and columns; ``columns`` where ``df`` has the rows of a wider view."""
+    return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(columns or len(df.columns)))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -44,32 +45,30 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles of every numeric column."""
+    """Count, mean, sample deviation, extremes and exact quartiles of every numeric column.
+
+    The columns are computed once; moments and ranks read the persisted copy.
+    """
     columns = columns or numeric_columns(df)
-    quartiles = quantile_table(df, columns, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
-    # One wide global aggregate: partial sums in each task, a single row shuffled.
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("count"),
-                F.avg(F.col(c).cast("double")).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*columns)))
-    quartiles = quartiles.withColumnRenamed("variable", "column_name").drop("by", "n")
-    return stats.join(quartiles, "column_name", "left").orderBy("column_name")
+    names = ["count", "mean", "std", "min", "max"]
+    with narrowed(df, columns) as narrow:
+        # One wide global aggregate: partial sums in each task, a single row shuffled.
+        made = narrow.agg(*[
+            f(f"c{k}").alias(f"{name}{k}")
+            for k in range(len(columns))
+            for name, f in zip(names, (F.count, F.avg, F.stddev_samp, F.min, F.max))
+        ]).first()
+        quartiles = {int(q.variable): q.values for q in ranked(narrow, len(columns), [0.25, 0.5, 0.75])}
+    rows = [(c, *[made[f"{name}{k}"] for name in names], *quartiles.get(k, [None] * 3)) for k, c in enumerate(columns)]
+    schema = "column_name string, count bigint, mean double, std double, min double, max double, q25 double, q50 double, q75 double"
+    return df.sparkSession.createDataFrame(sorted(rows), schema)
 
 
 def outliers(df: DataFrame, column: str = "Purchase_Amount", low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Bounds at two quantiles and the number of rows outside; the rows stay."""
-    found = exact_quantiles(df, [column], [low, high])
-    below, above = (F.lit(v) for v in (found[0].values if found else (None, None)))
-    value = F.col(column)
-    return df.agg(
-        F.count_if((value < below) | (value > above)).alias("outlier_rows"), F.count("*").alias("rows")
-    ).select(below.cast("double").alias("low_bound"), above.cast("double").alias("high_bound"), "outlier_rows", "rows")
+    with narrowed(df, [column]) as narrow:
+        found = ranked(narrow, 1, [low, high])
+        below, above = (F.lit(v) for v in (found[0].values if found else (None, None)))
+        row = narrow.agg(F.count_if((F.col("c0") < below) | (F.col("c0") > above)), F.count("*")).first()
+    values = (*(found[0].values if found else (None, None)), *row)
+    return df.sparkSession.createDataFrame([values], "low_bound double, high_bound double, outlier_rows bigint, rows bigint")

@@ -1,23 +1,27 @@
-"""Exact interpolated quantiles without gathering a group in one task.
+"""Exact interpolated quantiles by radix selection.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here one bounded sketch per column brackets the
-wanted ranks, rows below a bracket are counted, and the few rows inside are counted in 4096 steps of their value; only
-the steps that hold a wanted rank are ordered.  The result equals linear interpolation between order statistics.  The
-same passes run on inputs of any size.
+``percentile`` keeps every distinct value of a group in one buffer.  Here a value is its 64 bits in the order of the values, and a
+rank is found digit by digit: rows are counted by the first 16 bits, the count that holds the rank tells its
+prefix, and the rows of that prefix are counted by the next 16 bits, four times at most.  A task never orders values: it counts prefixes,
+and a running total goes over at most 65,536 of them, however the values are distributed.  A prefix of
+which all rows are equal ends the search early.  The result equals linear interpolation between order statistics.
 """
 
 from __future__ import annotations
 
 import math
+import struct
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-STEPS = 4096
+DIGIT = 16
 MOST_GROUPS = 1_000
+SIGN = (1 << 63) - 1
 
 
 class Quantiles(NamedTuple):
@@ -27,138 +31,99 @@ class Quantiles(NamedTuple):
     values: list[float]
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None, accuracy: int = ACCURACY
-) -> list[Quantiles]:
-    """Quantiles of each column, one entry per column and group of ``by``.
+def sort_key(value: Column) -> Column:
+    """A bigint that orders as the doubles do, NaN last; both zeros are one value."""
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("bigint")
+    return F.when(value.isNull(), F.lit(None)).otherwise(bits)
 
-    Like ``approxQuantile`` it runs at once and returns plain numbers: one row per group reaches the driver, so ``by``
-    must be a label from a short list (a band, a segment); more than ``MOST_GROUPS`` groups are refused.  The projected
-    values are persisted for the passes and released after.
 
-    The sketch returns each rank within n/accuracy rows.  Brackets reach 6/accuracy of the rows, or two rows of a
-    small group, beyond the wanted rank; should a rank ever lie outside, the call fails instead of returning a wrong value.
-    """
+def ordered_bits(bits: str) -> str:
+    # A negative value's bits grow as it falls.
+    return f"if({bits} < 0, {bits} ^ {SIGN}L, {bits})"
+
+
+def from_key(key: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", key if key >= 0 else key ^ SIGN))[0]
+
+
+@contextmanager
+def narrowed(df: DataFrame, columns: list[str], by: str | None = None) -> Iterator[DataFrame]:
+    """``by``, ``c0``, ``c1``, … as doubles, persisted for several passes and released after."""
     group = F.lit("") if by is None else F.col(by).cast("string")
-    numbers = range(len(columns))
     narrow = df.select(group.alias("by"), *[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
     narrow = narrow.where("by is not null").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        brackets = _brackets(narrow, len(columns), probabilities, accuracy)
-        return sorted(
-            Quantiles(columns[k], None if by is None else label, n, values)
-            for (label, k), (n, values) in _ranked(narrow, numbers, probabilities, brackets).items()
-        )
+        yield narrow
     finally:
         narrow.unpersist()
 
 
-def _brackets(narrow: DataFrame, width: int, probabilities: list[float], accuracy: int) -> dict:
-    """(group, column) to (rows, low and high value per probability).
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], by: str | None = None) -> list[Quantiles]:
+    """Quantiles of each column, one entry per column and group of ``by``.
 
-    The sketch is asked for a ladder of margins, each twice the last; a group takes the first that is wide enough for it.
+    Like ``approxQuantile`` it runs at once and returns plain numbers: a few rows per group reach the driver, so ``by``
+    must be a label from a short list (a band, a segment); more than ``MOST_GROUPS`` groups are refused.
     """
-    ladder = [6.0 / accuracy * 2**k for k in range(2 + max(0, math.ceil(math.log2(accuracy / 6.0))))]
-    asked = sorted({min(1.0, max(0.0, p + s * m)) for p in probabilities for m in ladder for s in (-1, 1)})
-    place = {p: at for at, p in enumerate(asked)}
-    cells = []
-    for k in range(width):
-        cells += [F.count(f"c{k}").alias(f"n{k}"), F.min(f"c{k}").alias(f"least{k}"), F.max(f"c{k}").alias(f"most{k}")]
-        cells.append(F.percentile_approx(f"c{k}", asked, accuracy).alias(f"s{k}"))
-    rows = narrow.groupBy("by").agg(*cells).limit(MOST_GROUPS + 1).collect()
-    if len(rows) > MOST_GROUPS:
-        raise ValueError(f"more than {MOST_GROUPS} groups: quantiles are for a short list of labels")
-    found = {}
-    for row in rows:
-        for k in range(width):
-            n = row[f"n{k}"]
-            if not n:
-                continue
-            margin = next((m for m in ladder if m >= 6.0 / accuracy + 2.0 / n), 1.0)
-            low, high = [], []
-            for p in probabilities:
-                low.append(row[f"least{k}"] if p - margin <= 0 else row[f"s{k}"][place[p - margin]])
-                high.append(row[f"most{k}"] if p + margin >= 1 else row[f"s{k}"][place[p + margin]])
-            found[row["by"], k] = (n, low, high)
-    return found
-
-
-def _ranked(narrow: DataFrame, numbers: range, probabilities: list[float], brackets: dict) -> dict:
-    if not brackets:
-        return {}
-    spark = narrow.sparkSession
-    parts = [(k, i) for k in numbers for i in range(len(probabilities))]
-    names = ", ".join(f"low{k}_{i} double, high{k}_{i} double" for k, i in parts)
-    table = []
-    for label in sorted({label for label, _ in brackets}):
-        row = [label]
-        for k, i in parts:
-            n, low, high = brackets.get((label, k), (0, None, None))
-            row += [low[i] if n else None, high[i] if n else None]
-        table.append(tuple(row))
-    # One row per group.
-    placed = narrow.join(F.broadcast(spark.createDataFrame(table, f"by string, {names}")), "by")
-    below = {
-        r["by"]: r
-        for r in placed.groupBy("by").agg(*[
-            F.expr(sql).alias(f"{name}{k}_{i}")
-            for k, i in parts
-            for name, sql in (("b", f"count_if(c{k} < low{k}_{i})"), ("e", f"count_if(c{k} = low{k}_{i})"))
-        ]).collect()
-    }
-    # A rank among the rows that equal the lower end is told already: so are most ranks of columns with few values.
-    picked, wanted = {}, []
-    for (label, k), (n, _, _) in brackets.items():
-        for i, p in enumerate(probabilities):
-            position, before = p * (n - 1), below[label][f"b{k}_{i}"]
-            first, second = math.floor(position) - before, math.ceil(position) - before
-            if 0 <= first and second < below[label][f"e{k}_{i}"]:
-                picked[label, k, i] = (brackets[label, k][1][i],) * 2
+    with narrowed(df, columns, by) as narrow:
+        return [q._replace(variable=columns[int(q.variable)], by=None if by is None else q.by) for q in ranked(narrow, len(columns), probabilities)]
+
+
+def ranked(narrow: DataFrame, width: int, probabilities: list[float]) -> list[Quantiles]:
+    """Quantiles of ``c0``, ``c1``, … of a narrowed table, named by their numbers."""
+    keys = narrow.select("by", *[sort_key(F.col(f"c{k}")).alias(f"b{k}") for k in range(width)]).selectExpr(
+        "by", *[f"{ordered_bits(f'b{k}')} as key{k}" for k in range(width)])
+    totals: dict[tuple[str, int], int] = {}
+    found: dict[tuple, int] = {}
+    wanted = None  # rows of (group, column, prefix, probability, side, rank within the prefix)
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        rows = _counted(keys, width, shift, wanted, probabilities)
+        if wanted is None:
+            totals = {(r["by"], r["k"]): r["total"] for r in rows}
+            if len({g for g, _ in totals}) > MOST_GROUPS:
+                raise ValueError(f"more than {MOST_GROUPS} groups: quantiles are for a short list of labels")
+        wanted = []
+        for r in rows:
+            if r["low"] == r["high"] or not shift:
+                found[r["by"], r["k"], r["i"], r["side"]] = r["low"]
             else:
-                wanted.append((label, k, i, first, second))
-    parts = sorted({(k, i) for _, k, i, _, _ in wanted})
-    if wanted:
-        picked |= _searched(placed, parts, wanted)
-    result = {}
-    for (label, k), (n, _, _) in brackets.items():
+                wanted.append((r["by"], r["k"], r["prefix"], r["i"], r["side"], r["rank"] - r["before"]))
+        if not wanted:
+            break
+    out = []
+    for (group, k), n in totals.items():
         values = []
         for i, p in enumerate(probabilities):
-            low, high = picked.get((label, k, i), (None, None))
-            if low is None or high is None:
-                raise ValueError("a rank fell outside its bracket: raise the accuracy")
-            position = p * (n - 1)
-            values.append(low + (high - low) * (position - math.floor(position)))
-        result[label, k] = (n, values)
-    return result
-
-
-def _searched(placed: DataFrame, parts: list[tuple[int, int]], wanted: list[tuple]) -> dict:
-    """Values at the wanted ranks, counted from the lower ends of their brackets."""
-    spark = placed.sparkSession
-    inside = ", ".join(
-        f"if(c{k} between low{k}_{i} and high{k}_{i}, struct({k} as k, {i} as i, c{k} as value,"
-        f" coalesce(int(least({STEPS - 1}, floor(try_divide(c{k} - low{k}_{i}, high{k}_{i} - low{k}_{i}) * {STEPS}))), 0) as step), null)"
-        for k, i in parts
-    )
-    cells = (
-        placed.selectExpr("by", f"explode(filter(array({inside}), x -> x is not null)) as x")
-        .groupBy("by", "x.k", "x.i", "x.step", "x.value").agg(F.count("*").alias("rows"))
-    )
-    # At most STEPS rows per bracket; those that hold a wanted rank are at most two.
-    steps = (
-        cells.groupBy("by", "k", "i", "step").agg(F.sum("rows").alias("step_rows"))
-        .selectExpr("*", "sum(step_rows) over (partition by by, k, i order by step) - step_rows as before_step")
-        .join(F.broadcast(spark.createDataFrame(wanted, "by string, k int, i int, low_rank bigint, high_rank bigint")), ["by", "k", "i"])
-        .where("low_rank >= before_step and low_rank < before_step + step_rows or high_rank >= before_step and high_rank < before_step + step_rows")
-    )
-    rows = (
-        cells.join(F.broadcast(steps), ["by", "k", "i", "step"])
-        .selectExpr("*", "before_step + sum(rows) over (partition by by, k, i, step order by value) as end")
-        .groupBy("by", "k", "i")
-        .agg(*[F.expr(f"max(if(end - rows <= {r} and {r} < end, value, null))").alias(r) for r in ("low_rank", "high_rank")])
-        .collect()
-    )
-    return {(r["by"], r["k"], r["i"]): (r["low_rank"], r["high_rank"]) for r in rows}
+            low, high = (from_key(found[group, k, i, side]) for side in (0, 1))
+            part = p * (n - 1) - math.floor(p * (n - 1))
+            values.append(low + (high - low) * part if part else low)
+        out.append(Quantiles(str(k), group, n, values))
+    return sorted(out, key=lambda q: (int(q.variable), q.by))
+
+
+def _counted(keys: DataFrame, width: int, shift: int, wanted: list[tuple] | None, probabilities: list[float]) -> list:
+    """The prefixes of ``64 - shift`` bits that hold a wanted rank, with the least and largest key of each."""
+    spark = keys.sparkSession
+    columns = range(width) if wanted is None else sorted({w[1] for w in wanted})
+    prefixes = {k: sorted({w[2] for w in wanted or [] if w[1] == k}) for k in columns}
+    kept = {k: f"key{k} is not null" if wanted is None else f"shiftright(key{k}, {shift + DIGIT}) in ({', '.join(f'{p}L' for p in prefixes[k])})" for k in columns}
+    cells = ", ".join(f"if({kept[k]}, named_struct('k', {k}, 'key', key{k}), null)" for k in columns)
+    long = keys.selectExpr("by", f"explode(array({cells})) as cell").where("cell is not null").selectExpr("by", "cell.k", "cell.key")
+    counts = long.groupBy("by", "k", F.expr(f"shiftright(key, {shift})").alias("prefix")).agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    # At most 65,536 prefixes in a partition.
+    if wanted is None:
+        whole = Window.partitionBy("by", "k")
+        sides = ", ".join(
+            f"named_struct('i', {i}, 'side', {side}, 'rank', cast({name}({p!r}D * (total - 1)) as bigint))"
+            for i, p in enumerate(probabilities) for side, name in enumerate(("floor", "ceil")))
+        counts = counts.withColumn("total", F.sum("n").over(whole)).withColumn("before", F.sum("n").over(whole.orderBy("prefix")) - F.col("n"))
+        hit = counts.selectExpr("*", f"inline(filter(array({sides}), x -> x.rank >= before and x.rank < before + n))")
+    else:
+        asked = spark.createDataFrame(wanted, "by string, k int, above bigint, i int, side int, rank bigint")
+        counts = counts.withColumn("above", F.expr(f"shiftright(prefix, {DIGIT})"))
+        counts = counts.withColumn("before", F.sum("n").over(Window.partitionBy("by", "k", "above").orderBy("prefix")) - F.col("n"))
+        # A few rows for each group and column.
+        hit = counts.join(F.broadcast(asked), ["by", "k", "above"]).where("rank >= before and rank < before + n").withColumn("total", F.lit(0))
+    return hit.select("by", "k", "total", "i", "side", "rank", "before", "prefix", "low", "high").limit(MOST_GROUPS * 2 * width * len(probabilities) + 1).collect()
 
 
 def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float], names: list[str], **options):

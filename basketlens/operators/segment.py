@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-import math
-from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.functions.shipping import by_value
+
+by_value(__name__)
+
 RFM = ["Recency", "Frequency_of_Purchase", "Purchase_Amount"]
 
-# Parallel seeding (k-means||) starts closer to the optimum than single random draws.
 STARTS = 10
+MOST_CELLS = 50_000  # of a coreset, about: two megabytes on the driver and in a broadcast
+RESOLUTIONS = [2**b for b in range(3, 13)]  # cells along an axis
+MOST_ROUNDS, LEAST_MOVE = 300, 1e-4
 
 # Segment names by profile, and the list used when scoring.
 CHAMPIONS, HIBERNATING, LOYAL = "Champions (VIP)", "Hibernating (At Risk)", "Loyal Customers"
@@ -51,52 +57,171 @@ def _prepared(rows: DataFrame):
     assembler = VectorAssembler(inputCols=RFM, outputCol="rfm")
     assembled = assembler.transform(rows)
     scaler = StandardScaler(inputCol="rfm", outputCol="scaled", withMean=True, withStd=True).fit(assembled)
-    vectors = scaler.transform(assembled).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = scaler.transform(assembled).select(vector_to_array("scaled").alias("z")).persist(StorageLevel.MEMORY_AND_DISK)
     return assembler, scaler, vectors
 
 
-def _best_kmeans(vectors: DataFrame, k: int, starts: int, seed: int):
-    """The fit with the lowest cost over several starts, run side by side.
+class Coreset(NamedTuple):
+    """Weighted means of the cells of a grid, and the rows' squared distances from the mean of their cell."""
+
+    points: np.ndarray
+    weights: np.ndarray
+    spread: float
 
-    A fit stops when the squared moves of all centres sum to at most 1e-4.
-    """
-    def fit(start: int):
-        return KMeans(
-            k=k, seed=seed + start, maxIter=300, tol=math.sqrt(1e-4 / k), featuresCol="scaled", predictionCol="Cluster"
-        ).fit(vectors)
 
-    with ThreadPool(starts) as pool:
-        fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(starts))
-    return min(fits, key=lambda model: model.summary.trainingCost)
+def coreset(vectors: DataFrame, most_cells: int = MOST_CELLS) -> Coreset:
+    """The rows of ``z`` as the occupied cells of the finest grid that has about ``most_cells`` at most.
+
+    For any centres the root of the rows' cost differs from the root of the cells' cost by at most the root of ``spread``: a row is no
+    further from its cell's mean than that, whichever centre is nearest (the triangle inequality, summed over rows).
+    """
+    width = len(vectors.first()["z"])
+    axes = [F.col("z")[i] for i in range(width)]
+    ends = vectors.agg(*[f(a) for a in axes for f in (F.min, F.max)]).first()
+    low, side = [ends[2 * i] for i in range(width)], [(ends[2 * i + 1] - ends[2 * i]) or 1.0 for i in range(width)]
+
+    def cell(resolution: int) -> list:
+        return [F.least(F.floor((a - F.lit(lo)) / F.lit(w) * resolution), F.lit(resolution - 1)) for a, lo, w in zip(axes, low, side)]
+
+    sizes = vectors.agg(*[F.approx_count_distinct(F.struct(*cell(r))) for r in RESOLUTIONS]).first()
+    resolution = max([r for r, n in zip(RESOLUTIONS, sizes) if n <= most_cells], default=RESOLUTIONS[0])
+    cells = vectors.groupBy(*[c.alias(f"g{i}") for i, c in enumerate(cell(resolution))]).agg(
+        F.count("*").alias("w"), *[F.avg(a).alias(f"m{i}") for i, a in enumerate(axes)], sum((F.var_pop(a) for a in axes), F.lit(0.0)).alias("v"))
+    # About ``most_cells`` rows.
+    rows = cells.orderBy(*[f"g{i}" for i in range(width)]).collect()
+    points = np.array([[r[f"m{i}"] for i in range(width)] for r in rows], dtype=np.float64)
+    weights = np.array([r["w"] for r in rows], dtype=np.float64)
+    return Coreset(points, weights, float(sum(r["w"] * r["v"] for r in rows)))
+
+
+def squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+
+
+def weighted_kmeans(points: np.ndarray, weights: np.ndarray, k: int, seed: list[int]) -> tuple[float, np.ndarray]:
+    """Cost and centres of one start: spread-out seeding, then moves until the centres stay."""
+    rng = np.random.default_rng(seed)
+    k = min(k, len(points))
+    centres = points[rng.choice(len(points), p=weights / weights.sum())][None, :]
+    while len(centres) < k:
+        far = squared(points, centres).min(axis=1) * weights
+        centres = np.vstack([centres, points[rng.choice(len(points), p=far / far.sum()) if far.sum() else len(centres)]])
+    for _ in range(MOST_ROUNDS):
+        own = squared(points, centres).argmin(axis=1)
+        total = np.bincount(own, weights, minlength=k)
+        sums = np.stack([np.bincount(own, weights * points[:, i], minlength=k) for i in range(points.shape[1])], axis=1)
+        new = np.where(total[:, None] > 0, sums / np.maximum(total, 1e-300)[:, None], centres)
+        moved, centres = ((new - centres) ** 2).sum(), new
+        if moved <= LEAST_MOVE**2:
+            break
+    return float((squared(points, centres).min(axis=1) * weights).sum()), centres[np.lexsort(centres.T[::-1])]
+
+
+def best_centres(spark, core: Coreset, ks: list[int], starts: int, seed: int) -> dict[int, np.ndarray]:
+    """For each k the centres of the start with the lowest cost over the coreset; every start is a task of its own."""
+    sent = spark.sparkContext.broadcast((core.points, core.weights))
+    tries = [(k, start) for k in ks for start in range(starts)]
+
+    def run(batches):
+        for batch in batches:
+            for k, start in zip(*(c.to_pylist() for c in batch.columns)):
+                cost, centres = weighted_kmeans(*sent.value, k, [seed, k, start])
+                yield pa.RecordBatch.from_pylist([{"k": k, "start": start, "cost": cost, "centres": centres.ravel().tolist()}])
+
+    table = spark.createDataFrame(tries, "k int, start int").repartition(len(tries), "k", "start")
+    found = table.mapInArrow(run, "k long, start long, cost double, centres array<double>")
+    best = {r["k"]: r for r in sorted(found.collect(), key=lambda r: (-r["cost"], -r["start"]))}
+    sent.destroy()
+    return {k: np.array(best[k]["centres"]).reshape(-1, core.points.shape[1]) for k in ks}
+
+
+def _tallies(vectors: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, dict]:
+    """Per k: cost, and rows, sums and sums of squares of every cluster; one pass over the rows for all k."""
+
+    def run(batches):
+        for batch in batches:
+            z = batch.column(0).flatten().to_numpy().reshape(len(batch), -1)
+            out = []
+            for k, c in centres.items():
+                far = squared(z, c)
+                own = far.argmin(axis=1)
+                for at in range(len(c)):
+                    mine = z[own == at]
+                    if len(mine):
+                        out.append({"k": k, "cluster": at, "n": len(mine), "cost": float(far[own == at, at].sum()), "squares": float((mine * mine).sum()), "sums": mine.sum(axis=0).tolist()})
+            yield pa.RecordBatch.from_pylist(out)
+
+    width = next(iter(centres.values())).shape[1]
+    parts = vectors.select("z").mapInArrow(run, "k long, cluster long, n long, cost double, squares double, sums array<double>")
+    rows = parts.groupBy("k", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("squares").alias("squares"),
+                                             F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")).collect()
+    out = {}
+    for k, c in centres.items():
+        mine = {r["cluster"]: r for r in rows if r["k"] == k}
+        n = np.array([mine[a]["n"] if a in mine else 0 for a in range(len(c))], dtype=np.float64)
+        sums = np.array([mine[a]["sums"] if a in mine else [0.0] * width for a in range(len(c))])
+        out[k] = {"n": n, "sums": sums, "squares": np.array([mine[a]["squares"] if a in mine else 0.0 for a in range(len(c))]), "cost": sum(r["cost"] for r in mine.values())}
+    return out
+
+
+def _silhouettes(vectors: DataFrame, centres: dict[int, np.ndarray], tallies: dict[int, dict]) -> dict[int, float]:
+    """Per k the mean silhouette by squared distances, from the clusters' sums; one pass for all k."""
+
+    def run(batches):
+        for batch in batches:
+            z = batch.column(0).flatten().to_numpy().reshape(len(batch), -1)
+            out = []
+            for k, c in centres.items():
+                n, sums, squares = (tallies[k][x] for x in ("n", "sums", "squares"))
+                own = squared(z, c).argmin(axis=1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    mean = np.where(n > 0, (z * z).sum(axis=1)[:, None] + squares / n - 2 * z @ (sums / n[:, None]).T, np.inf)
+                    at = np.arange(len(z))
+                    inside = mean[at, own] * n[own] / (n[own] - 1)
+                    mean[at, own] = np.inf
+                    outside = mean.min(axis=1)
+                    value = np.where((n[own] > 1) & np.isfinite(outside), (outside - inside) / np.maximum(inside, outside), 0.0)
+                out.append({"k": k, "total": float(np.nan_to_num(value).sum()), "n": len(z)})
+            yield pa.RecordBatch.from_pylist(out)
+
+    parts = vectors.select("z").mapInArrow(run, "k long, total double, n long")
+    return {r["k"]: r["value"] for r in parts.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("value")).collect()}
 
 
 def sweep(rows: DataFrame, ks: range = range(2, 10), starts: int = STARTS, seed: int = 42) -> DataFrame:
-    """Inertia and silhouette per number of clusters.
+    """Inertia and silhouette per number of clusters, over all rows.
 
-    Inertia is on the population-deviation scale.  The silhouette uses squared
-    distance to cluster means, linear in the rows.
+    All starts of all k run on one coreset; one pass over the rows then costs the best centres of every k, a second gives
+    their silhouettes (squared distances to cluster means).  Inertia is on the population-deviation scale.
     """
     _, _, vectors = _prepared(rows)
     try:
-        n = vectors.count()
-        judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="Cluster")
-        found = []
-        for k in ks:
-            model = _best_kmeans(vectors, k, starts, seed)
-            found.append((k, model.summary.trainingCost * n / (n - 1), judge.evaluate(model.transform(vectors))))
+        centres = best_centres(rows.sparkSession, coreset(vectors), list(ks), starts, seed)
+        tallies = _tallies(vectors, centres)
+        scores = _silhouettes(vectors, centres, tallies)
     finally:
         vectors.unpersist()
+    found = []
+    for k in ks:
+        n = tallies[k]["n"].sum()
+        found.append((k, float(tallies[k]["cost"] * n / (n - 1)), scores[k]))
     return rows.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
 
 
+def as_model(spark, centres: np.ndarray):
+    """The centres as a k-means model: fitted on the centres alone, each of which is a cluster."""
+    table = spark.createDataFrame([(c.tolist(),) for c in centres], "z array<double>").select(array_to_vector("z").alias("scaled"))
+    return KMeans(k=len(centres), initMode="random", maxIter=1, seed=1, featuresCol="scaled", predictionCol="Cluster").fit(table)
+
+
 def fit_segments(rows: DataFrame, k: int = 4, starts: int = STARTS, seed: int = 42) -> PipelineModel:
-    """Assembler, scaler and k-means as one model that can be saved."""
+    """Assembler, scaler and k-means as one model that can be saved; the centres come from a coreset of the rows."""
     assembler, scaler, vectors = _prepared(rows)
     try:
-        model = _best_kmeans(vectors, k, starts, seed)
+        centres = best_centres(rows.sparkSession, coreset(vectors), [k], starts, seed)[k]
     finally:
         vectors.unpersist()
-    return PipelineModel([assembler, scaler, model])
+    return PipelineModel([assembler, scaler, as_model(rows.sparkSession, centres)])
 
 
 def profile(clustered: DataFrame, key: str = "Cluster") -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions import bands
-from basketlens.functions.measures import money_mean, money_total
+from basketlens.functions.hashing import key_hash
+from basketlens.functions.measures import cents, money_mean, money_total
 from basketlens.operators import explore
+from basketlens.session import Scratch
 
 FILTERS = ["Purchase_Channel", "Income_Level", "Gender"]
 SCATTER_ROWS = 150
@@ -97,6 +99,89 @@ def dashboard(orders: DataFrame, channels=(), incomes=(), genders=()):
         chosen.unpersist()
 
 
+class DashboardCube:
+    """The datasets of every filter choice from partial sums that merge.
+
+    The orders are read once, for a cube of counts and sums per filter cell (channel, income, gender) and level of each dimension, and for
+    the rows of each cell with the smallest key hashes, of which the smallest of any choice are some.  Both are written and
+    small: levels times cells, and 150 rows a cell.  A choice adds up cells; its datasets are kept, so a choice that comes again
+    reads nothing.  ``refresh`` takes new orders and forgets what was kept.
+    """
+
+    DIMENSIONS = ["Purchase_Channel", "Income_Level", "Purchase_Category", "Payment_Method", "Month"]
+
+    def __init__(self, orders: DataFrame, sample: int = SCATTER_ROWS) -> None:
+        self.sample = sample
+        self.refresh(orders)
+
+    def refresh(self, orders: DataFrame) -> None:
+        spark = orders.sparkSession
+        if hasattr(self, "scratch"):
+            self.scratch.drop()
+        self.scratch, self.kept = Scratch(spark, "cube"), {}
+        month = F.date_format(F.trunc(F.col("Time_of_Purchase").cast("date"), "MM"), "yyyy-MM-dd")
+        base = self.scratch.write(
+            orders.select(*FILTERS, "Purchase_Category", "Payment_Method", month.alias("Month"), "Customer_ID", "Age", "Purchase_Amount",
+                          "Customer_Satisfaction", "Frequency_of_Purchase"), "base")
+        levels = ", ".join(["struct('All' as dimension, cast(null as string) as level)", *[f"struct('{d}' as dimension, {d} as level)" for d in self.DIMENSIONS]])
+        self.cells = self.scratch.write(
+            base.withColumns({f"of_{c}": F.col(c) for c in FILTERS}).selectExpr(*[f"of_{c}" for c in FILTERS], "Purchase_Amount", "Customer_Satisfaction",
+                                                                               "Frequency_of_Purchase", f"inline(array({levels}))")
+            .groupBy(*[f"of_{c}" for c in FILTERS], "dimension", "level").agg(
+                F.count("*").alias("n"), F.count("Purchase_Amount").alias("amounts"), F.sum(cents("Purchase_Amount")).alias("cents"),
+                F.count("Customer_Satisfaction").alias("rated"), F.sum("Customer_Satisfaction").alias("rating"),
+                F.count("Frequency_of_Purchase").alias("counted"), F.sum("Frequency_of_Purchase").alias("frequency")), "cells")
+        first = Window.partitionBy(*FILTERS).orderBy("h", "Customer_ID")
+        rows = base.select(*FILTERS, "Customer_ID", "Age", "Purchase_Amount", key_hash(F.col("Customer_ID"), 42).alias("h"))
+        self.samples = self.scratch.write(rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= self.sample), "samples")
+        self.scratch.drop("base")
+
+    def datasets(self, channels=(), incomes=(), genders=()) -> dict[str, DataFrame]:
+        """The eight datasets of a choice; nothing chosen means all."""
+        choice = tuple(tuple(sorted(set(c))) for c in (channels, incomes, genders))
+        if choice not in self.kept:
+            self.kept[choice] = self._added_up(choice)
+        return self.kept[choice]
+
+    def _added_up(self, choice: tuple) -> dict[str, DataFrame]:
+        spark = self.cells.sparkSession
+        sums = ["n", "amounts", "cents", "rated", "rating", "counted", "frequency"]
+        chosen = select_rows(self.cells, **{f"of_{f}": list(c) for f, c in zip(FILTERS, choice)})
+        # One row per level of a dimension.
+        rows = chosen.groupBy("dimension", "level").agg(*[F.sum(c).alias(c) for c in sums]).orderBy("dimension", "level").collect()
+
+        def ratio(top, bottom):
+            return None if not bottom else top / bottom
+
+        def money(r):
+            return None if r["cents"] is None else r["cents"] / 100.0
+
+        whole = next((r for r in rows if r["dimension"] == "All"), None)
+        kpi = (0, None, None, None) if whole is None else (
+            whole["n"], money(whole), ratio(money(whole) or 0.0, whole["amounts"]), ratio(whole["rating"], whole["rated"]))
+
+        def levels(dimension, *more):
+            return [(r["level"], money(r), *[ratio(r[a], r[b]) for a, b in more]) for r in rows if r["dimension"] == dimension and r["level"] is not None]
+
+        def table(key, found, *names):
+            return spark.createDataFrame(found, ", ".join([f"{key} string", "Purchase_Amount double", *[f"{n} double" for n in names]]))
+
+        categories = levels("Purchase_Category", ("frequency", "counted"))
+        best = sorted(categories, key=lambda r: (-(r[1] or 0.0), r[0]))[:5]
+        scatter = select_rows(self.samples, **dict(zip(FILTERS, map(list, choice)))).orderBy("h", "Customer_ID").limit(self.sample)
+        return {
+            "kpi": spark.createDataFrame([kpi], "n bigint, revenue double, aov double, csat double"),
+            "monthly": table("month", levels("Month", ("rating", "rated")), "CSAT").selectExpr(
+                "cast(month as timestamp_ntz) as Time_of_Purchase", "Purchase_Amount", "CSAT"),
+            "top_categories": table("Purchase_Category", [r[:2] for r in reversed(best)]),
+            "channels": table("Purchase_Channel", levels("Purchase_Channel")),
+            "scatter": spark.createDataFrame(scatter.select("Customer_ID", "Age", "Purchase_Amount").collect(), "Customer_ID string, Age int, Purchase_Amount double"),
+            "payments": table("Payment_Method", levels("Payment_Method")),
+            "categories": table("Purchase_Category", categories, "Freq"),
+            "incomes": table("Income_Level", levels("Income_Level", ("rating", "rated")), "CSAT"),
+        }
+
+
 # BI measures: name -> SQL; ratios are null over no rows.
 BI_MEASURES = {
     "return_rate_pct": "try_divide(sum(Return_Rate), count(Customer_ID))",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.operators.clean import add_calendar, add_flags
@@ -96,10 +96,18 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
-def _with_customer(spark: SparkSession, path: str, orders: DataFrame, needs: set[str]) -> DataFrame:
+def _among(column: str, values: list[int] | None) -> Column:
+    return F.lit(True) if values is None else F.col(column).isin(values)
+
+
+def _with_customer(spark: SparkSession, path: str, orders: DataFrame, needs: set[str], keys: list[int] | None) -> DataFrame:
+    whole, people = orders, None
+    if keys is not None:
+        orders = orders.where(_among("o_orderkey", keys))
+        people = [r[0] for r in orders.select("o_custkey").where("o_custkey is not null").distinct().collect()]
     customer = None
     if needs & {"customer", "nation"}:
-        customer = read_table(spark, path, "customer").select(
+        customer = read_table(spark, path, "customer").where(_among("c_custkey", people)).select(
             F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal", "c_mktsegment"
         )
         if "nation" in needs:
@@ -107,13 +115,13 @@ def _with_customer(spark: SparkSession, path: str, orders: DataFrame, needs: set
             customer = customer.join(nation, "c_nationkey", "left")
     if "frequency" not in needs:
         return orders.join(customer, "o_custkey", "left")
-    counts = orders.groupBy("o_custkey").agg(F.count("*").alias("freq"))
+    counts = whole.where(_among("o_custkey", people)).groupBy("o_custkey").agg(F.count("*").alias("freq"))
     dim = counts if customer is None else counts.join(customer, "o_custkey", "left")
     return salted_left_join(orders, dim, counts, "o_custkey", "freq", F.col("o_orderkey"))
 
 
-def _order_lines(spark: SparkSession, path: str, with_part: bool) -> DataFrame:
-    lines = read_table(spark, path, "lineitem")
+def _order_lines(spark: SparkSession, path: str, with_part: bool, keys: list[int] | None) -> DataFrame:
+    lines = read_table(spark, path, "lineitem").where(_among("l_orderkey", keys))
     measures = [
         F.count("*").alias("n_lines"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
@@ -128,17 +136,28 @@ def _order_lines(spark: SparkSession, path: str, with_part: bool) -> DataFrame:
     return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*measures)
 
 
-def retail_orders(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Typed orders with the five derived columns, or only the named columns."""
+def retail_orders(spark: SparkSession, path: str, columns: Iterable[str] | None = None, keys: list[int] | None = None) -> DataFrame:
+    """Typed orders with the five derived columns, or only the named columns.
+
+    With ``keys``, a short list of order keys, only those orders; the list reaches the scans of every input, so that the joins see the few rows they need.
+    """
     wanted = list(columns) if columns is not None else [*COLUMNS, *DERIVED]
     sources = {DERIVED.get(name, name) for name in wanted}
     needs = set().union(*(COLUMNS[name][0] for name in sources))
     orders = read_table(spark, path, "orders")
     if needs & {"customer", "nation", "frequency"}:
-        orders = _with_customer(spark, path, orders, needs)
+        orders = _with_customer(spark, path, orders, needs, keys)
     if needs & {"lines", "part"}:
-        orders = orders.join(_order_lines(spark, path, "part" in needs), "o_orderkey", "left")
+        orders = orders.join(_order_lines(spark, path, "part" in needs, keys), "o_orderkey", "left")
+    if keys is not None:
+        orders = orders.where(_among("o_orderkey", keys))
     typed = orders.selectExpr(*[f"{sql} as {name}" for name, (_, sql) in COLUMNS.items() if name in sources])
     if "Time_of_Purchase" in sources:
         typed = add_calendar(typed)
     return add_flags(typed).select(*wanted)
+
+
+def first_orders(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """The ``size`` orders with the smallest ``Customer_ID``: their keys from the order file first, then the wide rows of those alone."""
+    keys = read_table(spark, path, "orders").select("o_orderkey").orderBy(F.col("o_orderkey").cast("string")).limit(size)
+    return retail_orders(spark, path, keys=[r[0] for r in keys.collect()])

@@ -2,14 +2,16 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from basketlens.operators import attribution, classify, segment
-from basketlens.operators.oversample import near_neighbours, oversample
-from basketlens.session import scratch_path
+from basketlens.operators.neighbours import near_neighbours
+from basketlens.operators.oversample import oversample
+from basketlens.session import Scratch, scratch_path
 
 
 def gaussian_rfm(spark):
@@ -91,17 +93,41 @@ def on_segment(a, b, p):
     return abs(length - via) < 1e-9
 
 
-@pytest.mark.parametrize("width, partitions", [(3, 4), (19, 4), (19, 64)])
-def test_near_neighbours_are_the_nearest(spark, width, partitions):
+@pytest.mark.parametrize("width, partitions, cell", [(3, 4, 40), (19, 4, 60), (19, 64, 60), (2, 8, 5), (19, 8, 5000)])
+def test_near_neighbours_are_the_nearest(spark, width, partitions, cell):
+    """Against all pairs: single points, points that many rows share, and ties on a grid, over many cells and over one."""
     source, features = random.Random(6), [f"x{i}" for i in range(width)]
-    rows = spark.createDataFrame(
-        [(str(i), *(source.gauss(0, 1) for _ in features)) for i in range(700)],
-        "Customer_ID string, " + ", ".join(f"{f} double" for f in features)).repartition(partitions)
-    points = {r.Customer_ID: tuple(r[f] for f in features) for r in rows.collect()}
-    for r in near_neighbours(rows, "Customer_ID", features).collect():
-        assert len(r.neighbours) == 5 and r.Customer_ID not in {n.id for n in r.neighbours}
-        truth = sorted((sum((x - y) ** 2 for x, y in zip(points[r.Customer_ID], p)), i) for i, p in points.items())
-        assert [n.id for n in r.neighbours] == [i for _, i in truth[1:6]]
+    table = [(str(i), *(source.gauss(0, 1) for _ in features)) for i in range(500)]
+    table += [(str(500 + i), *([1.5] * width)) for i in range(40)]
+    table += [(str(600 + i), *(float(source.randrange(2)) if j < 4 else -0.0 for j in range(width))) for i in range(150)]
+    table += [("far", *([1e6] * width)), ("farther", *([1e9] * width))]
+    rows = spark.createDataFrame(table, "Customer_ID string, " + ", ".join(f"{f} double" for f in features)).repartition(partitions)
+    points = {r[0]: np.array(r[1:]) for r in table}
+    names, matrix = list(points), np.array(list(points.values()))
+    got = near_neighbours(rows, "Customer_ID", features, 5, Scratch(spark, "t"), cell_rows=cell).collect()
+    assert len(got) == len(table)
+    for r in got:
+        truth = sorted((float(d), i) for d, i in zip(((matrix - points[r.Customer_ID]) ** 2).sum(axis=1), names) if i != r.Customer_ID)
+        assert [(n.distance, n.id) for n in r.neighbours] == truth[:5]
+        assert all((np.array(n.x) == points[n.id]).all() for n in r.neighbours)
+
+
+def test_few_rows_have_few_neighbours(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0)], "id string, x double")
+    got = {r.id: [n.id for n in r.neighbours] for r in near_neighbours(rows, "id", ["x"], 5, Scratch(spark, "t"), cell_rows=1).collect()}
+    assert got == {"a": ["b", "c"], "b": ["c", "a"], "c": ["b", "a"]}
+    assert near_neighbours(rows.limit(0), "id", ["x"], 5, Scratch(spark, "t")).collect() == []
+
+
+def test_neighbours_take_narrow_tasks(spark):
+    """A point that most rows share stays one point; second passes go to near cells only."""
+    source = random.Random(3)
+    table = [(str(i), float(i % 20) * 100 + source.random(), source.random()) for i in range(2000)] + [(f"c{i}", 5.0, 5.0) for i in range(3000)]
+    scratch = Scratch(spark, "t")
+    near_neighbours(spark.createDataFrame(table, "id string, a double, b double"), "id", ["a", "b"], 5, scratch, cell_rows=50)
+    points, visits = (spark.read.parquet(f"{scratch.root}/{name}") for name in ("points", "visits"))
+    assert points.count() == 2001 and points.selectExpr("max(size(ids))").first()[0] == 6
+    assert visits.count() < 2001 * 5  # of 41 cells
 
 
 def test_split_is_disjoint_complete_and_stratified(spark):
@@ -157,5 +183,120 @@ def test_attribution_sums_to_difference(spark):
     ends = {r.Customer_ID: r.score for r in classify.score_column(model.transform(rows)).collect()}
     for r in phi.groupBy("Customer_ID").agg(F.sum("phi").alias("total")).collect():
         assert start + r.total == pytest.approx(ends[r.Customer_ID], abs=1e-9)
+    assert phi.agg(F.max("std_error")).first()[0] <= attribution.STANDARD_ERROR
     assert [r.feature for r in attribution.global_importance(phi).collect()][-1] == "c"
     assert attribution.breakdown(phi, "0", start).count() == 3
+
+
+class Linear:
+    """A model whose probability is a line: every order gives the same attributions."""
+
+    weights = [0.02, -0.03, 0.05]
+
+    def transform(self, rows):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+
+        x = vector_to_array("features")
+        p = F.lit(0.5) + sum(w * x[k] for k, w in enumerate(self.weights))
+        return rows.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def test_attribution_is_exact_on_a_line(spark):
+    features, base = ["a", "b", "c"], [0.1, 0.2, 0.3]
+    rows = learnable(spark).limit(40)
+    truth = {(r.Customer_ID, f): w * (r[f] - b) for r in rows.collect() for f, w, b in zip(features, Linear.weights, base)}
+    got = {(r.Customer_ID, r.feature): r for r in attribution.attributions(Linear(), rows, base, features).collect()}
+    assert set(got) == set(truth)
+    for k, r in got.items():
+        assert r.phi == pytest.approx(truth[k], abs=1e-12) and r.std_error < 1e-7
+
+
+class Product(Linear):
+    """Features that work together: their orders differ."""
+
+    def transform(self, rows):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+
+        x = vector_to_array("features")
+        p = F.lit(0.5) + 0.1 * x[0] * x[1] * x[2]
+        return rows.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def test_attribution_draws_until_its_error_is_small(spark):
+    """Against all orders: within a few of the stated errors, which a tighter bound makes smaller."""
+    from itertools import permutations
+
+    features, base = ["a", "b", "c"], [1.0, 1.0, 1.0]
+    table = [("1", 2.0, 3.0, -1.0), ("2", 1.0, 1.0, 1.0), ("3", -2.0, 2.0, 2.0)]
+    rows = spark.createDataFrame(table, "Customer_ID string, a double, b double, c double")
+    truth = {}
+    for key, *x in table:
+        for order in permutations(range(3)):
+            point, before = list(base), 0.5 + 0.1
+            for j in order:
+                point[j] = x[j]
+                after = 0.5 + 0.1 * point[0] * point[1] * point[2]
+                truth[key, features[j]] = truth.get((key, features[j]), 0.0) + (after - before) / 6
+                before = after
+    got = attribution.attributions(Product(), rows, base, features, error=0.02).collect()
+    assert len(got) == 9 and all(r.std_error <= 0.02 for r in got)
+    for r in got:
+        assert abs(r.phi - truth[r.Customer_ID, r.feature]) <= 5 * r.std_error + 1e-9
+
+
+def test_coreset_stays_within_its_bound(spark):
+    """For any centres: roots of the costs of rows and cells differ by at most the root of the spread."""
+    _, _, vectors = segment._prepared(gaussian_rfm(spark))
+    core = segment.coreset(vectors, most_cells=60)
+    z = np.array([r.z for r in vectors.collect()])
+    assert core.weights.sum() == len(z) and len(core.points) <= 80
+    rng = np.random.default_rng(0)
+    for _ in range(20):
+        centres = rng.normal(0, 1, (4, 3))
+        full = segment.squared(z, centres).min(axis=1).sum()
+        cells = (segment.squared(core.points, centres).min(axis=1) * core.weights).sum()
+        assert abs(full**0.5 - cells**0.5) <= core.spread**0.5 + 1e-9
+    vectors.unpersist()
+
+
+def test_sweep_is_near_the_fit_on_all_rows(spark):
+    """Inertia within a hundredth of ten k-means starts over all rows, and the silhouettes of the evaluator."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    source = random.Random(9)
+    rows = spark.createDataFrame(
+        [(source.randrange(2000), source.randrange(1, 40), source.lognormvariate(4, 1)) for _ in range(4000)],
+        "Recency int, Frequency_of_Purchase int, Purchase_Amount double")
+    found = {r.k: r for r in segment.sweep(rows, ks=range(2, 7), starts=5).collect()}
+    _, _, vectors = segment._prepared(rows)
+    scaled = vectors.select(array_to_vector("z").alias("scaled")).cache()
+    for k in range(2, 7):
+        best = min((KMeans(k=k, seed=s, maxIter=300, tol=1e-4, featuresCol="scaled").fit(scaled) for s in range(5)), key=lambda m: m.summary.trainingCost)
+        assert found[k].inertia <= best.summary.trainingCost * 4000 / 3999 * 1.01
+    model = segment.as_model(spark, segment.best_centres(spark, segment.coreset(vectors), [4], 5, 42)[4])
+    judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="Cluster").evaluate(model.transform(scaled))
+    assert found[4].silhouette == pytest.approx(judge, abs=1e-6)
+    scaled.unpersist()
+    vectors.unpersist()
+
+
+def test_newton_steps_equal_the_library_fit(spark):
+    from basketlens.operators import matching
+    from pyspark.ml.feature import VectorAssembler
+
+    source, table = random.Random(3), []
+    for _ in range(3000):
+        age, income, loyalty = source.randrange(18, 71), source.choice(["Low", "High", "Middle"]), source.randrange(1, 6)
+        table.append((age, income, loyalty, int(source.random() < 1 / (1 + 2.7 ** -(0.03 * (age - 40) + 0.4 * (loyalty - 3))))))
+    rows = spark.createDataFrame(table, "Age int, Income_Level string, Brand_Loyalty int, Discount_Used int")
+    got = matching.propensity_scores(rows)
+    coded = rows.selectExpr("Discount_Used as label", "double(Age) as x1", "double(array_position(array('High', 'Low', 'Middle'), Income_Level) - 1) as x2", "double(Brand_Loyalty) as x3")
+    fit = LogisticRegression(regParam=1 / 3000, elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-12).fit(
+        VectorAssembler(inputCols=["x1", "x2", "x3"], outputCol="features").transform(coded))
+    weights = matching.newton_weights(coded.groupBy("label", "x1", "x2", "x3").agg(F.count("*").alias("n")), 3)
+    assert weights == pytest.approx([fit.intercept, *fit.coefficients], abs=1e-6)
+    assert abs(got.agg(F.avg(F.col("Propensity_Score") - F.col("Discount_Used"))).first()[0]) < 1e-9
+    one_arm = rows.where("Discount_Used = 1")
+    assert all(0 < r.Propensity_Score <= 1 for r in matching.propensity_scores(one_arm).collect())

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.functions import probability
-from basketlens.operators import classify, explore, matching, stats
+from basketlens.operators import classify, explore, matching, quantiles, stats
 from basketlens.operators.quantiles import exact_quantiles
 from basketlens.operators.skew import salted_left_join
 
@@ -19,22 +19,42 @@ def values(kind, n=20_000):
         return [source.lognormvariate(0, 3) for _ in range(n)]
     if kind == "hot":
         return [5.0 if source.random() < 0.4 else source.gauss(0, 1) for _ in range(n)]
+    if kind == "peaks":  # half beside zero, half beside a billion
+        return [source.gauss(0, 1e-6) if i % 2 else 1e9 + source.random() * 1e-3 for i in range(n)]
+    if kind == "signs":
+        return [source.choice([-1e300, -5e-324, -0.0, 0.0, 5e-324, 1e300, -1.5, 1.5]) for _ in range(n)]
     return [float(source.randrange(4)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("kind", ["spread", "hot", "few"])
-@pytest.mark.parametrize("n, accuracy", [(20_000, 500), (20_000, 10_000), (37, 500), (2, 500)])
-def test_quantiles_equal_numpy(spark, kind, n, accuracy):
+@pytest.mark.parametrize("kind", ["spread", "hot", "few", "peaks", "signs"])
+@pytest.mark.parametrize("n", [20_000, 37, 2])
+def test_quantiles_equal_numpy(spark, kind, n):
     data = values(kind, n)
-    df = spark.createDataFrame([(v, "ab"[i % 2]) for i, v in enumerate(data)], "v double, g string").repartition(7)
+    df = spark.createDataFrame([(v, "ab"[i // 2 % 2] if n > 2 else "a") for i, v in enumerate(data)], "v double, g string").repartition(7)
     wanted = [0.0, 0.01, 0.25, 0.5, 1 / 3, 0.99, 1.0]
-    got = exact_quantiles(df, ["v"], wanted, by="g", accuracy=accuracy)
+    got = exact_quantiles(df, ["v"], wanted, by="g")
+    assert got
     for q in got:
-        part = [v for i, v in enumerate(data) if "ab"[i % 2] == q.by]
+        part = [v for i, v in enumerate(data) if ("ab"[i // 2 % 2] if n > 2 else "a") == q.by]
         assert q.n == len(part)
         assert q.values == pytest.approx(list(np.quantile(part, wanted)), rel=1e-12)
 
 
+def test_ranks_never_order_rows(spark, monkeypatch):
+    """Whatever the values, the window runs over prefixes: at most 65,536 rows for each group, column and prefix above."""
+    rows = spark.createDataFrame([(v,) for v in values("peaks", 5000)], "v double")
+    with quantiles.narrowed(rows, ["v"]) as narrow:
+        keys = narrow.select("by", quantiles.sort_key(F.col("c0")).alias("b0")).selectExpr("by", f"{quantiles.ordered_bits('b0')} as key0")
+        assert keys.selectExpr("shiftright(key0, 48) as p").distinct().count() < 400
+        inside = keys.selectExpr("shiftright(key0, 32) as p", "shiftright(key0, 48) as above").distinct().groupBy("above").count()
+        assert inside.agg(F.max("count")).first()[0] <= 1 << 16
+        plan = []
+        original = type(narrow).collect
+        monkeypatch.setattr(type(narrow), "collect", lambda df: plan.append(df._jdf.queryExecution().executedPlan().toString()) or original(df))
+        quantiles.ranked(narrow, 1, [0.5])
+    assert plan and all("HashAggregate" in p and "ObjectHashAggregate" not in p and "percentile" not in p for p in plan)
+
+
 def test_quantiles_of_several_columns_skip_nulls(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (4.0, 7.0)], "a double, b double")
     got = {q.variable: q.values for q in exact_quantiles(df, ["a", "b"], [0.5])}
@@ -194,3 +214,21 @@ def test_correlation_is_pairwise(spark):
     assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1])
     assert got["c", "b"] == got["b", "c"] == pytest.approx(np.corrcoef([1, 0, 5], [4, 7, 1])[0, 1])
     assert got["a", "a"] == 1.0
+
+
+@pytest.mark.parametrize("kind, n, normal", [("gauss", 3000, True), ("uniform", 3000, False), ("gauss", 60, True), ("skew", 60, False)])
+def test_normality(spark, kind, n, normal):
+    source = random.Random(5)
+    draw = {"gauss": lambda: source.gauss(10, 3), "uniform": source.random, "skew": lambda: source.lognormvariate(0, 1)}[kind]
+    data = sorted(draw() for _ in range(n))
+    row = stats.normality(spark.createDataFrame([(v,) for v in data] + [(None,)], "v double"), "v", buckets=9).first()
+    mean, sd = np.mean(data), np.std(data, ddof=1)
+    share = [0.5 * math.erfc(-(v - mean) / sd / 2**0.5) for v in data]
+    distance = max(max((k + 1) / n - s, s - k / n) for k, s in enumerate(share))
+    assert row.n == n and row.ks_statistic == pytest.approx(distance, abs=1e-12) and row.normal is normal
+
+
+def test_normality_of_nothing(spark):
+    for data in ([], [(1.0,)], [(2.0,)] * 9):
+        row = stats.normality(spark.createDataFrame(data, "v double"), "v").first()
+        assert row.n == len(data) and row.ks_statistic is None and row.normal is None

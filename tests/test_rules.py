@@ -167,12 +167,56 @@ def test_empty_load_keeps_the_old_table(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
 
 
+def _raw(spark, ids):
+    names = ["Customer_ID", "Age", "Purchase_Amount", "Time_of_Purchase", "Customer_Satisfaction", "Research_Hours", "Time_to_Decision"]
+    return spark.createDataFrame([(i, "20", "$5", "2024-04-03", "7", "1", "3") for i in ids], ", ".join(f"{n} string" for n in names))
+
+
+def test_a_load_that_dies_before_the_swap_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "orders")
+    etl.load_orders(spark, _raw(spark, ["1", "2"]), target)
+    reader = files.read_table(spark, target)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "publish_version", killed)
+        with pytest.raises(KeyboardInterrupt):
+            etl.load_orders(spark, _raw(spark, ["3"]), target)
+    assert {r.Customer_ID for r in files.read_table(spark, target).collect()} == {"1", "2"}
+    etl.load_orders(spark, _raw(spark, ["4"]), target)
+    assert {r.Customer_ID for r in files.read_table(spark, target).collect()} == {"4"}
+    # Who began to read the version before still can.
+    assert {r.Customer_ID for r in reader.collect()} == {"1", "2"}
+    etl.load_orders(spark, _raw(spark, ["5"]), target)
+    assert len(list((tmp_path / "orders" / files.VERSIONS).iterdir())) == 2
+
+
+def test_malformed_records_are_quarantined(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text('a,b\n1,2\n3\n4,5,6\n"x, y",NA\n')
+    read = {(r.a, r.b, r._malformed) for r in files.read_raw_records(spark, str(source)).collect()}
+    assert {(a, b) for a, b, bad in read if bad is None} == {("1", "2"), ("x, y", "NA")}
+    assert {bad for _, _, bad in read if bad is not None} == {"3", "4,5,6"}
+
+
+def test_load_counts_the_quarantined(spark, tmp_path):
+    source, target = tmp_path / "in.csv", str(tmp_path / "orders")
+    header = "Customer_ID,Age,Purchase_Amount,Time_of_Purchase,Customer_Satisfaction,Time_Spent_on_Product_Research(hours),Time_to_Decision"
+    source.write_text(header + "\n1,20,$5,2024-04-03,7,1,3\nNA\n2,20,$6,2024-04-03,7,1,3,more\n3,30,$7,2024-04-03,7,1,4\n")
+    metrics = etl.load_orders(spark, files.read_raw_records(spark, str(source)), target)
+    assert (metrics.rows_in, metrics.rows_out, metrics.quarantined_rows, metrics.columns_in) == (2, 2, 2, 7)
+    assert {r.record for r in files.read_table(spark, f"{target}-quarantine").collect()} == {"NA", "2,20,$6,2024-04-03,7,1,3,more"}
+    assert files.MALFORMED not in files.read_table(spark, target).columns
+
+
 def test_load_takes_formats_and_tokens(spark, tmp_path):
     rows = [("1", "20", "$5", "03.04.2024", "7", "1", "-"), ("2", "30", "$6", "soon", "8", "2", "3"), ("3", "40", "$7", None, "8", "2", "5")]
     names = ["Customer_ID", "Age", "Purchase_Amount", "Time_of_Purchase", "Customer_Satisfaction", "Research_Hours", "Time_to_Decision"]
     raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
     metrics = etl.load_orders(spark, raw, str(tmp_path / "orders"), ["-"], ["dd.MM.yyyy"])
-    got = {r.Customer_ID: r for r in spark.read.parquet(str(tmp_path / "orders")).collect()}
+    got = {r.Customer_ID: r for r in files.read_table(spark, str(tmp_path / "orders")).collect()}
     assert metrics.unparsed_times == 1 and metrics.rows_out == 3
     assert got["1"].Time_of_Purchase == dt.datetime(2024, 4, 3) and got["1"].Time_to_Decision == 4.0
 
