@@ -18,17 +18,18 @@ def baseline(rows: DataFrame, features: list[str] = FEATURES) -> list[float]:
     return [float(means[c] or 0.0) for c in features]
 
 
-STANDARD_ERROR = 0.05  # of an attribution, on the probability scale, at most
-DRAWS = 2  # feature orders, each with its reverse, that a row draws in a round
-MOST_ROUNDS = 100
+STANDARD_ERROR = 0.1  # of an attribution, on the probability scale, at most
+DRAWS = 2  # feature orders that a row draws at first: one and its reverse; each further round draws as many as all before
+MOST_ROUNDS = 20
 
 
-def _drawn(model, rows: DataFrame, base: list[float], features: list[str], key: str, first: int, seed: int) -> DataFrame:
-    """(key, n, s, q): over ``DRAWS`` draws from number ``first`` on, per feature the sum and the sum of squares of its change.
+def _drawn(model, rows: DataFrame, base: list[float], features: list[str], key: str, first: int, draws: int, seed: int) -> DataFrame:
+    """(key, n, s, q): over ``draws`` draws from number ``first`` on, per feature the sum and the sum of squares of its change.
 
-    A row has one random order of the features; draw after draw it begins at another place of it, so that over a row's draws a feature
-    joins early and late alike.  A draw is the order and its reverse.  The model scores every prefix of an order; a prefix counts for the
-    feature that joined last and against the one joining next.
+    A row has one random order of the features; pair of draws after pair it begins at another place of it, and the second of a pair is the
+    reverse of the first, so that over a row's draws a feature joins early and late alike.  (Draws that balance each other make the error
+    smaller than the one stated.)  The model scores every prefix of an order; a prefix counts for the feature that joined last and
+    against the one joining next.
     """
     width = len(features)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -36,18 +37,19 @@ def _drawn(model, rows: DataFrame, base: list[float], features: list[str], key:
     means = "array(" + ", ".join(f"{v!r}D" for v in base) + ")"
     order = (
         f"transform(array_sort(transform(sequence(0, {width - 1}),"
-        f" j -> struct(xxhash64({key}, draw div {width}, j, {seed}L) as h, j as j))), s -> s.j)"
+        f" j -> struct(xxhash64({key}, draw div {2 * width}, j, {seed}L) as h, j as j))), s -> s.j)"
     )
     # Steps that share no factor with the number of places visit each of them once.
     step = next(k for k in range(max(1, round(width * 0.382)), width + 1) if math.gcd(k, width) == 1)
-    turned = f"concat(slice(whole, 1 + draw * {step} % {width}, {width}), slice(whole, 1, draw * {step} % {width}))"
+    start = f"(draw div 2) * {step} % {width}"
+    turned = f"concat(slice(whole, int(1 + {start}), {width}), slice(whole, 1, int({start})))"
     drawn = (
         rows.select(key, *features)
         .repartition(tasks, key)
-        .selectExpr(key, f"{x} as x", f"explode(sequence({first}, {first + DRAWS - 1})) as draw")
+        .selectExpr(key, f"{x} as x", f"explode(sequence({first}, {first + draws - 1})) as draw")
         .selectExpr(key, "x", "draw", f"{order} as whole")
         .selectExpr(key, "x", "draw", f"{turned} as forward")
-        .selectExpr(key, "x", "draw", "explode(array(forward, reverse(forward))) as joined")
+        .selectExpr(key, "x", "draw", "if(draw % 2 = 0, forward, reverse(forward)) as joined")
     )
     # The ranks are columns below the explode, so that they are computed once per order.
     ranked = drawn.selectExpr(
@@ -68,10 +70,10 @@ def _drawn(model, rows: DataFrame, base: list[float], features: list[str], key:
         F.expr(f"if(taken < {width}, joined[least(taken, {width - 1})], -1)").alias("next"),
         vector_to_array("probability")[1].alias("p"),
     )
-    draws = shares.groupBy(key, "draw").agg(
-        *[F.expr(f"sum(case {j} when last then p when next then -p else 0 end) / 2").alias(f"phi{j}") for j in range(width)]
+    changes = shares.groupBy(key, "draw").agg(
+        *[F.expr(f"sum(case {j} when last then p when next then -p else 0 end)").alias(f"phi{j}") for j in range(width)]
     )
-    return draws.groupBy(key).agg(
+    return changes.groupBy(key).agg(
         F.count("*").alias("n"), F.array(*[F.sum(f"phi{j}") for j in range(width)]).alias("s"),
         F.array(*[F.sum(F.col(f"phi{j}") * F.col(f"phi{j}")) for j in range(width)]).alias("q"),
     )
@@ -83,8 +85,8 @@ def attributions(
 ) -> DataFrame:
     """(key, feature, phi, std_error): mean change of the probability when the feature joins, over sampled orders.
 
-    A row draws orders in rounds until the standard error of each of its attributions is at most ``error``; rows that are done take no part
-    in the next round.  The attributions of a draw add up to the probability less that of the base, so those of a row do.  Every round's
+    A row draws orders in rounds until the standard error of each of its attributions is at most ``error`` (or, never seen, ``MOST_ROUNDS`` have
+    passed: its stated error then tells); rows that are done take no part in the next round.  The attributions of a draw add up to the probability less that of the base, so those of a row do.  Every round's
     sums are written: a lost executor costs one round.  The work is linear in the rows.
     """
     scratch = Scratch(rows.sparkSession, "attributions")
@@ -92,7 +94,8 @@ def attributions(
     errors = f"transform(sequence(0, {len(features) - 1}), j -> sqrt({spread} / n))"
     total, left = None, rows
     for at in range(MOST_ROUNDS):
-        new = _drawn(model, left, base, features, key, at * DRAWS, seed)
+        first = DRAWS << (at - 1) if at else 0
+        new = _drawn(model, left, base, features, key, first, first or DRAWS, seed)
         if total is None:
             total = scratch.write(new, "round-0")
         else:

@@ -238,8 +238,8 @@ def test_attribution_draws_until_its_error_is_small(spark):
                 after = 0.5 + 0.1 * point[0] * point[1] * point[2]
                 truth[key, features[j]] = truth.get((key, features[j]), 0.0) + (after - before) / 6
                 before = after
-    got = attribution.attributions(Product(), rows, base, features, error=0.02).collect()
-    assert len(got) == 9 and all(r.std_error <= 0.02 for r in got)
+    got = attribution.attributions(Product(), rows, base, features, error=0.06).collect()
+    assert len(got) == 9 and all(r.std_error <= 0.06 for r in got)
     for r in got:
         assert abs(r.phi - truth[r.Customer_ID, r.feature]) <= 5 * r.std_error + 1e-9
 
