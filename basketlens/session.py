@@ -56,7 +56,10 @@ def materialise(df, purpose: str):
 
 
 class Scratch:
-    """Intermediate tables of one operation, deleted as soon as they are read for the last time."""
+    """Intermediate tables of one operation.
+
+    Results are lazy and may read them, so they stay until ``drop`` is called, or until the shared folder is cleared after the job.
+    """
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:
         self.spark, self.root = spark, scratch_path(spark, purpose)
