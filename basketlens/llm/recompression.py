@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.shipping import by_value
-from basketlens.llm.blocks import REQUEST, answered, bucket_count, each_block, pack, requests, shared_names, unpacked
+from basketlens.llm.blocks import BUCKET_BYTES, FAN, REQUEST, answered, distinct, each_block, exchange, pack, requests, route, unpacked
 from basketlens.llm.learning import mixed
 from basketlens.session import Scratch
 
@@ -33,6 +33,8 @@ WINDOW = 35
 ROUNDS = 4  # of runs and pairs: symbols then stand for three words on average, sixteen at most but for runs
 STEP = np.uint64(0x5851F42D4C957F2D)
 BACK = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
+SECOND = np.uint64(0xDA942042E4DD58B5)
+SECOND_BACK = np.uint64(pow(0xDA942042E4DD58B5, -1, 1 << 64))
 
 
 class Round:
@@ -121,9 +123,8 @@ class Recompressed:
         self.starts = np.repeat(self.begin - np.cumsum(has) + has, has) + np.arange(int(has.sum()))
 
     def symbols(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct top symbols and which of them the block holds more than once."""
-        names, times = np.unique(self.top[self.top != 0], return_counts=True)
-        return names, times > 1
+        """Distinct top symbols and how often the block holds each."""
+        return np.unique(self.top[self.top != 0], return_counts=True)
 
     def cores(self, starts: np.ndarray, seen: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         left, right = starts.astype(np.int64), starts.astype(np.int64) + self.window
@@ -141,53 +142,62 @@ class Recompressed:
         return self.starts[lone[right] == lone[left]]
 
     def names(self, starts: np.ndarray) -> np.ndarray:
-        """64-bit names of windows from pops and core."""
-        seen = [np.full(len(starts), 5, dtype=np.uint64), np.full(len(starts), 6, dtype=np.uint64)]
-        left, right = self.cores(starts, seen)
-        # A polynomial in the core's symbols, which are hashes themselves; division brings it to the core's own start.
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.top), STEP)]))
-            back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(self.top), BACK)]))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(self.top * power[:-1])])
-            core = (sums[right] - sums[left]) * back[left]
-        return mixed(mixed(mixed(seen[0], seen[1]), core), (right - left).astype(np.uint64))
-
-
-def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, times = np.unique(names, return_counts=True)
-    return found, times > 1
-
-
-def drop_repeated_windows(docs: DataFrame, scratch: Scratch, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+        """Names of windows from pops and core: two hashes of 64 bits that share nothing but the symbols."""
+        halves = []
+        for step, back, salt in ((STEP, BACK, 5), (SECOND, SECOND_BACK, 7)):
+            seen = [np.full(len(starts), salt, dtype=np.uint64), np.full(len(starts), salt + 1, dtype=np.uint64)]
+            left, right = self.cores(starts, seen)
+            core = spans(self.top, left, right, step, back)
+            halves.append(mixed(mixed(mixed(seen[0], seen[1]), core), (right - left).astype(np.uint64)))
+        return np.stack(halves, axis=1)
+
+
+def spans(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, step: np.uint64 = STEP, back: np.uint64 = BACK) -> np.ndarray:
+    """Hashes of the symbols (hashes themselves) from ``left`` to before ``right``: a polynomial, which division brings to the span's own start."""
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(symbols), step)]))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(symbols * power[:-1])])
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(symbols), back)]))
+        return (sums[right] - sums[left]) * power[left]
+
+
+def drop_repeated_windows(
+    docs: DataFrame, scratch: Scratch, window: int = WINDOW, rounds: int = ROUNDS, bucket_bytes: int = BUCKET_BYTES, fan: int = FAN
+) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_words``, ``n_removed``, ``text`` (kept words joined by one blank).
 
     A word goes if it lies in a window of ``window`` words that starts at two or more places in all of ``docs``, the same
     document included.  Null, empty and blank texts have no words; texts shorter than a window lose none; rows that repeat are
-    documents of their own, so both lose what they share.  Names have 64 bits and meet only within their bucket, whose
-    size does not grow: two windows get one name with a chance of some 1e-8 per bucket.
+    documents of their own, so both lose what they share; null ids stay null.  An empty table gives an empty table.  Only ``doc_id`` and
+    ``text`` are read.  Names of windows have 128 bits: among n different ones, n squared / 2^129 pairs are expected to share a name.
     """
     blocks = pack(docs, scratch)
-    buckets = bucket_count(blocks)
+    path = route(blocks, bucket_bytes, fan)
+
+    def many(totals):
+        return totals > 1
 
     def ask_symbols(row):
-        return requests(row["block"], *Recompressed(row, window, rounds).symbols(), buckets, 4)
+        names, times = Recompressed(row, window, rounds).symbols()
+        return requests(row["block"], names[:, None], times, path, path.width)
 
-    shared = shared_names(each_block(blocks, ask_symbols, REQUEST), 4, scratch, "symbols")
+    shared = exchange(each_block(blocks, ask_symbols, REQUEST), path, path.width, many, scratch, "symbols")
     joined = blocks.join(shared, "block", "left")
 
-    def ask_windows(row):
+    def candidates(row):
         r = Recompressed(row, window, rounds)
-        starts = r.repeated_cores(answered(r.symbols()[0], row["replies"], buckets))
-        return requests(row["block"], *_distinct(r.names(starts)), buckets, 8)
+        starts = r.repeated_cores(answered(r.symbols()[0][:, None], row["replies"], path).astype(bool))
+        return r, starts, *distinct(r.names(starts))
+
+    def ask_windows(row):
+        _, _, known, where = candidates(row)
+        return requests(row["block"], known, np.bincount(where, minlength=len(known)), path, 16)
 
-    windows = shared_names(each_block(joined, ask_windows, REQUEST), 8, scratch, "windows").withColumnRenamed("replies", "found")
+    windows = exchange(each_block(joined, ask_windows, REQUEST), path, 16, many, scratch, "windows").withColumnRenamed("replies", "found")
 
     def finish(row):
-        r = Recompressed(row, window, rounds)
-        starts = r.repeated_cores(answered(r.symbols()[0], row["replies"], buckets))
-        names = r.names(starts)
-        known, where = np.unique(names, return_inverse=True)
-        hit = starts[answered(known, row["found"], buckets)[where]] if len(starts) else starts
+        r, starts, known, where = candidates(row)
+        hit = starts[answered(known, row["found"], path).astype(bool)[where]]
         edge = np.zeros(len(r.rounds[0].before) + window + 1 if r.rounds else window + 1, dtype=np.int32)
         edge[hit] += 1
         edge[hit + window] -= 1

@@ -8,7 +8,9 @@ one string: all but the earliest are marked.
 
 Equal pieces are sent once per block and sorted once: windows of a copy all start earlier elsewhere.  A minimizer with
 very many different pieces (the border of a passage that countless documents hold) would make one shard grow with
-the input: the windows of its pieces are named instead, and meet by name, spread over all buckets.
+the input: the windows of its pieces are named instead, by 128 bits, and meet by name, spread over all shards.
+
+Beyond ``FAN`` shards, pieces and windows go there in steps (``blocks.route``); at each step, copies of one fleet are marked and only the earliest goes on.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.shipping import by_value
-from basketlens.llm.blocks import bucket_count, bucket_of, by_bucket, each_block, pack, unpacked
+from basketlens.llm.blocks import BUCKET_BYTES, FAN, REQUEST, Route, answered, distinct, each_block, exchange, pack, requests, route, unpacked
 from basketlens.llm.induced import sorted_buckets
 from basketlens.llm.learning import mixed
-from basketlens.llm.recompression import BACK, STEP
+from basketlens.llm.recompression import BACK, SECOND, SECOND_BACK, STEP, spans
 from basketlens.session import Scratch
 
 by_value(__name__)
@@ -31,6 +33,7 @@ by_value(__name__)
 LENGTH = 100
 SEED = 24  # bytes of a minimizer
 BLOCK_BYTES = 2 << 20  # text in a block: a task needs some hundred bytes for each
+SHARD_BYTES = 4 << 20  # text for each shard
 CROWD = 512  # different pieces, summed over the blocks, beyond which a minimizer's windows are named
 NOBODY = -(1 << 63)  # stands for a null id: before all others
 LONE, SHARED, CROWDED = 0, 1, 2
@@ -107,21 +110,16 @@ class Pieces:
         ids = np.array([NOBODY if i is None else i for i in self.ids], dtype=np.int64)
         return ids[self.doc[which]]
 
-    def contents(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    def contents(self, first: np.ndarray, last: np.ndarray, step: np.uint64 = STEP, back: np.uint64 = BACK) -> np.ndarray:
         """Hashes of the bytes from ``first`` to the end of the window at ``last``."""
         if not len(first):
             return np.zeros(0, dtype=np.uint64)
-        n = len(self.eights)
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, STEP)]))
-            back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BACK)]))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(self.eights, np.uint64(4)) * power[:-1])])
-            end = last + self.length - 7
-            return mixed((sums[end] - sums[first]) * back[first], (end - first).astype(np.uint64))
+        end = last + self.length - 7
+        return mixed(spans(mixed(self.eights, step), first, end, step, back), (end - first).astype(np.uint64))
 
 
-def _asked(row: dict, buckets: int, length: int) -> pa.RecordBatch:
-    """One row per bucket: the block's distinct minimizers (4 bytes each), and for each its different pieces (one byte, 2 if there are equal ones)."""
+def _asked(row: dict, path: Route, length: int) -> pa.RecordBatch:
+    """The block's distinct minimizers, and for each the number of its different pieces, or 2 if there are equal ones only."""
     pieces = Pieces(row, length)
     names, where, total = np.unique(pieces.names, return_inverse=True, return_counts=True)
     content = pieces.contents(pieces.first, pieces.last)
@@ -129,31 +127,10 @@ def _asked(row: dict, buckets: int, length: int) -> pa.RecordBatch:
     fresh = np.ones(len(order), dtype=bool)
     fresh[1:] = (content[order][1:] != content[order][:-1]) | (where[order][1:] != where[order][:-1])
     kinds = np.bincount(where[order][fresh], minlength=len(names))
-    kinds = np.where((total > 1) & (kinds == 1), 2, np.minimum(kinds, 255)).astype(np.uint8)
-    order, edges = by_bucket(names, buckets)
-    low, kinds = names[order].astype("<u4"), kinds[order]
-    full = np.flatnonzero(np.diff(edges))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int32()), pa.array(np.full(len(full), row["block"]), pa.int64()),
-         pa.array([low[edges[b] : edges[b + 1]].tobytes() + kinds[edges[b] : edges[b + 1]].tobytes() for b in full], pa.binary())],
-        ["bucket", "block", "names"],
-    )
-
+    return requests(row["block"], names[:, None], np.where((total > 1) & (kinds == 1), 2, kinds), path, path.width)
 
-def _state(table: pa.Table, crowd: int) -> pa.Table:
-    """For each asked minimizer: lone, shared, or crowded."""
-    data = table.column("names").to_pylist()
-    sizes = [len(d) // 5 for d in data]
-    names = np.concatenate([np.frombuffer(d, dtype="<u4", count=k) for d, k in zip(data, sizes)])
-    kinds = np.concatenate([np.frombuffer(d, dtype=np.uint8, offset=4 * k) for d, k in zip(data, sizes)])
-    _, where = np.unique(names, return_inverse=True)
-    total = np.bincount(where, weights=kinds)
-    state = np.where(total > crowd, CROWDED, np.where(total > 1, SHARED, LONE)).astype(np.uint8)[where]
-    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"),
-                     "states": pa.array([_zip(s) for s in np.split(state, np.cumsum(sizes)[:-1])], pa.binary())})
 
-
-WORK = "kind int, key int, block long, data binary, plain binary"
+WORK = "kind int, key long, block long, data binary, plain binary"
 MARKS, SORT, NAME = 0, 1, 2
 
 
@@ -165,68 +142,74 @@ def _earliest(groups: np.ndarray, place: np.ndarray) -> np.ndarray:
     return later
 
 
-def _spread(row: dict, buckets: int, shards: int, length: int) -> pa.RecordBatch:
+def _groups(sorted_keys: np.ndarray):
+    if len(sorted_keys):
+        edges = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
+        yield from zip(sorted_keys[edges].tolist(), edges.tolist(), np.append(edges[1:], len(sorted_keys)).tolist())
+
+
+def _dealt(kind: int, shards: Route, level: int, under: int, sender: int, entries: np.ndarray, texts: list[bytes]) -> list[tuple]:
+    """Rows of work, one for each shard of a level.
+
+    ``entries`` has five lines: id, name, start, block, bytes of a piece to sort; or id, both halves of the name, start, block of a window.
+    """
+    shard = shards.digit(entries[1].view(np.uint64), level).astype(np.int64)
+    turn = np.argsort(shard, kind="stable")
+    rows = []
+    for s, a, b in _groups(shard[turn]):
+        some = turn[a:b]
+        plain = zstandard.ZstdCompressor(level=3).compress(b"".join([texts[k] for k in some.tolist()])) if texts else b""
+        rows.append((kind, under * shards.fans[level] + s, sender, _zip(entries[:, some]), plain))
+    return rows
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "key", "block", "data", "plain"])
+
+
+def _entries(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+    """The entries of all rows, and the bytes of the pieces."""
+    parts, texts = [], []
+    for data, plain in zip(table.column("data").to_pylist(), table.column("plain").to_pylist()):
+        parts.append(np.frombuffer(_unzip(data), dtype=np.int64).reshape(5, -1))
+        if plain:
+            plain, sizes = _unzip(plain), parts[-1][4]
+            texts += [plain[b - c : b] for b, c in zip(np.cumsum(sizes).tolist(), sizes.tolist())]
+    return np.concatenate(parts, axis=1), texts
+
+
+def _spread(row: dict, path: Route, shards: Route, length: int) -> pa.RecordBatch:
     """What a block sends on: marks of its own copies, pieces to sort, windows to name."""
     pieces = Pieces(row, length)
     block = row["block"]
     names, where = np.unique(pieces.names, return_inverse=True)
-    order, edges = by_bucket(names, buckets)
-    state = np.zeros(len(names), dtype=np.uint8)
-    for r in row["replies"] or []:
-        state[order[edges[r["bucket"]] : edges[r["bucket"] + 1]]] = np.frombuffer(_unzip(r["states"]), dtype=np.uint8)
-    state = state[where]
-    out: list[tuple] = []
-    marks = []
-    text = np.frombuffer(pieces.text, dtype=np.uint8)
+    state = answered(names[:, None], row["replies"], path)[where]
 
     # Pieces: ids rise within a block, so a lower place is an earlier start.
     live = np.flatnonzero(state == SHARED)
     content = pieces.contents(pieces.first[live], pieces.last[live])
     copy = _earliest(content ^ mixed(pieces.names[live], np.uint64(3)), live)
-    marks.append(np.stack([pieces.first[live[copy]], pieces.last[live[copy]]]))
+    marks = [np.stack([pieces.first[live[copy]], pieces.last[live[copy]]])]
     live = live[~copy]
-    shard = (bucket_of(pieces.names[live], shards)).astype(np.int64)
-    turn = np.argsort(shard, kind="stable")
-    live, shard = live[turn], shard[turn]
-    ids = pieces.ids_of(live)
-    for s, a, b in _groups(shard):
-        some = live[a:b]
-        size = pieces.last[some] - pieces.first[some] + pieces.length
-        data = b"".join(pieces.text[f : f + k] for f, k in zip(pieces.first[some].tolist(), size.tolist()))
-        head = np.array([len(some)], dtype=np.int64)
-        packed = _zip(head, ids[a:b], pieces.names[some], pieces.first[some].astype(np.int64), size.astype(np.int32))
-        out.append((SORT, s, packed, zstandard.ZstdCompressor(level=3).compress(data)))
+    size = pieces.last[live] - pieces.first[live] + length
+    entries = np.stack([pieces.ids_of(live), pieces.names[live].view(np.int64), pieces.first[live], np.full(len(live), block), size])
+    out = _dealt(SORT, shards, 0, 0, block, entries, [pieces.text[f : f + k] for f, k in zip(pieces.first[live].tolist(), size.tolist())])
 
     # Windows of crowded minimizers, one by one.
     live = np.flatnonzero(state == CROWDED)
     if len(live):
         count = pieces.last[live] - pieces.first[live] + 1
         starts = np.repeat(pieces.first[live] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        window = pieces.contents(starts, starts)
-        later = _earliest(window, starts)
+        window = np.stack([pieces.contents(starts, starts), pieces.contents(starts, starts, SECOND, SECOND_BACK)], axis=1)
+        later = _earliest(distinct(window)[1], starts)
         marks.append(np.stack([starts[later], starts[later]]))
         keep = np.flatnonzero(~later)
         ids = pieces.ids_of(np.repeat(live, count)[keep])
-        window, starts = window[keep], starts[keep]
-        bucket = bucket_of(window, buckets).astype(np.int64)
-        turn = np.argsort(bucket, kind="stable")
-        for s, a, b in _groups(bucket[turn]):
-            some = turn[a:b]
-            out.append((NAME, s, _zip(np.array([len(some)], dtype=np.int64), ids[some], window[some], starts[some]), b""))
+        out += _dealt(NAME, shards, 0, 0, block, np.stack([ids, *window[keep].T.view(np.int64), starts[keep], np.full(len(keep), block)]), [])
     own = np.concatenate(marks, axis=1).astype(np.int32)
-    if own.size:
-        out.append((MARKS, 0, _zip(own), b""))
-    columns = list(zip(*out)) if out else [(), (), (), ()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())],
-        ["kind", "key", "block", "data", "plain"],
-    )
-
-
-def _groups(sorted_keys: np.ndarray):
-    if len(sorted_keys):
-        edges = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
-        yield from zip(sorted_keys[edges].tolist(), edges.tolist(), np.append(edges[1:], len(sorted_keys)).tolist())
+    return _batch(out + [(MARKS, 0, block, _zip(own), b"")] * bool(own.size))
 
 
 def _places(ids: np.ndarray, block: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -237,50 +220,51 @@ def _places(ids: np.ndarray, block: np.ndarray, starts: np.ndarray) -> np.ndarra
     return rank
 
 
-def _marks(block: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Table:
+def _marks(block: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple[int, bytes]]:
     order = np.argsort(block, kind="stable")
-    rows = [(b, _zip(np.stack([first[order[x:y]], last[order[x:y]]]).astype(np.int32))) for b, x, y in _groups(block[order])]
-    return pa.table({"block": pa.array([r[0] for r in rows], pa.int64()), "marks": pa.array([r[1] for r in rows], pa.binary())})
+    return [(b, _zip(np.stack([first[order[x:y]], last[order[x:y]]]).astype(np.int32))) for b, x, y in _groups(block[order])]
+
+
+def _told(marks: list[tuple[int, bytes]]) -> pa.Table:
+    return pa.table({"block": pa.array([m[0] for m in marks], pa.int64()), "marks": pa.array([m[1] for m in marks], pa.binary())})
+
+
+def _copies(kind: int, entries: np.ndarray, texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """Places of the entries, which of them are copies of an earlier one, and the windows of those: block, first, last."""
+    if kind == NAME:
+        ids, starts, blocks, more = entries[0], entries[3], entries[4], 0
+        content = distinct(entries[1:3].T.view(np.uint64))[1]
+    else:
+        ids, starts, blocks, more = entries[0], entries[2], entries[3], entries[4] - length
+        known: dict[bytes, int] = {}
+        content = np.array([known.setdefault(t, len(known)) for t in texts], dtype=np.int64)
+    place = _places(ids, blocks, starts)
+    copy = _earliest(content, place)
+    return place, copy, (blocks[copy], starts[copy], (starts + more)[copy])
+
+
+def _resent(table: pa.Table, shards: Route, level: int, length: int) -> pa.Table:
+    """What a fleet sends on to the shards of the next level: its copies are marked."""
+    kind, under, sender = (table.column(c)[0].as_py() for c in ("kind", "key", "fleet"))
+    entries, texts = _entries(table)
+    _, copy, marked = _copies(kind, entries, texts, length)
+    rows = [(MARKS, 0, block, data, b"") for block, data in _marks(*marked)]
+    kept = [t for t, c in zip(texts, copy.tolist()) if not c]
+    return pa.Table.from_batches([_batch(rows + _dealt(kind, shards, level, under, sender, np.ascontiguousarray(entries[:, ~copy]), kept))])
 
 
-def _named(table: pa.Table) -> pa.Table:
+def _named(table: pa.Table, length: int) -> pa.Table:
     """Windows that are not the earliest of their name."""
-    ids, names, starts, blocks = [], [], [], []
-    for block, data in zip(table.column("block").to_pylist(), table.column("data").to_pylist()):
-        data = _unzip(data)
-        k = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
-        i, n, s = (np.frombuffer(data, dtype=t, offset=8 + 8 * k * at, count=k) for at, t in enumerate((np.int64, np.uint64, np.int64)))
-        ids.append(i)
-        names.append(n)
-        starts.append(s)
-        blocks.append(np.full(k, block))
-    ids, names, starts, blocks = map(np.concatenate, (ids, names, starts, blocks))
-    later = _earliest(names, _places(ids, blocks, starts))
-    return _marks(blocks[later], starts[later], starts[later])
+    return _told(_marks(*_copies(NAME, *_entries(table), length)[2]))
 
 
 def _sorted(table: pa.Table, length: int) -> pa.Table:
     """Windows of a shard's pieces that also start earlier."""
-    ids, names, starts, sizes, blocks, texts = [], [], [], [], [], []
-    for block, data, plain in zip(*(table.column(c).to_pylist() for c in ("block", "data", "plain"))):
-        data, plain = _unzip(data), _unzip(plain)
-        k = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
-        i, n, s = (np.frombuffer(data, dtype=t, offset=8 + 8 * k * at, count=k) for at, t in enumerate((np.int64, np.uint64, np.int64)))
-        z = np.frombuffer(data, dtype=np.int32, offset=8 + 24 * k, count=k).astype(np.int64)
-        ids.append(i)
-        names.append(n)
-        starts.append(s)
-        sizes.append(z)
-        blocks.append(np.full(k, block))
-        end = np.cumsum(z)
-        texts += [plain[b - c : b] for b, c in zip(end.tolist(), z.tolist())]
-    ids, names, starts, sizes, blocks = map(np.concatenate, (ids, names, starts, sizes, blocks))
+    entries, texts = _entries(table)
     # Equal pieces: the earliest stands for all, the others are marked whole.
-    known: dict[bytes, int] = {}
-    content = np.array([known.setdefault(t, len(known)) for t in texts], dtype=np.int64)
-    place = _places(ids, blocks, starts)
-    copy = _earliest(content, place)
-    marked = [(blocks[copy], starts[copy], starts[copy] + sizes[copy] - length)]
+    place, copy, marked = _copies(SORT, entries, texts, length)
+    marked = [marked]
+    _, names, starts, blocks, sizes = entries
     # A minimizer with one piece is told; the others' pieces are sorted.
     one = np.flatnonzero(~copy)
     _, where, times = np.unique(names[one], return_inverse=True, return_counts=True)
@@ -301,32 +285,45 @@ def _sorted(table: pa.Table, length: int) -> pa.Table:
             piece = one[owner[later]]
             at = starts[piece] + later - begin[owner[later]]
             marked.append((blocks[piece], at, at))
-    return _marks(*(np.concatenate(x) for x in zip(*marked)))
+    return _told(_marks(*(np.concatenate(x) for x in zip(*marked))))
 
 
-def drop_earlier_strings(docs: DataFrame, scratch: Scratch, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
+def drop_earlier_strings(
+    docs: DataFrame, scratch: Scratch, length: int = LENGTH, crowd: int = CROWD, bucket_bytes: int = BUCKET_BYTES, shard_bytes: int = SHARD_BYTES, fan: int = FAN
+) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes).
 
     A byte of a text (UTF-8) goes if it lies in a string of ``length`` bytes that also starts earlier: in a document with a smaller
     ``doc_id``, or before in the same one.  Null and empty texts have no bytes.  Null ids come before all others.  Rows that
-    share an id are told apart by the block they are in: one of them keeps the text.  Only ``doc_id`` and ``text`` are read.
+    share an id are told apart by the block they are in: one of them keeps the text.  An empty table gives an empty table.  Only ``doc_id`` and ``text`` are read.
     """
     if length < SEED + 8:
         raise ValueError(f"length must be {SEED + 8} or more")
     blocks = pack(docs, scratch, BLOCK_BYTES)
-    buckets = bucket_count(blocks)
-    asked = each_block(blocks, lambda row: _asked(row, buckets, length), "bucket int, block long, names binary")
-    states = asked.groupBy("bucket").applyInArrow(lambda t: _state(t, crowd), "bucket int, block long, states binary")
-    states = scratch.write(states.groupBy("block").agg(F.collect_list(F.struct("bucket", "states")).alias("replies")), "states")
-    work = scratch.write(each_block(blocks.join(states, "block"), lambda row: _spread(row, buckets, buckets, length), WORK), "work")
+    path, shards = route(blocks, bucket_bytes, fan), route(blocks, shard_bytes, fan)
+
+    def state(totals):
+        return np.where(totals > crowd, CROWDED, np.where(totals > 1, SHARED, LONE))
+
+    states = exchange(each_block(blocks, lambda row: _asked(row, path, length), REQUEST), path, path.width, state, scratch, "states")
+    def resend(level):
+        return lambda t: _resent(t, shards, level, length)
+
+    work = scratch.write(each_block(blocks.join(states, "block"), lambda row: _spread(row, path, shards, length), WORK), "work-0")
+    own = [work.where(f"kind = {MARKS}")]
+    for level, fleets in enumerate(shards.fleets, 1):
+        sent = work.where(f"kind <> {MARKS}").withColumn("fleet", F.col("key") * fleets + F.pmod(F.xxhash64("block", F.lit(level)), F.lit(fleets)))
+        work = scratch.write(sent.groupBy("kind", "fleet").applyInArrow(resend(level), WORK), f"work-{level}")
+        own.append(work.where(f"kind = {MARKS}"))
     marks = "block long, marks binary"
     told = (
         work.where(f"kind = {SORT}").groupBy("key").applyInArrow(lambda t: _sorted(t, length), marks)
-        .unionByName(work.where(f"kind = {NAME}").groupBy("key").applyInArrow(_named, marks))
-        .unionByName(work.where(f"kind = {MARKS}").selectExpr("block", "data as marks"))
+        .unionByName(work.where(f"kind = {NAME}").groupBy("key").applyInArrow(lambda t: _named(t, length), marks))
     )
+    for rows in own:
+        told = told.unionByName(rows.selectExpr("block", "data as marks"))
     told = scratch.write(told.groupBy("block").agg(F.collect_list("marks").alias("marks")), "told")
-    scratch.drop("work", "states")
+    scratch.drop(*(f"work-{level}" for level in range(len(shards.fans))))
 
     def finish(row):
         ids, sizes, text = unpacked(row)

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 import corpus_data as data  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from basketlens.llm import decontaminate, induced, licenses, lines, mixing, quality, recompression, registry, simhash, suffixes, toxicity, vectors  # noqa: E402
+from basketlens.llm import blocks, decontaminate, induced, licenses, lines, mixing, quality, recompression, registry, simhash, suffixes, toxicity, vectors  # noqa: E402
 from basketlens.llm.components import connected_components  # noqa: E402
 from basketlens.session import Scratch  # noqa: E402
 from compare import connect, differences  # noqa: E402
@@ -80,9 +80,43 @@ def test_recompression_names_windows_by_content():
         r = recompression.Recompressed(row, window, rounds)
         flat = [w for words in r.words for w in [None, *words]]
         names = r.names(r.starts)
+        assert names.shape == (len(r.starts), 2)
         content = [tuple(flat[s : s + window]) for s in r.starts.tolist()]
         assert not any(None in c for c in content) and len(content) == sum(max(0, len(w) - window + 1) for w in r.words)
-        assert len({(n, c) for n, c in zip(names.tolist(), content)}) == len(set(content)) == len(set(names.tolist()))
+        for half in names.T.tolist():  # each half alone tells the windows apart
+            assert len(set(zip(half, content))) == len(set(content)) == len(set(half))
+
+
+def test_recompression_in_several_steps(spark, odd, monkeypatch):
+    monkeypatch.setattr(recompression, "pack", lambda docs, scratch: blocks.pack(docs.repartition(9, "text"), scratch, 1 << 10))
+    got = recompression.drop_repeated_windows(spark.read.parquet(f"{odd}/documents.parquet"), Scratch(spark, "t"), bucket_bytes=1 << 12, fan=3)
+    got = got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256))
+    assert rows(got) == Counter(brute.windows(data.documents()))
+
+
+def test_routes_grow_with_the_text(spark):
+    """Rows of a block and level are at most the fan, and a bucket's text does not grow; so is the number of fleets in a bucket."""
+    for count in (1, 300, 5_000, 400_000):
+        table = spark.range(count).selectExpr("id as block", f"{4 << 20}L as bytes")
+        path = blocks.route(table, 16 << 20, 256)
+        assert path.fans[0] == 256 and max(path.fans) == 256 and len(path.fleets) == len(path.fans) - 1
+        assert np.prod(path.fans) * (16 << 20) >= count * (4 << 20)
+        sent = [count * 256] + [int(np.prod(path.fans[:k])) * path.fleets[k - 1] * path.fans[k] for k in range(1, len(path.fans))]
+        assert max(sent) <= 2 * 256 * max(count, 256)
+
+
+def test_exchange_counts_names(spark):
+    rng = np.random.default_rng(4)
+    held = {b: np.unique(rng.integers(0, 400, 60)).astype(np.uint64) for b in range(40)}
+    scale = np.uint64(0x9E3779B97F4A7C15)
+    total = Counter(n for names in held.values() for n in names.tolist())
+    path = blocks.Route((3, 3, 4), (5, 2))
+    asked = [tuple(r.values()) for b, names in held.items() for r in blocks.requests(b, (names * scale)[:, None], np.full(len(names), 2), path, 8).to_pylist()]
+    got = blocks.exchange(spark.createDataFrame(asked, blocks.REQUEST), path, 8, lambda t: t // 2, Scratch(spark, "t"), "n").collect()
+    assert sorted(r.block for r in got) == sorted(held)
+    for r in got:
+        told = blocks.answered((held[r.block] * scale)[:, None], [x.asDict() for x in r.replies], path)
+        assert told.tolist() == [total[n] for n in held[r.block].tolist()]
 
 
 def test_suffixes(spark, odd):
@@ -94,6 +128,15 @@ def test_suffixes(spark, odd):
     assert got == Counter(brute.strings(docs))
 
 
+@pytest.mark.parametrize("crowd", [2, suffixes.CROWD])
+def test_suffixes_in_several_steps(spark, odd, monkeypatch, crowd):
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 1 << 10)
+    docs = spark.read.parquet(f"{odd}/documents.parquet").where("doc_id <> 104").repartition(9, "text")
+    got = suffixes.drop_earlier_strings(docs, Scratch(spark, "t"), crowd=crowd, bucket_bytes=1 << 12, shard_bytes=1 << 12, fan=3)
+    expected = brute.strings(sorted((d, t) for d, t, *_ in data.documents() if d is not None and d != 104))
+    assert rows(got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))) == Counter(expected)
+
+
 def test_suffixes_of_crowded_seeds(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet").where("doc_id <> 104")
     got = suffixes.drop_earlier_strings(docs, Scratch(spark, "t"), crowd=2).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
