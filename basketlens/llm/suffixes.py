@@ -310,6 +310,7 @@ def drop_earlier_strings(
         return lambda t: _resent(t, shards, level, length)
 
     work = scratch.write(each_block(blocks.join(states, "block"), lambda row: _spread(row, path, shards, length), WORK), "work-0")
+    scratch.drop(*(f"states-{level}" for level in range(len(path.fleets))), *(f"states-told-{level}" for level in range(len(path.fans))))
     own = [work.where(f"kind = {MARKS}")]
     for level, fleets in enumerate(shards.fleets, 1):
         sent = work.where(f"kind <> {MARKS}").withColumn("fleet", F.col("key") * fleets + F.pmod(F.xxhash64("block", F.lit(level)), F.lit(fleets)))
