@@ -120,8 +120,11 @@ def by_bucket(names: np.ndarray, path: Route, level: int) -> tuple[np.ndarray, n
 
 def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different names in their order, and which of them each row is."""
-    order = np.argsort(names[:, 0], kind="stable") if names.shape[1] == 1 else np.lexsort(names.T[::-1])
+    order = np.argsort(names[:, 0])
     turned = names[order]
+    if names.shape[1] > 1 and ((turned[1:, 0] == turned[:-1, 0]) & (turned[1:] != turned[:-1]).any(axis=1)).any():  # halves that collide
+        order = np.lexsort(names.T[::-1])
+        turned = names[order]
     fresh = np.ones(len(turned), dtype=bool)
     fresh[1:] = (turned[1:] != turned[:-1]).any(axis=1)
     where = np.empty(len(turned), dtype=np.int64)

@@ -105,6 +105,13 @@ def test_routes_grow_with_the_text(spark):
         assert max(sent) <= 2 * 256 * max(count, 256)
 
 
+def test_distinct_names_with_equal_halves():
+    names = np.array([[7, 2], [7, 1], [3, 9], [7, 2], [7, 1], [3, 9]], dtype=np.uint64)
+    known, where = blocks.distinct(names)
+    assert known.tolist() == [[3, 9], [7, 1], [7, 2]] and where.tolist() == [2, 1, 0, 2, 1, 0]
+    assert blocks.distinct(names[:, :1])[0].tolist() == [[3], [7]]
+
+
 def test_exchange_counts_names(spark):
     rng = np.random.default_rng(4)
     held = {b: np.unique(rng.integers(0, 400, 60)).astype(np.uint64) for b in range(40)}
