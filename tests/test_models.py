@@ -130,6 +130,22 @@ def test_neighbours_take_narrow_tasks(spark):
     assert visits.count() < 2001 * 5  # of 41 cells
 
 
+def test_neighbours_send_a_cell_once_to_its_visitors(spark, monkeypatch):
+    """A few wide features beside many narrow ones, as the classifier has them: a point goes to few cells, and no cell is copied for each cell that asks."""
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+
+    sent, cogroup = [], PandasGroupedOpsMixin.cogroup
+    monkeypatch.setattr(PandasGroupedOpsMixin, "cogroup", lambda asked, held: (sent.append(held._df.count()), cogroup(asked, held))[1])
+    source, tops = random.Random(8), [53, 25, 20, 12, *[3] * 15]
+    features = [f"x{i}" for i in range(len(tops))]
+    table = [(str(i), *(float(source.randrange(t)) for t in tops)) for i in range(3000)]
+    scratch = Scratch(spark, "t")
+    rows = spark.createDataFrame(table, "id string, " + ", ".join(f"{f} double" for f in features))
+    near_neighbours(rows, "id", features, 5, scratch, cell_rows=150)
+    assert spark.read.parquet(f"{scratch.root}/visits").count() < 3000 * 16  # of 20 cells
+    assert sent and sent[0] <= 3000
+
+
 def test_split_is_disjoint_complete_and_stratified(spark):
     rows = imbalanced(spark, n=1000)
     marked = classify.mark_split(rows)
