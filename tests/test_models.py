@@ -260,6 +260,28 @@ def test_attribution_draws_until_its_error_is_small(spark):
         assert abs(r.phi - truth[r.Customer_ID, r.feature]) <= 5 * r.std_error + 1e-9
 
 
+def test_masks_of_boosted_trees_draw_what_the_model_scores(spark):
+    """Sums over draws of several orders against a prediction for every prefix; rows with the same key count together."""
+    from pyspark.ml.classification import GBTClassifier
+
+    features = ["a", "b", "c"]
+    rows = classify.assemble(learnable(spark), features)
+    model = GBTClassifier(labelCol="High_Satisfaction", maxIter=8, maxDepth=6, stepSize=0.3, seed=1).fit(rows)
+    few, base = rows.where("int(Customer_ID) < 40").drop("features"), [0.1, -0.2, 0.3]
+    masks = attribution.tree_masks(model, 3)
+    for first, draws in ((0, 2), (2, 2), (4, 12)):
+        got, truth = (
+            {r.Customer_ID: (r.n, r.s, r.q) for r in f(m, few, base, features, "Customer_ID", first, draws, 42).collect()}
+            for f, m in ((attribution._drawn_by_masks, masks), (attribution._drawn, model)))
+        assert set(got) == set(truth) and len(got) == 40
+        for k, (n, s, q) in truth.items():
+            assert got[k][0] == n and got[k][1] == pytest.approx(s, abs=1e-9) and got[k][2] == pytest.approx(q, abs=1e-9)
+    once = {(r.Customer_ID, r.feature): r.phi for r in attribution.attributions(model, few, base, features, error=1.0).collect()}
+    twice = few.unionByName(few.where("Customer_ID = '7'"))
+    for r in attribution.attributions(model, twice, base, features, error=1.0).collect():
+        assert r.phi == pytest.approx(once[r.Customer_ID, r.feature] * (2 if r.Customer_ID == "7" else 1), abs=1e-9)
+
+
 def test_coreset_stays_within_its_bound(spark):
     """For any centres: roots of the costs of rows and cells differ by at most the root of the spread."""
     _, _, vectors = segment._prepared(gaussian_rfm(spark))
