@@ -282,6 +282,27 @@ def test_masks_of_boosted_trees_draw_what_the_model_scores(spark):
         assert r.phi == pytest.approx(once[r.Customer_ID, r.feature] * (2 if r.Customer_ID == "7" else 1), abs=1e-9)
 
 
+def test_residuals_score_every_row_once(spark, monkeypatch):
+    """f15_residuals reads its scores by key, by value and in a filter; the model must not run for each of them."""
+    from types import SimpleNamespace
+
+    from basketlens.catalog import residual_queries
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        calls.add(1)
+        return float(x)
+
+    rows = spark.createDataFrame([(str(i), i) for i in range(100)], "Customer_ID string, v int")
+    held = rows.where("v < 40").selectExpr("Customer_ID", "v % 2 as High_Satisfaction")
+    training = SimpleNamespace(test=held, best=lambda: SimpleNamespace(auc=0.525))
+    monkeypatch.setattr(residual_queries.m, "_training", lambda spark, path: training)
+    monkeypatch.setattr(residual_queries.m, "f15_score", lambda spark, path: rows.select("Customer_ID", F.udf(score, "double")("v").alias("probability_pct")))
+    assert tuple(residual_queries.f15_residuals(spark, "").first()) == (100, 40, 0.0)
+    assert calls.value == 100
+
+
 def test_coreset_stays_within_its_bound(spark):
     """For any centres: roots of the costs of rows and cells differ by at most the root of the spread."""
     _, _, vectors = segment._prepared(gaussian_rfm(spark))
