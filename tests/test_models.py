@@ -303,6 +303,12 @@ def test_residuals_score_every_row_once(spark, monkeypatch):
     assert calls.value == 100
 
 
+def test_projection_reads_the_written_rows(spark, data):
+    from basketlens.catalog import model_queries
+
+    assert all("/rfm-" in f for f in model_queries.m9_pca(spark, data).inputFiles())
+
+
 def test_coreset_stays_within_its_bound(spark):
     """For any centres: roots of the costs of rows and cells differ by at most the root of the spread."""
     _, _, vectors = segment._prepared(gaussian_rfm(spark))
