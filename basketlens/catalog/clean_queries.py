@@ -93,7 +93,7 @@ def io_quarantine(spark, path):
         "concat_ws(',', case when long then concat(f, array('more')) when short then slice(f, 1, size(f) - 1) else f end) as value")
     # A header in every file, as the CSV writer does it.
     header = ",".join(columns.columns)
-    lines.repartitionByRange(4, "value").mapInArrow(_with_header(header), "value string").write.text(source)
+    lines.mapInArrow(_with_header(header), "value string").write.text(source)
     metrics = etl.load_orders(spark, files.read_raw_records(spark, source), target)
     held = files.read_table(spark, f"{target}-quarantine")
     width = len(columns.columns)

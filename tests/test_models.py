@@ -309,6 +309,15 @@ def test_projection_reads_the_written_rows(spark, data):
     assert all("/rfm-" in f for f in model_queries.m9_pca(spark, data).inputFiles())
 
 
+def test_quarantine_is_not_dealt_to_a_fixed_number_of_tasks(spark, data, monkeypatch):
+    from basketlens.catalog import clean_queries
+
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "repartitionByRange", lambda *a: pytest.fail("dealt by range"))
+    row = clean_queries.io_quarantine(spark, data).first()
+    assert row.rows_in > 0 and row.quarantined_rows == row.short_records + row.long_records > 0
+
+
 def test_coreset_stays_within_its_bound(spark):
     """For any centres: roots of the costs of rows and cells differ by at most the root of the spread."""
     _, _, vectors = segment._prepared(gaussian_rfm(spark))
