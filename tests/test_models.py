@@ -1,6 +1,8 @@
 """Properties of segmentation, oversampling, the classifier and attribution."""
 
+import os
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from basketlens.operators import attribution, classify, segment
 from basketlens.operators.neighbours import near_neighbours
 from basketlens.operators.oversample import oversample
-from basketlens.session import Scratch, scratch_path
+from basketlens.session import FREED, Scratch, materialise, scratch_path
 
 
 def gaussian_rfm(spark):
@@ -303,6 +305,53 @@ def test_residuals_score_every_row_once(spark, monkeypatch):
     assert calls.value == 100
 
 
+def held_tables(spark, before=()):
+    """Folders in the shared folder that were not there before."""
+    return sorted({p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()} - set(before))
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5])
+def test_prepare_keeps_the_sets_alone(spark, monkeypatch, share):
+    """Neighbours and parts go when the sets are written; equal classes need no neighbours."""
+    rows = imbalanced(spark, share=share)
+    monkeypatch.setattr(classify, "model_rows", lambda orders: orders)
+    # The rows are coded already.
+    monkeypatch.setattr(classify, "fit_encoder", lambda rows: PipelineModel([]))
+    features = [c for c in rows.columns if c not in (classify.KEY, classify.TARGET)]
+    monkeypatch.setattr(classify, "FEATURES", features)
+    monkeypatch.setattr(classify, "assemble", lambda rows: rows)
+    before = held_tables(spark)
+    made = classify.prepare(rows, fit_rows=100)
+    assert [n.rsplit("-", 1)[0] for n in held_tables(spark, before)] == ["resampled", "test", "train"]
+    counts = {r[0]: r[1] for r in made.resampled.groupBy(classify.TARGET).count().collect()}
+    assert len(set(counts.values())) == 1 and made.train.count() == 100 and made.test.count() > 0
+
+
+def test_between_neighbours_keeps_its_counts_alone(spark):
+    from basketlens.operators.oversample import between_neighbours
+
+    rows = imbalanced(spark)
+    features = [c for c in rows.columns if c not in (classify.KEY, classify.TARGET)]
+    full = materialise(oversample(rows, features, classify.TARGET, classify.KEY), "full")
+    before = held_tables(spark)
+    found = between_neighbours(full, features, classify.TARGET, classify.KEY).collect()
+    assert [n.rsplit("-", 1)[0] for n in held_tables(spark, before)] == ["between-counts"]
+    assert len({r["count"] for r in found}) == 1
+    assert sum(r["between"] for r in found) == full.where("synthetic").count() > 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {n for n in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in n}
+    before, kept = shuffles(), spark.conf.get(FREED, None)
+    for written in (materialise(spark.range(1000).repartition(7), "t"), Scratch(spark, "t").write(spark.range(1000).repartition(7), "t")):
+        assert written.count() == 1000
+    made = {n for n in shuffles() - before if n.endswith(".data")}
+    # The counts leave theirs, of a few bytes; the tables' own would be kilobytes.
+    assert all(os.path.getsize(n) < 1000 for n in made)
+    assert spark.conf.get(FREED, None) == kept
+
+
 def test_projection_reads_the_written_rows(spark, data):
     from basketlens.catalog import model_queries
 
