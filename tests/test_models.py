@@ -352,6 +352,17 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert spark.conf.get(FREED, None) == kept
 
 
+def test_attribution_and_residuals_read_written_codes(spark, data, monkeypatch):
+    from basketlens.catalog import model_queries as m
+
+    monkeypatch.setattr(m, "_models", {})
+    encoder = classify.fit_encoder(m._rows(spark, data))
+    monkeypatch.setattr(m, "_training", lambda *_: classify.Training(encoder, None, None, None, {}, {}))
+    coded = m._encoded(spark, data)
+    assert "Join" not in coded._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(coded.collect()) == sorted(classify.encode(encoder, m._rows(spark, data)).collect())
+
+
 def test_projection_reads_the_written_rows(spark, data):
     from basketlens.catalog import model_queries
 
