@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from basketlens.operators import attribution, classify, segment
-from basketlens.operators.neighbours import near_neighbours
+from basketlens.operators.neighbours import near_names, near_neighbours
 from basketlens.operators.oversample import oversample
 from basketlens.session import FREED, Scratch, materialise, scratch_path
 
@@ -114,6 +114,29 @@ def test_near_neighbours_are_the_nearest(spark, width, partitions, cell):
         assert all((np.array(n.x) == points[n.id]).all() for n in r.neighbours)
 
 
+def test_found_neighbours_travel_without_features(spark):
+    """Fifty features: what is written of the neighbours takes less than the points themselves, where six copies of them took more."""
+    source, features = random.Random(4), [f"x{i}" for i in range(50)]
+    table = [(str(i), *(source.random() for _ in features)) for i in range(400)]
+    scratch = Scratch(spark, "t")
+    near_neighbours(spark.createDataFrame(table, "id string, " + ", ".join(f"{f} double" for f in features)), "id", features, 5, scratch, cell_rows=100)
+    folder = Path(scratch.root.removeprefix("file:"))
+    points, best = (sum(p.stat().st_size for p in (folder / name).rglob("*.parquet")) for name in ("points", "best"))
+    assert best < 2 * points
+
+
+def test_neighbours_of_some_rows_are_of_all(spark):
+    """Rows that are wanted alone get the neighbours that they have among all, by the numbers of their points."""
+    source = random.Random(5)
+    rows = spark.createDataFrame([(str(i), source.random(), float(i % 3)) for i in range(200)] + [("same", 0.5, 1.0), ("as", 0.5, 1.0)], "id string, a double, b double")
+    scratch = Scratch(spark, "t")
+    whole = {r.id: [(n.id, n.x) for n in r.neighbours] for r in near_neighbours(rows, "id", ["a", "b"], 5, Scratch(spark, "t"), cell_rows=20).collect()}
+    some, points = near_names(rows, "id", ["a", "b"], 5, scratch, cell_rows=20, wanted=rows.where("id in ('7', '8', 'as')"))
+    at = {r.point: r.x for r in points.collect()}
+    assert len(whole) == 202
+    assert {r.id: [(n.id, at[n.point]) for n in r.neighbours] for r in some.collect()} == {k: whole[k] for k in ("7", "8", "as")}
+
+
 def test_few_rows_have_few_neighbours(spark):
     rows = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0)], "id string, x double")
     got = {r.id: [n.id for n in r.neighbours] for r in near_neighbours(rows, "id", ["x"], 5, Scratch(spark, "t"), cell_rows=1).collect()}
