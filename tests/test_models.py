@@ -350,6 +350,59 @@ def test_prepare_keeps_the_sets_alone(spark, monkeypatch, share):
     assert len(set(counts.values())) == 1 and made.train.count() == 100 and made.test.count() > 0
 
 
+def test_prepare_draws_the_rows_to_fit_on_without_keeping_the_others(spark, monkeypatch):
+    """The same rows to fit on, and no table of the oversampled rows or of neighbours."""
+    rows = imbalanced(spark, n=1500, share=0.2)
+    # The rows are coded already.
+    monkeypatch.setattr(classify, "fit_encoder", lambda rows: PipelineModel([]))
+    features = [c for c in rows.columns if c not in (classify.KEY, classify.TARGET)]
+    monkeypatch.setattr(classify, "FEATURES", features)
+    monkeypatch.setattr(classify, "assemble", lambda rows: rows)
+    whole, before = classify.prepare(rows, fit_rows=100, written=True), held_tables(spark)
+    alone = classify.prepare(rows, fit_rows=100, written=True, keep_resampled=False)
+    assert [n.rsplit("-", 1)[0] for n in held_tables(spark, before)] == ["test", "train"]
+    expected = whole.resampled.orderBy(classify.key_hash(F.col(classify.KEY), "fit"), classify.KEY).limit(100)
+    assert sorted(alone.train.collect()) == sorted(whole.train.collect()) == sorted(expected.collect())
+    assert sorted(alone.test.collect()) == sorted(whole.test.collect())
+
+
+def test_rows_to_fit_on_are_bounded_before_they_are_ordered(spark, monkeypatch):
+    """What is ordered is little more than what is taken; keys that repeat leave too few below the bound, and all are ordered."""
+    rows = spark.range(20_000).selectExpr("cast(id as string) as k", "id as v")
+    for table, held in ((rows, True), (rows.selectExpr("if(v % 2 = 0, 'a', 'b') as k", "v"), False)):
+        scratch = Scratch(spark, "t")
+        got = classify.first_by_hash(table, "k", 1000, 20_000, scratch)
+        expected = table.orderBy(classify.key_hash(F.col("k"), "fit"), "k").limit(1000)
+        assert sorted(r.k for r in got.collect()) == sorted(r.k for r in expected.collect())
+        assert (spark.read.parquet(f"{scratch.root}/drawn").count() in range(1000, 4000)) == held
+
+
+def test_names_of_neighbours_are_written_without_features(spark):
+    """The search for names keeps neither a second copy of what it found nor the visits; rows are names and numbers."""
+    source = random.Random(12)
+    rows = spark.createDataFrame([(str(i), source.random(), source.random()) for i in range(400)], "id string, a double, b double")
+    scratch = Scratch(spark, "t")
+    near, _ = near_names(rows, "id", ["a", "b"], 5, scratch, cell_rows=50)
+    assert near.columns == ["id", "point", "neighbours"] and near.count() == 400
+    held = {p.name for p in Path(scratch.root.removeprefix("file:")).iterdir()}
+    assert held == {"points", "names", "first", "across"}
+    first = spark.read.parquet(f"{scratch.root}/first")
+    assert first.where("(x is null) <> (size(to) = 0)").count() == 0 < first.where("x is null").count()
+
+
+def test_scoring_reads_the_written_rows(spark, data, monkeypatch):
+    from basketlens.catalog import model_queries as m
+
+    monkeypatch.setattr(m, "_models", {})
+    rows = m._rows(spark, data)
+    encoder = classify.fit_encoder(rows)
+    model = LogisticRegression(labelCol=classify.TARGET, maxIter=2).fit(classify.assemble(classify.encode(encoder, rows)))
+    fitted = classify.Fitted("lr", model, 1.0, 1.0)
+    monkeypatch.setattr(m, "_training", lambda *_: classify.Training(encoder, None, None, None, {"lr": None}, {"lr": fitted}))
+    scored = m.f15_score(spark, data)
+    assert all("/complete-" in f for f in scored.inputFiles()) and scored.count() == rows.count()
+
+
 def test_between_neighbours_keeps_its_counts_alone(spark):
     from basketlens.operators.oversample import between_neighbours
 
