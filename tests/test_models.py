@@ -366,6 +366,21 @@ def test_prepare_draws_the_rows_to_fit_on_without_keeping_the_others(spark, monk
     assert sorted(alone.test.collect()) == sorted(whole.test.collect())
 
 
+def test_models_are_fitted_on_all_oversampled_rows(spark, monkeypatch):
+    """More rows than the 50,000 that fits once stopped at: none is left out, and one table holds them."""
+    rows = spark.range(42_000).selectExpr("cast(id as string) as Customer_ID", "double(id % 7) as a", "double(id % 40) + id % 3 as b", "int(id % 40 = 0) as High_Satisfaction")
+    monkeypatch.setattr(classify, "fit_encoder", lambda rows: PipelineModel([]))
+    monkeypatch.setattr(classify, "FEATURES", ["a", "b"])
+    monkeypatch.setattr(classify, "assemble", lambda rows: rows)
+    before = held_tables(spark)
+    made = classify.prepare(rows, written=True)
+    assert [n.rsplit("-", 1)[0] for n in held_tables(spark, before)] == ["test", "train"]
+    counts = {r[0]: r[1] for r in made.train.groupBy(classify.TARGET).count().collect()}
+    larger = 42_000 - 1_050 - made.test.where("High_Satisfaction = 0").count()
+    assert counts == {0: larger, 1: larger} and 2 * larger > 65_000
+    assert made.resampled.count() == made.train.count()
+
+
 def test_rows_to_fit_on_are_bounded_before_they_are_ordered(spark, monkeypatch):
     """What is ordered is little more than what is taken; keys that repeat leave too few below the bound, and all are ordered."""
     rows = spark.range(20_000).selectExpr("cast(id as string) as k", "id as v")
